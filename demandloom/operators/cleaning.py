@@ -19,12 +19,13 @@ def parse_pipe_lines(lines: DataFrame, layout: Sequence[str] = config.ORDER_FILE
     and lines whose second field does not look like ``dd.mm.yyyy``. Columns
     other than ``value`` (file metadata) are kept.
     """
-    body = F.regexp_replace("value", "^\\||\\|$", "")
     fields = F.col("fields")
     kept = [c for c in lines.columns if c != "value"]
+    # Splitting inside a generator keeps the optimiser from copying the split
+    # into every filter and field expression below.
+    split = F.explode(F.array(F.split(F.regexp_replace("value", "^\\||\\|$", ""), "\\|")))
     return (
-        lines.where(F.trim("value") != "")
-        .select(*kept, F.split(body, "\\|").alias("fields"))
+        lines.select(*kept, split.alias("fields"))
         .where(
             (F.size(fields) == len(layout))
             & ~F.startswith(fields[0], F.lit("Doc."))

@@ -1,8 +1,8 @@
 """Dimension joins that check the size of what they broadcast.
 
-A dimension is measured once (rows, bytes, rows per key). Under the limit it
-is broadcast. Beyond it both sides are shuffled on the key plus a salt, so
-that a key which owns a third of all facts is spread over ``salts`` tasks.
+A dimension is measured once. Under the limit it is broadcast. Beyond it both
+sides are shuffled on the key plus a salt, so that a key which owns a third of
+all facts is spread over ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -32,13 +32,6 @@ class Dimension:
         return [c for c in self.table.columns if c not in self.keys]
 
 
-@dataclass(frozen=True)
-class DimensionSize:
-    rows: int
-    bytes: int
-    rows_per_key: int
-
-
 def _row_bytes(df: DataFrame) -> Column:
     # 32 bytes of row overhead, 8 per column, plus the text itself.
     fixed = F.lit(32 + 8 * len(df.columns))
@@ -50,41 +43,37 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, texts, fixed).cast("long")
 
 
-def measure(dimensions: Mapping[str, Dimension]) -> dict[str, DimensionSize]:
-    """Size and key uniqueness of all dimensions, in one job."""
+def measure(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Size of each table in bytes, counted over its rows; one job for all."""
     parts = [
-        d.table.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in d.keys]))
-        .groupBy(*d.keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(d.table)).alias("b"))
-        .select(F.lit(name).alias("name"), "n", "b")
-        for name, d in dimensions.items()
+        df.agg(F.sum(_row_bytes(df)).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+        for name, df in tables.items()
     ]
-    rows = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("name")
-        .agg(F.sum("n").alias("rows"), F.sum("b").alias("bytes"), F.max("n").alias("per_key"))
-        .collect()  # one row per dimension
-    )
-    found = {r["name"]: DimensionSize(r["rows"], r["bytes"], r["per_key"]) for r in rows}
-    return {name: found.get(name, DimensionSize(0, 0, 0)) for name in dimensions}
+    found = reduce(DataFrame.unionByName, parts).collect()  # one row per table
+    return {r["name"]: r["bytes"] or 0 for r in found}
 
 
-def require_unique_keys(sizes: Mapping[str, DimensionSize]) -> None:
-    repeated = sorted(name for name, size in sizes.items() if size.rows_per_key > 1)
+def require_unique_keys(dimensions: Mapping[str, Dimension]) -> None:
+    """Refuse dimensions whose repeated keys would multiply the facts."""
+    parts = [
+        d.table.groupBy(*d.keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        .agg(F.count(F.lit(1)).alias("repeated")).select(F.lit(name).alias("name"), "repeated")
+        for name, d in dimensions.items()
+    ]
+    repeated = sorted(r["name"] for r in reduce(DataFrame.unionByName, parts).collect() if r["repeated"])
     if repeated:
         raise ValueError(f"repeated keys would multiply quantities, in dimensions: {repeated}")
 
 
 def left_join_dimension(
-    fact: DataFrame, dimension: Dimension, size: DimensionSize,
-    limit: int = BROADCAST_BYTES, salts: int = SALTS,
+    fact: DataFrame, dimension: Dimension, fits_broadcast: bool, salts: int = SALTS
 ) -> DataFrame:
     """Left join on equal keys; the attributes are added to the fact's columns."""
     renamed = dimension.table.select(
         *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(dimension.keys)], *dimension.attributes
     )
     on = [fact[c] == renamed[f"_key_{i}"] for i, c in enumerate(dimension.on)]
-    if size.bytes <= limit:
+    if fits_broadcast:
         joined = fact.join(F.broadcast(renamed), on, "left")
     else:
         spread = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))

@@ -14,7 +14,6 @@ from demandloom.operators.cleaning import rename_and_cast
 from demandloom.operators.joins import (
     BROADCAST_BYTES,
     Dimension,
-    DimensionSize,
     left_join_dimension,
     measure,
     require_unique_keys,
@@ -56,8 +55,8 @@ def dimensions(
 class Model:
     """Order lines with their dimensions.
 
-    The dimensions are measured at most once per model; the measurement picks
-    the join strategy and refuses repeated keys.
+    A dimension is measured when first joined, once per model; its size picks
+    the join strategy. Repeated keys are refused by :meth:`require_unique_keys`.
     """
 
     def __init__(
@@ -77,22 +76,26 @@ class Model:
         self.lines = lines
         self.dimensions = dimensions(chain, sales_areas, customers)
         self.broadcast_limit = broadcast_limit
-        self._sizes: dict[str, DimensionSize] | None = None
+        self._sizes: dict[str, int] = {}
 
-    def sizes(self) -> dict[str, DimensionSize]:
-        if self._sizes is None:
-            self._sizes = measure(self.dimensions)
-            require_unique_keys(self._sizes)
-        return self._sizes
+    def sizes(self, *names: str) -> dict[str, int]:
+        """In-memory bytes of the named dimensions."""
+        unknown = {n: self.dimensions[n].table for n in names if n not in self._sizes}
+        if unknown:
+            self._sizes |= measure(unknown)
+        return {n: self._sizes[n] for n in names}
+
+    def require_unique_keys(self) -> None:
+        require_unique_keys(self.dimensions)
 
     def window(self, months: int = config.WINDOW_MONTHS) -> dates.Window:
         return dates.Window(dates.reference_date(self.lines), months)
 
     def broadcasts(self, *names: str) -> bool:
-        return all(self.sizes()[n].bytes <= self.broadcast_limit for n in names)
+        return all(size <= self.broadcast_limit for size in self.sizes(*names).values())
 
     def _join(self, fact: DataFrame, name: str) -> DataFrame:
-        return left_join_dimension(fact, self.dimensions[name], self.sizes()[name], self.broadcast_limit)
+        return left_join_dimension(fact, self.dimensions[name], self.broadcasts(name))
 
     def with_head(self, fact: DataFrame) -> DataFrame:
         joined = self._join(fact, "chain")
@@ -107,11 +110,13 @@ class Model:
     def enriched(self, rows: Column | None = None) -> DataFrame:
         """The 14-column line view; ``rows`` filters the lines before the joins."""
         lines = self.lines if rows is None else self.lines.where(rows)
+        self.sizes(*self.dimensions)
         return self.with_customer(self.with_site(self.with_head(lines))).select(*config.ENRICHED_COLUMNS)
 
     def report_lines(self, rows: Column | None = None) -> DataFrame:
         """Lines with chain head and site only, for reports that name no customer data."""
         lines = self.lines if rows is None else self.lines.where(rows)
+        self.sizes("chain", "sales_area")
         return self.with_site(self.with_head(lines))
 
     def cube(self, window: dates.Window, segments: Sequence[config.Segment],
@@ -122,16 +127,18 @@ class Model:
         ones the lines are summed first, so that a hot part or customer shrinks
         to one row per month, market and order type inside each scan task
         before the joins shuffle it. The customer survives only on rows that a
-        by-customer report uses.
+        by-customer report uses. ``milesimos`` is the quantity in thousandths,
+        ``linhas`` the number of lines that have one.
         """
         lines = self.lines.where(
             window.contains(F.col("data")) & F.col("org_vendas").isin([s.code for s in segments])
         )
         rows = lines.select(
-            *PLACING_COLUMNS, dates.month_start(F.col("data")).alias("month"), "quantidade",
-            F.when(F.col("quantidade").isNotNull(), F.lit(1).cast("bigint")).alias("linhas"),
+            *PLACING_COLUMNS, dates.month_start(F.col("data")).alias("month"),
+            F.round(F.col("quantidade") * 1000).cast("bigint").alias("milesimos"),
+            F.when(F.col("quantidade").isNotNull(), F.lit(1).cast("bigint")).otherwise(0).alias("linhas"),
         )
-        totals = [F.sum(c).alias(c) for c in ("quantidade", "linhas")]
+        totals = [F.sum(c).alias(c) for c in ("milesimos", "linhas")]
         if not self.broadcasts("chain", "sales_area"):
             rows = rows.groupBy(*PLACING_COLUMNS, "month").agg(*totals)
         placed = self.with_site(self.with_head(rows))
@@ -141,7 +148,6 @@ class Model:
             placed.withColumn("emissor_da_ordem", F.when(wanted, F.col("emissor_da_ordem")))
             .groupBy(*CUBE_KEYS)
             .agg(*totals)
-            .fillna(0, ["linhas"])
         )
 
 

@@ -25,6 +25,7 @@ def run_reports(
     The order lines are read once, for the cube. Everything after works on
     stored aggregates. Returns the names of the per-sheet views.
     """
+    model.require_unique_keys()
     spark = model.lines.sparkSession
     prefix = f"{database}.{config.TABLE_PREFIX}"
     longest = max([r.months for r in reports] + [config.MARKET_SHARE_MONTHS])

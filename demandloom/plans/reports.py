@@ -45,16 +45,24 @@ def _site_listed(report: config.Report, segments: Sequence[config.Segment]) -> C
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def _amount(measure: str, quantity: str = "quantidade", lines: str | None = None) -> Column:
-    """The number to add up per row: quantity, or 1 per row with a quantity."""
+def thousandths(quantity: Column) -> Column:
+    """A quantity with three decimals as a 64-bit count, which sums fast and exactly."""
+    return F.round(quantity * 1000).cast("bigint")
+
+
+def _amount(measure: str) -> Column:
+    """The number to add up per line: quantity, or 1 for a line that has one."""
+    quantity = F.col("quantidade")
     if measure == "sum":
-        return F.col(quantity)
-    return F.col(lines) if lines else F.when(F.col(quantity).isNotNull(), F.lit(1)).otherwise(0)
+        return thousandths(quantity)
+    return F.when(quantity.isNotNull(), F.lit(1).cast("bigint"))
 
 
-def _whole(value: Column) -> Column:
-    """Missing is 0; fractions are cut off. 64 bit, so that no total overflows."""
-    return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+def _whole(name: str, measure: str) -> Column:
+    """A summed amount as a cell: missing is 0, fractions are cut off."""
+    column = f"`{name}`"
+    value = F.expr(f"{column} div 1000") if measure == "sum" else F.col(column)
+    return F.coalesce(value, F.lit(0).cast("bigint"))
 
 
 def demand_wide(
@@ -91,17 +99,14 @@ def demand_wide(
         F.explode(sheets).alias("sheet"),
     )
     cells = [
-        _whole(F.sum(F.when(F.col("month") == F.lit(m), F.col("amount")))).alias(f"{m:%Y/%m}")
-        for m in months
+        F.sum(F.when(F.col("month") == F.lit(m), F.col("amount"))).alias(f"{m:%Y/%m}") for m in months
     ]
-    counted = tagged.groupBy("org_vendas", "sheet", *report.ids).agg(
-        F.lit(None).alias("_none") if not cells else cells[0], *cells[1:]
-    )
+    counted = tagged.groupBy("org_vendas", "sheet", *report.ids).agg(F.count(F.lit(1)).alias("_rows"), *cells)
     return counted.select(
         _file_name(segments, window.as_of, report.title).alias("file"),
         "sheet",
         *[F.col(c).alias(config.ID_TITLES[c]) for c in report.ids],
-        *[F.col(f"{m:%Y/%m}") for m in months],
+        *[_whole(f"{m:%Y/%m}", report.measure).alias(f"{m:%Y/%m}") for m in months],
     )
 
 
@@ -114,35 +119,41 @@ def demand_long(
     """All reports and sheets at once, long form, from the monthly cube.
 
     Every cube row is tagged with the (report, sheet) pairs it feeds and the
-    tags are summed in one shuffle with map-side combine.
+    tags are summed in one shuffle with map-side combine. A tag is a small
+    number: twice the report's position, plus one for the site sheet.
     """
+    tag, total = F.col("tag"), F.lit(config.TOTAL_SHEET)
 
-    def tag(report: config.Report, sheet: Column) -> Column:
-        ids = [
-            (F.col(c) if c in report.ids else F.lit(None).cast("string")).alias(c) for c in ID_COLUMNS
-        ]
-        amount = _amount(report.measure, lines="linhas").cast("decimal(28,3)")
-        return F.struct(
-            F.lit(report.name).alias("report"), sheet.alias("sheet"), *ids, amount.alias("amount")
-        )
-
-    def tags(report: config.Report) -> list[Column]:
+    def tags(position: int, report: config.Report) -> list[Column]:
         inside = report_rows(report) & (F.col("month") >= F.lit(window.resized(report.months).start))
-        both = [F.when(inside, tag(report, F.lit(config.TOTAL_SHEET)))]
-        if report.site_segments:
-            on_site = inside & _site_listed(report, segments)
-            both.append(F.when(on_site, tag(report, F.col("centro_original"))))
-        return both
-
-    all_tags = F.array(*chain.from_iterable(tags(r) for r in reports))
-    tagged = cube.select("org_vendas", "month", F.explode(F.array_compact(all_tags)).alias("tag")).select(
-        "org_vendas", "month", "tag.*"
-    )
-    summed = tagged.groupBy("report", "org_vendas", "sheet", *ID_COLUMNS, "month").agg(
-        _whole(F.sum("amount")).alias("value")
+        on_site = inside & _site_listed(report, segments)
+        found = [F.when(inside, F.lit(2 * position))]
+        return [*found, F.when(on_site, F.lit(2 * position + 1))] if report.site_segments else found
+
+    def of(*chosen: config.Report) -> Column:
+        positions = [i for i, r in enumerate(reports) if r in chosen]
+        return tag.isin([2 * i for i in positions] + [2 * i + 1 for i in positions])
+
+    all_tags = F.array(*chain.from_iterable(tags(i, r) for i, r in enumerate(reports)))
+    counted = of(*[r for r in reports if r.measure == "count"])
+    ids = [F.when(of(*[r for r in reports if c in r.ids]), F.col(c)).alias(c) for c in ID_COLUMNS]
+    tagged = cube.select("*", F.explode(F.array_compact(all_tags)).alias("tag"))
+    summed = (
+        tagged.select(
+            "org_vendas", "month", "tag", *ids,
+            F.when(tag % 2 == 0, total).otherwise(F.col("centro_original")).alias("sheet"),
+            F.when(counted, F.col("linhas")).otherwise(F.col("milesimos")).alias("amount"),
+        )
+        .groupBy("tag", "org_vendas", "sheet", *ID_COLUMNS, "month")
+        .agg(F.sum("amount").alias("amount"))
     )
+    report_name = F.element_at(F.array(*[F.lit(r.name) for r in reports]), F.shiftright(tag, 1) + 1)
     names = {r.name: _file_name(segments, window.as_of, r.title) for r in reports}
-    return summed.withColumn("file", _case(F.col("report"), names, F.lit(None))).select(*LONG_COLUMNS)
+    value = F.when(counted, _whole("amount", "count")).otherwise(_whole("amount", "sum"))
+    labelled = summed.withColumn("report", report_name)
+    return labelled.withColumns(
+        {"value": value, "file": _case(F.col("report"), names, F.lit(None))}
+    ).select(*LONG_COLUMNS)
 
 
 def widen(
@@ -203,18 +214,17 @@ def _matches(column: str, value: str | None) -> Column:
     return F.col(column).isNull() if value is None else F.col(column) == value
 
 
-def _totals(column: str, values: Sequence[str | None], inside: Column, prefix: str = "") -> list[tuple[str, Column]]:
+def _totals(
+    column: str, values: Sequence[str | None], inside: Column, amount: Column, prefix: str
+) -> list[tuple[str, Column]]:
+    """(name, sum) of the amount in thousandths per value of ``column``."""
     return [
-        (
-            f"{prefix}{i}",
-            _whole(F.sum(F.when(inside & _matches(column, v), F.col("quantidade")))),
-        )
-        for i, v in enumerate(values)
+        (f"{prefix}{i}", F.sum(F.when(inside & _matches(column, v), amount))) for i, v in enumerate(values)
     ]
 
 
 def _named_shares(columns: Sequence[str], names: Sequence[str]) -> list[Column]:
-    return share_columns([(n, F.col(c)) for n, c in zip(names, columns)]) if columns else []
+    return share_columns([(n, _whole(c, "sum")) for n, c in zip(names, columns)]) if columns else []
 
 
 def value_share(
@@ -231,7 +241,7 @@ def value_share(
     values = observed_values(rows, column) if values is None else values
     titles = [names.get(v, "null" if v is None else v) for v in values]
     ordered = sorted(zip(titles, values), key=lambda p: p[0])
-    totals = _totals(column, [v for _, v in ordered], F.lit(True), "v")
+    totals = _totals(column, [v for _, v in ordered], F.lit(True), thousandths(F.col("quantidade")), "v")
     if not totals:
         return rows.select("item_principal_cadeia").distinct()
     grouped = rows.groupBy("item_principal_cadeia").agg(*[c.alias(n) for n, c in totals])
@@ -289,7 +299,8 @@ def distribution(
         ],
         F.when(in_markets, F.lit("market")),
     )))
-    split = rows.withColumn("_side", F.explode(sides))
+    amount = F.col("milesimos") if "milesimos" in rows.columns else thousandths(F.col("quantidade"))
+    split = rows.withColumns({"_amount": amount, "_side": F.explode(sides)})
 
     aggregates: list[tuple[str, Column]] = []
     blocks: list[tuple[list[str], list[str]]] = []
@@ -301,13 +312,13 @@ def distribution(
         inside = near.contains(day) & (F.col("org_vendas") == s.code) & (
             F.col("_side").isNull() | (F.col("_side") == s.code)
         )
-        totals = _totals("centro_original", [v for _, v in ordered], inside, f"s{len(blocks)}_")
+        totals = _totals("centro_original", [v for _, v in ordered], inside, F.col("_amount"), f"s{len(blocks)}_")
         aggregates += totals
         blocks.append(([n for n, _ in totals], [t for t, _ in ordered]))
     titles = [codes.market_names.get(v, "null" if v is None else v) for v in markets]
     ordered = sorted(zip(titles, markets), key=lambda p: p[0])
     inside = in_markets & (F.col("_side").isNull() | (F.col("_side") == "market"))
-    totals = _totals("canal_dist", [v for _, v in ordered], inside, "m")
+    totals = _totals("canal_dist", [v for _, v in ordered], inside, F.col("_amount"), "m")
     aggregates += totals
     blocks.append(([n for n, _ in totals], [t for t, _ in ordered]))
 

@@ -49,3 +49,9 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, label)}'")
     return name
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

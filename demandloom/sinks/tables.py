@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from demandloom import config
 from demandloom.operators.merging import append_rows, delete_rows, merge_rows, split_null_keys
-from demandloom.session import scratch_path
+from demandloom.session import remove_path, scratch_path
 
 PERIOD = "ano_mes"
 
@@ -45,24 +45,36 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-    """``df`` written out to the shared folder and read back: no lineage, no recompute."""
+def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows of a partition into few files; a very large partition is split over tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+@contextmanager
+def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back: complete, and without lineage.
+
+    The copy is removed at the end, but kept when the block fails, so that
+    rows already taken out of a target can be recovered.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+    by_partition(df, partition_by).write.partitionBy(*partition_by).parquet(path)
+    yield spark.read.schema(df.schema).parquet(path).select(*[F.col(quote_column(c)) for c in df.columns])
+    remove_path(spark, path)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), format: str = "parquet") -> None:
     """Full replace, schema included. ``df`` must not read ``table``."""
-    writer = df.write.mode("overwrite").format(format)
+    writer = by_partition(df, partition_by).write.mode("overwrite").format(format)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
 def rewrite_table(spark: SparkSession, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
     """Full replace by a function of the table's own content."""
     partitions = partition_columns(spark, table)
-    replace_table(staged(change(spark.table(table)), partitions), table, partitions)
+    with staged(change(spark.table(table)), partitions) as rows:
+        replace_table(rows, table, partitions)
 
 
 @contextmanager
@@ -107,27 +119,34 @@ def upsert(
     to rewrite are those of the arriving rows plus those where their keys live
     now; that list is bounded by the number of partitions.
     """
-    spark = source.sparkSession
-    arriving, broken = split_null_keys(staged(source), keys)
-    if quarantine:
-        append(quarantine, broken)
-    elif not broken.isEmpty():
-        raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
+    with staged(source) as rows:
+        arriving, broken = split_null_keys(rows, keys)
+        if quarantine:
+            append(quarantine, broken)
+        elif not broken.isEmpty():
+            raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
+        _upsert(table, arriving, keys, keep_first, partition_by)
+
+
+def _upsert(
+    table: str, arriving: DataFrame, keys: Sequence[str], keep_first: Sequence[str], partition_by: str | None
+) -> None:
+    spark = arriving.sparkSession
     if not spark.catalog.tableExists(table):
         replace_table(arriving, table, [partition_by] if partition_by else [])
         return
     target = spark.table(table)
     if not partition_by:
-        merged = merge_rows(target, arriving, keys, keep_first)
-        replace_table(staged(merged), table)
+        with staged(merge_rows(target, arriving, keys, keep_first)) as merged:
+            replace_table(merged, table)
         return
-    new_keys = arriving.select(*keys)
-    homes = target.select(*keys, partition_by).join(new_keys, list(keys), "left_semi").select(partition_by)
-    touched = [r[0] for r in homes.union(arriving.select(partition_by)).distinct().collect()]
+    homes = target.select(*keys, partition_by).join(arriving.select(*keys), list(keys), "left_semi")
+    touched = [r[0] for r in homes.select(partition_by).union(arriving.select(partition_by)).distinct().collect()]
     if not touched:
         return
     merged = merge_rows(target.where(F.col(partition_by).isin(touched)), arriving, keys, keep_first)
-    _overwrite_partitions(spark, table, staged(merged, [partition_by]), touched, partition_by)
+    with staged(merged, [partition_by]) as rows:
+        _overwrite_partitions(spark, table, rows, touched, partition_by)
 
 
 def replace_periods(table: str, source: DataFrame, partition_by: str = PERIOD) -> None:
@@ -137,7 +156,8 @@ def replace_periods(table: str, source: DataFrame, partition_by: str = PERIOD) -
         replace_table(source, table, [partition_by])
         return
     with dynamic_overwrite(spark):
-        source.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        rows = by_partition(source.select(*spark.table(table).columns), [partition_by])
+        rows.write.mode("overwrite").insertInto(table)
 
 
 def append(table: str, source: DataFrame) -> None:
@@ -170,8 +190,8 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_v
     if partition_values is None:
         rewrite_table(spark, table, lambda df: delete_rows(df, predicate))
     else:
-        kept = staged(delete_rows(rows, predicate), [partition_by])
-        _overwrite_partitions(spark, table, kept, partition_values, partition_by)
+        with staged(delete_rows(rows, predicate), [partition_by]) as kept:
+            _overwrite_partitions(spark, table, kept, partition_values, partition_by)
     return matched
 
 
