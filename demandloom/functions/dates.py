@@ -48,13 +48,6 @@ class Window:
         return (day >= F.lit(self.start)) & (day <= F.lit(self.end))
 
 
-def exact_months_back(as_of: date, months: int) -> date:
-    """Same day ``months`` earlier, cut to the month's length (older rule)."""
-    first = shift_month(as_of, -months)
-    last_day = (shift_month(first, 1) - timedelta(days=1)).day
-    return first.replace(day=min(as_of.day, last_day))
-
-
 def reference_date(lines: DataFrame, column: str = "data") -> date:
     """Latest order date; one row reaches the driver."""
     latest = lines.agg(F.max(column).alias("latest")).first()["latest"]

@@ -32,7 +32,7 @@ def _with_neighbour(rows: DataFrame, keys: Sequence[str], value: str, previous:
             step("_edge").over(across).alias("_outer"),
         )
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(group)]
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(group)]
     first_or_last = step(F.lit(True)).over(inside).isNull()
     return (
         rows.withColumns({"_inner": step(value).over(inside), "_border": first_or_last})

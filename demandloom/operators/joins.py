@@ -65,6 +65,15 @@ def require_unique_keys(dimensions: Mapping[str, Dimension]) -> None:
         raise ValueError(f"repeated keys would multiply quantities, in dimensions: {repeated}")
 
 
+def _salted(rows: DataFrame, salts: int) -> DataFrame:
+    # From the row itself, not random: a recomputed task gives the same salt.
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+
+
+def _copied(lookup: DataFrame, salts: int) -> DataFrame:
+    return lookup.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
 def left_join_dimension(
     fact: DataFrame, dimension: Dimension, fits_broadcast: bool, salts: int = SALTS
 ) -> DataFrame:
@@ -76,8 +85,7 @@ def left_join_dimension(
     if fits_broadcast:
         joined = fact.join(F.broadcast(renamed), on, "left")
     else:
-        spread = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
-        copies = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        spread, copies = _salted(fact, salts), _copied(renamed, salts)
         joined = spread.join(copies, [*on, spread["_salt"] == copies["_copy"]], "left")
     return joined.select(*fact.columns, *dimension.attributes)
 
@@ -87,7 +95,15 @@ def full_join_filled(left: DataFrame, right: DataFrame, key: str | Sequence[str]
     return left.join(right, key, "full").fillna(0)
 
 
-def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def orphans(
+    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
+    limit: int = BROADCAST_BYTES, salts: int = SALTS,
+) -> DataFrame:
     """Child rows whose key has no parent. NULL keys count as orphans."""
     parents = parent.select(F.col(parent_key).alias("_parent")).distinct()
-    return child.join(parents, child[child_key] == parents["_parent"], "left_anti")
+    if measure({"parents": parents})["parents"] <= limit:
+        return child.join(F.broadcast(parents), child[child_key] == F.col("_parent"), "left_anti")
+    spread = _salted(child, salts)
+    copies = _copied(parents, salts)
+    on = (spread[child_key] == copies["_parent"]) & (spread["_salt"] == copies["_copy"])
+    return spread.join(copies, on, "left_anti").drop("_salt")

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_PERIODS = 10_000
+
 
 def has_full_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -86,13 +88,13 @@ def in_month(column: str, year: int, month: int) -> Column:
 def replace_period(target: DataFrame, source: DataFrame, period: Column) -> DataFrame:
     """Drop the target rows of the periods that ``source`` brings, then add them.
 
-    The list of periods is joined, not collected; Spark broadcasts it when its
-    measured size allows.
+    The periods are listed first (one small value each), so the target is
+    filtered in its scan and not shuffled by a key with few, uneven values.
     """
-    arriving = source.select(period.alias("_arriving")).distinct()
-    kept = (
-        target.withColumn("_period", period)
-        .join(arriving, F.col("_period").eqNullSafe(F.col("_arriving")), "left_anti")
-        .drop("_period")
-    )
-    return kept.unionByName(source.select(*target.columns))
+    arriving = [r[0] for r in source.select(period.alias("p")).distinct().limit(MAX_PERIODS + 1).collect()]
+    if len(arriving) > MAX_PERIODS:
+        raise ValueError(f"more than {MAX_PERIODS} distinct values: that is no period")
+    replaced = period.isin([p for p in arriving if p is not None])
+    if None in arriving:
+        replaced = replaced | period.isNull()
+    return delete_rows(target, replaced).unionByName(source.select(*target.columns))

@@ -77,8 +77,8 @@ def _measure(name: str) -> str:
     return "CASE WHEN quantidade IS NOT NULL THEN 1 ELSE 0 END" if name == "linha" else "quantidade"
 
 
-def _wide_body(name: str, columns: list[date] | None = None) -> str:
-    months = _months(12 if name == "zpug_cliente" else 24)
+def _wide_body(name: str, columns: list[date] | None = None, back: int = 24, totals_only: tuple[str, ...] = ()) -> str:
+    months = _months(12 if name == "zpug_cliente" else back)
     ids = IDS.get(name, ["item_principal_cadeia"])
     cells = ", ".join(
         f"CAST(SUM(CASE WHEN mes = DATE '{m}' THEN {_measure(name)} ELSE 0 END) AS BIGINT) AS \"{m:%Y/%m}\""
@@ -90,6 +90,7 @@ def _wide_body(name: str, columns: list[date] | None = None) -> str:
         f"WHERE org_vendas = '{segment}' AND mes >= DATE '{months[0]}' AND {FILTERS.get(name, 'TRUE')} AND {where} "
         f"GROUP BY {', '.join(ids)}"
         for segment, sheet, where in _sheets(name)
+        if sheet == "TTL" or segment not in totals_only
     )
 
 
@@ -327,7 +328,7 @@ def oracle_sql() -> dict[str, str]:
         "d9_distribution": _distribution(),
         "d9_distribution_all_segments": _distribution_all(),
         "d10_analytics_typed": f"WITH {LINES} SELECT {analytics} FROM lines WHERE mes >= (SELECT mes - INTERVAL 59 MONTH FROM latest)",
-        "d11_stacked_sheets": _wide("fechada"),
+        "d11_stacked_sheets": f"WITH {LINES} {_wide_body('fechada_novos_modelos', back=48, totals_only=('MACHINERY',))}",
         "a4_site_share": f"WITH {LINES}, {site} SELECT * FROM site",
         "a5_market_share": f"WITH {LINES}, {market} SELECT * FROM market",
         "j4_shares_full_join": (

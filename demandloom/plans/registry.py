@@ -175,14 +175,12 @@ def d10_analytics_typed(spark, sf_dir):
 
 @query
 def d11_stacked_sheets(spark, sf_dir):
-    """Older layout: the sheets of one report built one by one and stacked (U1)."""
+    """Older layout: 48 months, total only for the second segment, all stacked (U1)."""
     model = sample.SampleModel(spark, sf_dir)
-    window, report = model.window(), _report("fechada")
-    placed = model.report_lines()
-    both = [
-        reports.demand_wide(placed, report, [segment], window) for segment in sample.SEGMENTS
-    ]
-    return reports.stack_sheets(both)
+    report = _report("fechada_novos_modelos", legacy=True)
+    window, placed = model.window(report.months), model.report_lines()
+    parts = [reports.demand_wide(placed, report, [segment], window) for segment in sample.SEGMENTS]
+    return reports.stack_sheets(parts)
 
 
 @query

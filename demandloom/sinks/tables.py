@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import config
-from demandloom.operators.merging import append_rows, delete_rows, merge_rows, split_null_keys
+from demandloom.operators.merging import append_rows, delete_rows, in_month, latest_per_key, merge_rows, split_null_keys
 from demandloom.session import remove_path, scratch_path
 
 PERIOD = "ano_mes"
@@ -110,10 +110,12 @@ def upsert(
     keep_first: Sequence[str] = (),
     partition_by: str | None = None,
     quarantine: str | None = None,
+    newest: Sequence[str] = (),
 ) -> None:
     """Update rows with a known key, insert the others.
 
-    ``source`` holds one row per key. A row with an incomplete key can never
+    ``source`` holds one row per key, or names in ``newest`` the columns whose
+    largest values pick the survivor. A row with an incomplete key can never
     match, so it goes to the ``quarantine`` table; without one it is an error.
     The target is created when missing. With a partition column, the partitions
     to rewrite are those of the arriving rows plus those where their keys live
@@ -125,6 +127,7 @@ def upsert(
             append(quarantine, broken)
         elif not broken.isEmpty():
             raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
+        arriving = latest_per_key(arriving, keys, newest) if newest else arriving
         _upsert(table, arriving, keys, keep_first, partition_by)
 
 
@@ -197,8 +200,6 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_v
 
 def delete_month(spark: SparkSession, table: str, year: int, month: int) -> int:
     """Drop one month; on a table partitioned by period only that partition is read."""
-    from demandloom.operators.merging import in_month
-
     partitioned = PERIOD in partition_columns(spark, table)
     return delete_where(
         spark, table, in_month("data", year, month), [year * 100 + month] if partitioned else None

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from demandloom import config
 from demandloom.operators.cleaning import parse_pipe_lines, type_order_lines
-from demandloom.operators.merging import has_full_key, latest_per_key
+from demandloom.operators.merging import latest_per_key, split_null_keys
 from demandloom.sinks import tables
 from demandloom.sources.files import stream_order_files
 
@@ -30,28 +30,32 @@ _KEPT = ("_ingested_at", "numero_pedido")
 
 
 def prepare_batch(lines: DataFrame, mode: LoadMode = LoadMode.INCREMENTAL, load_id: str | None = None) -> DataFrame:
-    """Text lines with source columns to typed lines, one per key, with their period.
-
-    Lines without a full key are all kept; the upsert sets them aside.
-    """
+    """Text lines with source columns to typed lines with their period."""
     typed = type_order_lines(parse_pipe_lines(lines), mode.value, load_id or str(uuid.uuid4()))
-    keyed = typed.where(has_full_key(config.LINE_KEY))
-    unkeyed = typed.where(~has_full_key(config.LINE_KEY))
-    latest = latest_per_key(keyed, config.LINE_KEY, _NEWEST)
-    return tables.with_period(latest.unionByName(unkeyed))
+    return tables.with_period(typed)
 
 
 def save_batch(batch: DataFrame, table: str, mode: LoadMode) -> None:
-    """Store a prepared batch. Running it again with the same rows changes nothing."""
-    if mode is LoadMode.FULL_REFRESH:
-        tables.replace_table(batch, table, [tables.PERIOD])
-    elif mode is LoadMode.PERIOD_REFRESH:
-        tables.replace_periods(table, batch)
-    else:
+    """Store a prepared batch, newest row per key.
+
+    Running it again with the same rows leaves the table as it is. Rows
+    without a full key go to ``<table>_quarantine``.
+    """
+    quarantine = f"{table}_quarantine"
+    if mode is LoadMode.INCREMENTAL:
         tables.upsert(
             table, batch, config.LINE_KEY, keep_first=_KEPT, partition_by=tables.PERIOD,
-            quarantine=f"{table}_quarantine",
+            quarantine=quarantine, newest=_NEWEST,
         )
+        return
+    with tables.staged(batch) as rows:
+        keyed, broken = split_null_keys(rows, config.LINE_KEY)
+        tables.append(quarantine, broken)
+        latest = latest_per_key(keyed, config.LINE_KEY, _NEWEST)
+        if mode is LoadMode.FULL_REFRESH:
+            tables.replace_table(latest, table, [tables.PERIOD])
+        else:
+            tables.replace_periods(table, latest)
 
 
 @dataclass
