@@ -322,7 +322,9 @@ def distribution(
     aggregates += totals
     blocks.append(([n for n, _ in totals], [t for t, _ in ordered]))
 
-    grouped = split.groupBy("item_principal_cadeia", "_side").agg(*[c.alias(n) for n, c in aggregates])
+    grouped = split.groupBy("item_principal_cadeia", "_side").agg(
+        F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in aggregates]
+    )
     prefix = file_prefix or " ".join(s.prefix for s in segments)
     return grouped.select(
         F.lit(dates.file_title(prefix, window.as_of, config.SHARE_TITLE)).alias("file"),
