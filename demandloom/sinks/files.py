@@ -17,6 +17,7 @@ import zipfile
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import groupby
 from typing import Any
 from xml.sax.saxutils import escape
 
@@ -249,10 +250,13 @@ def write_single(
         old = old.select(*[F.col(f"`{c}`").try_cast(rows.schema[c].dataType).alias(c) for c in df.columns])
         rows = old.withColumn("_part", F.lit(0)).unionByName(rows)
     limit = sheet_row_limit(len(header)) if file_type == "excel" else config.MAX_FILE_ROWS
-    if rows.limit(limit + 1).count() > limit:
+    found = rows.limit(limit + 1).count()
+    if found > limit:
         raise ValueError(f"more than {limit} rows: too large for one {file_type} file, write a table instead")
     ordered = rows.repartition(1).sortWithinPartitions("_part", *order_by).select(*[F.col(f"`{c}`") for c in header])
     writer, names = _WRITERS[file_type], list(header)
+    if not found:
+        return _put_file(path, lambda out: writer(out, names, iter(())))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values = (
@@ -393,39 +397,52 @@ def export_workbooks(
         return float(body) if any(c in body for c in ".EN") else int(body)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stream = (
+        rows = (
             (file, position, cells)
             for batch in batches
             for file, position, cells in zip(batch["_file"], batch["_position"], batch["cells"])
         )
-        current = next(stream, None)
-        while current is not None:
-            file = current[0]
-            sheets = sorted(layout[file])
-
-            def fill(out) -> int:
-                nonlocal current
-                count = 0
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-                    for number, (position, _, header) in enumerate(sheets, 1):
-                        sheet = _Sheet(book, number, [text_of(h) for h in header])
-                        while current is not None and current[0] == file and current[1] == position:
-                            sheet.add([read_cell(c) for c in current[2]])
-                            count += 1
-                            current = next(stream, None)
-                        sheet.close()
-                    _close_workbook(book, [name for _, name, _ in sheets])
-                return count
-
-            path = f"{folder}/{file}.xlsx"
-            count = _put_file(path, fill)
-            yield pd.DataFrame({"file": [file], "path": [path], "sheets": [len(sheets)], "rows": [count]})
+        for file, of_file in groupby(rows, key=lambda r: r[0]):
+            by_sheet = groupby(of_file, key=lambda r: r[1])
+            sheets = ((p, ([read_cell(c) for c in r[2]] for r in part)) for p, part in by_sheet)
+            yield pd.DataFrame([_put_workbook(folder, file, layout[file], sheets)], columns=_WRITTEN)
 
     written = spread.mapInPandas(write, "file string, path string, sheets int, rows long")
-    results = written.collect()  # one row per workbook
+    results = [tuple(r) for r in written.collect()]  # one row per workbook
+    done = {r[0] for r in results}
+    results += [_put_workbook(folder, f, sheets, iter(())) for f, sheets in layout.items() if f not in done]
     return spark.createDataFrame(results, written.schema)
 
 
+_WRITTEN = ["file", "path", "sheets", "rows"]
+
+
+def _put_workbook(
+    folder: str, file: str, layout: Sequence[tuple[int, str, list[str]]],
+    rows_by_sheet: Iterator[tuple[int, Iterator[Sequence[Any]]]],
+) -> tuple[str, str, int, int]:
+    """Stream the rows of one workbook, which arrive in sheet order, into its file."""
+
+    def fill(out) -> int:
+        count = 0
+        arriving = next(rows_by_sheet, None)
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+            for number, (position, _, header) in enumerate(sorted(layout), 1):
+                sheet = _Sheet(book, number, [text_of(h) for h in header])
+                if arriving is not None and arriving[0] == position:
+                    for row in arriving[1]:
+                        sheet.add(row)
+                        count += 1
+                    arriving = next(rows_by_sheet, None)
+                sheet.close()
+            _close_workbook(book, [name for _, name, _ in sorted(layout)])
+        return count
+
+    path = f"{folder}/{file}.xlsx"
+    count = _put_file(path, fill)
+    return file, path, len(layout), count
+
+
 def text_of(header: str) -> str:
     """A header cell without control characters."""
     return "".join(c for c in header if c >= " " or c in "\t\n\r")

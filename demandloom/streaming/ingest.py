@@ -79,7 +79,11 @@ class OrderIngest:
         save_batch(prepare_batch(lines, self.mode, load_id), self.table, self.mode)
 
     def start(self) -> StreamingQuery:
-        """Process every file not seen before, then stop."""
+        """Process every file not seen before, then stop.
+
+        Batches run in the stream's own session, so a session that has read
+        the table before must refresh it afterwards, as :meth:`run` does.
+        """
         stream = stream_order_files(self.spark, self.folder, self.pattern, self.max_files_per_batch)
         return (
             stream.writeStream.trigger(availableNow=True)
@@ -92,6 +96,9 @@ class OrderIngest:
         """Run to the end and return one metrics row per batch."""
         query = self.start()
         query.awaitTermination()
+        for table in (self.table, f"{self.table}_quarantine"):
+            if self.spark.catalog.tableExists(table):
+                self.spark.catalog.refreshTable(table)
         return [
             {"batch_id": p["batchId"], "input_rows": p["numInputRows"]}
             for p in query.recentProgress
