@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -57,6 +58,8 @@ class Model:
 
     A dimension is measured when first joined, once per model; its size picks
     the join strategy. Repeated keys are refused by :meth:`require_unique_keys`.
+    The report date is also looked up once, so that all reports of a model
+    share it; make a new model for new data.
     """
 
     def __init__(
@@ -77,6 +80,7 @@ class Model:
         self.dimensions = dimensions(chain, sales_areas, customers)
         self.broadcast_limit = broadcast_limit
         self._sizes: dict[str, int] = {}
+        self._as_of: date | None = None
 
     def sizes(self, *names: str) -> dict[str, int]:
         """In-memory bytes of the named dimensions."""
@@ -88,8 +92,13 @@ class Model:
     def require_unique_keys(self) -> None:
         require_unique_keys(self.dimensions)
 
+    def order_dates(self) -> DataFrame:
+        """The dates the report month is taken from."""
+        return self.lines.select("data")
+
     def window(self, months: int = config.WINDOW_MONTHS) -> dates.Window:
-        return dates.Window(dates.reference_date(self.lines), months)
+        self._as_of = self._as_of or dates.reference_date(self.order_dates())
+        return dates.Window(self._as_of, months)
 
     def broadcasts(self, *names: str) -> bool:
         return all(size <= self.broadcast_limit for size in self.sizes(*names).values())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from demandloom.plans import reports as plan
 from demandloom.plans.model import Model, analytics_lines
 from demandloom.sinks import tables
 
+CONCURRENT_OUTPUTS = 4
+
 
 def run_reports(
     model: Model,
@@ -40,25 +43,30 @@ def run_reports(
         plan.demand_long(cube, reports, segments, window), long_table, ["report", "org_vendas"]
     )
     long = spark.table(long_table)
-    views = []
-    for report in reports:
+
+    def write_report(report: config.Report) -> list[str]:
         stacked = f"{prefix}{report.name}"
         tables.replace_table(plan.widen(long, report, window), stacked, ["sheet"])
         columns = _columns(spark.table(stacked), report.ids)
-        for segment in segments:
-            file = plan.dates.file_title(segment.prefix, window.as_of, report.title)
-            for sheet in report.sheets(segment):
-                views.append(
-                    _sheet_view(spark, f"{stacked}_{segment.prefix}_{sheet}", stacked, columns, file, sheet)
-                )
-    for segment in segments:
-        shares = plan.distribution(
-            cube.withColumn("data", F.col("month")), [segment], window, codes=codes,
-        )
+        return [
+            _sheet_view(
+                spark, f"{stacked}_{segment.prefix}_{sheet}", stacked, columns,
+                plan.dates.file_title(segment.prefix, window.as_of, report.title), sheet,
+            )
+            for segment in segments
+            for sheet in report.sheets(segment)
+        ]
+
+    def write_shares(segment: config.Segment) -> list[str]:
         name = f"{prefix}{config.SHARE_NAME}_{segment.prefix}_{config.TOTAL_SHEET}"
-        tables.replace_table(shares, name)
-        views.append(name)
-    return [v.lower() for v in views]
+        months = cube.withColumn("data", F.col("month"))
+        tables.replace_table(plan.distribution(months, [segment], window, codes=codes), name)
+        return [name]
+
+    # The outputs are small next to the cube, so several jobs share the cluster.
+    with ThreadPoolExecutor(max_workers=CONCURRENT_OUTPUTS) as pool:
+        written = [*pool.map(write_report, reports), *pool.map(write_shares, segments)]
+    return [name.lower() for names in written for name in names]
 
 
 def _columns(df: DataFrame, ids: Sequence[str]) -> list[str]:

@@ -56,7 +56,7 @@ def _report(name: str, legacy: bool = False) -> config.Report:
 
 
 def _wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     return reports.demand_wide(model.report_lines(), _report(name), sample.SEGMENTS, model.window())
 
 
@@ -73,7 +73,7 @@ def _short(df: DataFrame) -> DataFrame:
 
 @query
 def j1_j3_enriched_lines(spark, sf_dir):
-    return comparable(sample.SampleModel(spark, sf_dir).enriched())
+    return comparable(sample.model(spark, sf_dir).enriched())
 
 
 @query
@@ -130,7 +130,7 @@ def d8_urgent_by_customer_wide(spark, sf_dir):
 
 @query
 def d1_d8_all_reports_long(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window = model.window()
     cube = model.cube(window, sample.SEGMENTS, sample.REPORTS)
     return comparable(reports.demand_long(cube, sample.REPORTS, sample.SEGMENTS, window))
@@ -139,7 +139,7 @@ def d1_d8_all_reports_long(spark, sf_dir):
 @query
 def d1_closed_from_long(spark, sf_dir):
     """The wide report derived from the long form of all reports."""
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window = model.window()
     report = [_report("fechada")]
     long = reports.demand_long(model.cube(window, sample.SEGMENTS, report), report, sample.SEGMENTS, window)
@@ -149,7 +149,7 @@ def d1_closed_from_long(spark, sf_dir):
 @query
 def d9_distribution(spark, sf_dir):
     """Shares of the first segment: sites over 6 months, markets over 12."""
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     return reports.distribution(
         model.report_lines(), sample.SEGMENTS[:1], model.window(),
         sites={"AUTOMOBILE": [*sample.SITES, None]}, markets=sample.MARKETS, codes=sample.CODES,
@@ -159,7 +159,7 @@ def d9_distribution(spark, sf_dir):
 @query
 def d9_distribution_all_segments(spark, sf_dir):
     """The older layout: sites of both segments beside markets of all segments (J5)."""
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     sites = {s.code: [*sample.SITES, None] for s in sample.SEGMENTS}
     return reports.distribution(
         model.report_lines(), sample.SEGMENTS, model.window(), sites=sites, markets=sample.MARKETS,
@@ -169,14 +169,14 @@ def d9_distribution_all_segments(spark, sf_dir):
 
 @query
 def d10_analytics_typed(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     return comparable(analytics_lines(model, model.window(config.ANALYTICS_MONTHS)))
 
 
 @query
 def d11_stacked_sheets(spark, sf_dir):
     """Older layout: 48 months, total only for the second segment, all stacked (U1)."""
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     report = _report("fechada_novos_modelos", legacy=True)
     window, placed = model.window(report.months), model.report_lines()
     parts = [reports.demand_wide(placed, report, [segment], window) for segment in sample.SEGMENTS]
@@ -185,7 +185,7 @@ def d11_stacked_sheets(spark, sf_dir):
 
 @query
 def a4_site_share(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     lines = model.report_lines(F.col("org_vendas") == "AUTOMOBILE")
     return reports.value_share(
         lines, "centro_original", model.window(config.SITE_SHARE_MONTHS), [*sample.SITES, None]
@@ -194,7 +194,7 @@ def a4_site_share(spark, sf_dir):
 
 @query
 def a5_market_share(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     lines = model.with_head(model.lines.where("org_vendas = 'AUTOMOBILE'"))
     return reports.value_share(
         lines, "canal_dist", model.window(config.MARKET_SHARE_MONTHS), sample.MARKETS,
@@ -211,7 +211,7 @@ def j4_shares_full_join(spark, sf_dir):
 
 @query
 def a11_customer_totals(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window = model.window(12)
     rows = window.contains(F.col("data")) & (F.col("org_vendas") == "AUTOMOBILE")
     return comparable(summaries.customer_totals(model.enriched(rows)))
@@ -219,7 +219,7 @@ def a11_customer_totals(spark, sf_dir):
 
 @query
 def a12_segment_state_months(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window = model.window(6)
     label = F.when(F.col("org_vendas") == "AUTOMOBILE", "AUT").otherwise("OUT")
     groups = {"Segmento": label, "Item Principal Cadeia": F.col("item_principal_cadeia"), "Estado": F.col("estado")}
@@ -230,7 +230,7 @@ def a12_segment_state_months(spark, sf_dir):
 @query
 def f11_ad_hoc_lines(spark, sf_dir):
     """Lines of one state in a chosen period, newest first."""
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     rows = F.col("data").between("2001-01-01", "2001-06-30")
     found = model.with_customer(model.lines.where(rows)).where("estado = 'NATION_3'")
     return comparable(
@@ -436,7 +436,7 @@ def a9_key_summary(spark, sf_dir):
 
 @query
 def a14_table_profile(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     columns = ["numero_ov", "org_vendas", "canal_dist", "centro_original"]
     return quality.table_profile(model.with_site(model.lines).select(*columns))
 
@@ -474,7 +474,7 @@ def a7_load_summary(spark, sf_dir):
 
 @query
 def a8_report_row_counts(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window = model.window()
     cube = model.cube(window, sample.SEGMENTS, sample.REPORTS)
     long = reports.demand_long(cube, sample.REPORTS, sample.SEGMENTS, window)
@@ -496,7 +496,7 @@ def a10_date_span_by_file(spark, sf_dir):
 @query
 def a13_file_sheets(spark, sf_dir):
     """Sheets per report file."""
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window = model.window()
     cube = model.cube(window, sample.SEGMENTS, sample.REPORTS)
     long = reports.demand_long(cube, sample.REPORTS, sample.SEGMENTS, window)
@@ -759,7 +759,7 @@ def k11_k12_csv_export(spark, sf_dir):
 def _report_tables(spark, sf_dir, label) -> list[str]:
     """Two reports as stored tables with file and sheet columns."""
     database = scratch_database(spark, label)
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     window, placed = model.window(), model.report_lines()
     names = []
     for report in ("fechada", "mi"):
@@ -788,7 +788,7 @@ def k14_s4_workbook_readback(spark, sf_dir):
 
 
 def _state_months(spark, sf_dir):
-    model = sample.SampleModel(spark, sf_dir)
+    model = sample.model(spark, sf_dir)
     lines = model.with_customer(model.lines)
     return summaries.month_matrix(lines, {"estado": F.col("estado"), "canal": F.col("canal_dist")}, model.window(3))
 

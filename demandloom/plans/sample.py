@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import config
-from demandloom.functions import dates
 from demandloom.plans.model import Model
 
 SEGMENTS = (
@@ -94,11 +95,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class SampleModel(Model):
-    """The model over the sample tables.
-
-    Every order of the sample has a date, so the report month comes from the
-    date column of the lines alone: an order-key join with two pruned columns.
-    """
+    """The model over the sample tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, **options):
         super().__init__(
@@ -107,8 +104,15 @@ class SampleModel(Model):
         )
         self.spark, self.sf_dir = spark, sf_dir
 
-    def window(self, months: int = config.WINDOW_MONTHS) -> dates.Window:
+    def order_dates(self) -> DataFrame:
+        """Dates of the orders that have lines, without joining the other line columns."""
         item = table(self.spark, self.sf_dir, "lineitem").select("l_orderkey")
         order = table(self.spark, self.sf_dir, "orders")
         dated = order.join(item, order.o_orderkey == item.l_orderkey, "left_semi")
-        return dates.Window(dates.reference_date(dated.select(F.to_date("o_orderdate").alias("data"))), months)
+        return dated.select(F.to_date("o_orderdate").alias("data"))
+
+
+@lru_cache(maxsize=8)
+def model(spark: SparkSession, sf_dir: str) -> SampleModel:
+    """One model per session and folder: its lookups are measured once."""
+    return SampleModel(spark, sf_dir)

@@ -26,9 +26,17 @@ def _rows(columns, rows):
     )
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "float": "FLOAT", "timestamp_ntz": "TIMESTAMP"}
+
+
 def difference(df, con, sql: str) -> str | None:
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    odd = [(n, t, types.get(n)) for n, t in df.dtypes if TYPES.get(t) != types.get(n)]
+    if odd:
+        return f"types differ: {odd}"
     expected = _rows(names, cursor.fetchall())
     if sorted(df.columns) != sorted(names):
         return f"columns differ: {sorted(set(df.columns) ^ set(names))}"
