@@ -60,10 +60,6 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 
 
-def month_label(day: Column) -> Column:
-    return F.date_format(day, "yyyy/MM")
-
-
 def local_now(zone: str = config.AUDIT_ZONE) -> Column:
     """Wall-clock time in ``zone``, whatever the session zone is."""
     return F.convert_timezone(None, F.lit(zone), F.localtimestamp()).cast("timestamp")

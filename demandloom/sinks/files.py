@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from demandloom import config
 from demandloom.functions import text
+from demandloom.sinks.tables import quote_column
 from demandloom.sources.catalog import control_columns
 
 
@@ -322,7 +323,7 @@ def check_plan(plan: DataFrame, columns: Mapping[str, int]) -> list[dict[str, An
     The plan has one row per sheet, a list of report size.
     """
     rows = [r.asDict() for r in name_sheets(plan).orderBy("file", "position").collect()]
-    unsafe = sorted({r["file"] for r in rows if "/" in r["file"] or ".." in r["file"]})
+    unsafe = {r["file"] for r in rows if r["file"] is None or "/" in r["file"] or ".." in r["file"]}
     if unsafe:
         raise ValueError(f"unsafe file names: {unsafe}")
     pairs = [(r["file"], r["sheet"]) for r in rows if r["sheet"] is not None]
@@ -356,35 +357,23 @@ def export_workbooks(
     for r in plan:
         layout.setdefault(r["file"], []).append((r["position"], r["name"], shown[r["table"]]))
 
+    # One small row per sheet: the places rows go to.
+    places = spark.createDataFrame(
+        [(r["table"], r["file"], r["sheet"], r["position"]) for r in plan],
+        "_table string, _file string, _sheet string, _position int",
+    )
     parts = []
     for table, df in frames.items():
-        mine = [r for r in plan if r["table"] == table]
-        if not mine:
-            continue
-        safe = _cells(df.select(*[F.col(f"`{c}`") for c in shown[table]]), guard=True)
-        keys = []
-        if mine[0]["sheet"] is not None:
-            position = reduce(
-                lambda c, r: c.when((F.col("file") == r["file"]) & F.col("sheet").eqNullSafe(F.lit(r["sheet"])), r["position"]),
-                mine[1:],
-                F.when((F.col("file") == mine[0]["file"]) & F.col("sheet").eqNullSafe(F.lit(mine[0]["sheet"])), mine[0]["position"]),
-            )
-            keys = [F.col("file").alias("_file"), position.alias("_position")]
+        # A table with control columns is matched on them; any other has one place.
+        if control_columns(spark, table) == {"file", "sheet"}:
+            mine = F.broadcast(places.where(F.col("_table") == table))
+            placed = df.join(mine, (df["file"] == F.col("_file")) & df["sheet"].eqNullSafe(F.col("_sheet")))
         else:
-            keys = [F.lit(mine[0]["file"]).alias("_file"), F.lit(mine[0]["position"]).alias("_position")]
-        numeric = [isinstance(f.dataType, T.NumericType) for f in safe.schema.fields]
-        by_name = {f.name: f for f in df.schema.fields}
-
-        def cell(name: str, is_number: bool) -> Column:
-            value = F.col(f"`{name}`")
-            kind = by_name[name].dataType
-            if is_number:
-                return F.concat(F.lit("n"), (value.cast("double") if isinstance(kind, T.DecimalType) else value).cast("string"))
-            return F.concat(F.lit("t"), text.cell_text(value.cast("string")))
-
-        cells = F.array(*[cell(c, n) for c, n in zip(shown[table], numeric)])
-        order = F.array(*[F.col(f"`{c}`").cast("string") for c in (order_by or {}).get(table, shown[table][:2])])
-        parts.append(df.select(*keys, order.alias("_order"), cells.alias("cells")))
+            only = next(r for r in plan if r["table"] == table)
+            placed = df.withColumns({"_file": F.lit(only["file"]), "_position": F.lit(only["position"])})
+        order = F.array(*[F.col(quote_column(c)).cast("string") for c in (order_by or {}).get(table, shown[table][:2])])
+        cells = F.array(*[_tagged_cell(f) for f in df.schema.fields if f.name in shown[table]])
+        parts.append(placed.select("_file", "_position", order.alias("_order"), cells.alias("cells")))
     rows = reduce(DataFrame.unionByName, parts)
     spread = rows.repartition(len(layout), "_file").sortWithinPartitions("_file", "_position", "_order")
 
@@ -443,6 +432,16 @@ def _put_workbook(
     return file, path, len(layout), count
 
 
+def _tagged_cell(field: T.StructField) -> Column:
+    """A cell as text with its type in front: n number, t text. NULL stays NULL."""
+    value = F.col(quote_column(field.name))
+    if isinstance(field.dataType, T.DecimalType):
+        value = value.cast("double")
+    if isinstance(field.dataType, T.NumericType):
+        return F.concat(F.lit("n"), value.cast("string"))
+    return F.concat(F.lit("t"), text.cell_text(value.cast("string")))
+
+
 def text_of(header: str) -> str:
     """A header cell without control characters."""
     return "".join(c for c in header if c >= " " or c in "\t\n\r")

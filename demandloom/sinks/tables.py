@@ -111,6 +111,7 @@ def upsert(
     partition_by: str | None = None,
     quarantine: str | None = None,
     newest: Sequence[str] = (),
+    fixed_partition: bool = False,
 ) -> None:
     """Update rows with a known key, insert the others.
 
@@ -119,7 +120,9 @@ def upsert(
     match, so it goes to the ``quarantine`` table; without one it is an error.
     The target is created when missing. With a partition column, the partitions
     to rewrite are those of the arriving rows plus those where their keys live
-    now; that list is bounded by the number of partitions.
+    now; that list is bounded by the number of partitions. Finding where keys
+    live reads the key columns of the whole table; ``fixed_partition`` skips it
+    when a key is known never to change its partition.
     """
     with staged(source) as rows:
         arriving, broken = split_null_keys(rows, keys)
@@ -128,11 +131,12 @@ def upsert(
         elif not broken.isEmpty():
             raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
         arriving = latest_per_key(arriving, keys, newest) if newest else arriving
-        _upsert(table, arriving, keys, keep_first, partition_by)
+        _upsert(table, arriving, keys, keep_first, partition_by, fixed_partition)
 
 
 def _upsert(
-    table: str, arriving: DataFrame, keys: Sequence[str], keep_first: Sequence[str], partition_by: str | None
+    table: str, arriving: DataFrame, keys: Sequence[str], keep_first: Sequence[str],
+    partition_by: str | None, fixed_partition: bool,
 ) -> None:
     spark = arriving.sparkSession
     if not spark.catalog.tableExists(table):
@@ -143,8 +147,11 @@ def _upsert(
         with staged(merge_rows(target, arriving, keys, keep_first)) as merged:
             replace_table(merged, table)
         return
-    homes = target.select(*keys, partition_by).join(arriving.select(*keys), list(keys), "left_semi")
-    touched = [r[0] for r in homes.select(partition_by).union(arriving.select(partition_by)).distinct().collect()]
+    places = arriving.select(partition_by)
+    if not fixed_partition:
+        homes = target.select(*keys, partition_by).join(arriving.select(*keys), list(keys), "left_semi")
+        places = places.union(homes.select(partition_by))
+    touched = [r[0] for r in places.distinct().collect()]
     if not touched:
         return
     merged = merge_rows(target.where(F.col(partition_by).isin(touched)), arriving, keys, keep_first)

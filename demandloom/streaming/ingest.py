@@ -35,7 +35,7 @@ def prepare_batch(lines: DataFrame, mode: LoadMode = LoadMode.INCREMENTAL, load_
     return tables.with_period(typed)
 
 
-def save_batch(batch: DataFrame, table: str, mode: LoadMode) -> None:
+def save_batch(batch: DataFrame, table: str, mode: LoadMode, fixed_dates: bool = False) -> None:
     """Store a prepared batch, newest row per key.
 
     Running it again with the same rows leaves the table as it is. Rows
@@ -45,7 +45,7 @@ def save_batch(batch: DataFrame, table: str, mode: LoadMode) -> None:
     if mode is LoadMode.INCREMENTAL:
         tables.upsert(
             table, batch, config.LINE_KEY, keep_first=_KEPT, partition_by=tables.PERIOD,
-            quarantine=quarantine, newest=_NEWEST,
+            quarantine=quarantine, newest=_NEWEST, fixed_partition=fixed_dates,
         )
         return
     with tables.staged(batch) as rows:
@@ -60,7 +60,11 @@ def save_batch(batch: DataFrame, table: str, mode: LoadMode) -> None:
 
 @dataclass
 class OrderIngest:
-    """A file stream into the raw order table."""
+    """A file stream into the raw order table.
+
+    ``fixed_dates`` promises that a line never changes its order month, which
+    spares the search for the month a known key is stored under.
+    """
 
     spark: SparkSession
     folder: str
@@ -69,6 +73,7 @@ class OrderIngest:
     mode: LoadMode = LoadMode.INCREMENTAL
     max_files_per_batch: int | None = None
     pattern: str = "*.txt"
+    fixed_dates: bool = False
 
     def __post_init__(self):
         if self.mode is not LoadMode.INCREMENTAL and self.max_files_per_batch:
@@ -76,7 +81,7 @@ class OrderIngest:
 
     def _handle(self, lines: DataFrame, batch_id: int) -> None:
         load_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{self.checkpoint}#{batch_id}"))
-        save_batch(prepare_batch(lines, self.mode, load_id), self.table, self.mode)
+        save_batch(prepare_batch(lines, self.mode, load_id), self.table, self.mode, self.fixed_dates)
 
     def start(self) -> StreamingQuery:
         """Process every file not seen before, then stop.

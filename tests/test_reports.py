@@ -177,13 +177,16 @@ def test_customer_numbers_with_leading_zeros(build):
     assert build(rows, bare_customer_numbers=True).enriched().first()["razao_social"] == "Dealer 7"
 
 
-def test_enriched_columns_and_analytics(build):
+def test_enriched_columns_and_analytics(spark, database, build):
     model = build([order("1", "2026-06-05", 1.9), order("2", "2021-06-30", 1)])
     assert model.enriched().columns == list(config.ENRICHED_COLUMNS)
     typed = analytics_lines(model, model.window(config.ANALYTICS_MONTHS))
     assert typed.columns == [n for n, _ in config.ANALYTICS_FIELDS.values()]
     assert dict(typed.dtypes)["quantidade"] == "int" and dict(typed.dtypes)["data_ordem"] == "date"
     assert [r["quantidade"] for r in typed.collect()] == [1]
+    for _ in range(2):
+        pipeline.run_analytics(model, f"{database}.refined_demand_analytics")
+    assert spark.table(f"{database}.refined_demand_analytics").count() == 1
 
 
 def test_totals_agree_across_reports(spark, sf_dir):

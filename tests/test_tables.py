@@ -90,6 +90,14 @@ def test_upsert_rewrites_only_touched_months(spark, database):
     assert "ano_mes=202602" not in kept
 
 
+def test_upsert_with_fixed_partitions(spark, database):
+    name = f"{database}.fixed"
+    tables.replace_table(lines(spark, ("1", "1", "2026-01-05", 1), ("2", "1", "2026-02-05", 2)), name, [tables.PERIOD])
+    change = lines(spark, ("2", "1", "2026-02-06", 20), ("3", "1", "2026-03-07", 5))
+    tables.upsert(name, change, config.LINE_KEY, partition_by=tables.PERIOD, fixed_partition=True)
+    assert rows(spark.table(name).select("numero_ov", "quantidade")) == [("1", 1), ("2", 20), ("3", 5)]
+
+
 def test_upsert_unpartitioned_and_missing_table(spark, database):
     name = f"{database}.dim"
     for batch in ([("a", 1)], [("a", 2), ("b", 3)]):
