@@ -1,8 +1,9 @@
 """Dimension joins that check the size of what they broadcast.
 
 A dimension is measured once. Under the limit it is broadcast. Beyond it both
-sides are shuffled on the key plus a salt, so that a key which owns a third of
-all facts is spread over ``SALTS`` tasks.
+sides are shuffled on the key plus a salt. The salt is 0 except for the largest
+keys and for NULL keys, whose facts are spread over ``SALTS`` tasks; only the
+few lookup rows of the largest keys are copied.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 256 * 1024 * 1024
-SALTS = 64
+# A key below the HOT_KEYS largest holds under 1/HOT_KEYS of the rows; a key with
+# fewer than HOT_ROWS rows is no burden for one task.
+HOT_KEYS = 1_000
+HOT_ROWS = 1_000_000
+SALTS = 256
 
 
 @dataclass(frozen=True)
@@ -65,28 +70,62 @@ def require_unique_keys(dimensions: Mapping[str, Dimension]) -> None:
         raise ValueError(f"repeated keys would multiply quantities, in dimensions: {repeated}")
 
 
-def _salted(rows: DataFrame, salts: int) -> DataFrame:
-    # From the row itself, not random: a recomputed task gives the same salt.
-    return rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+def hot_keys(rows: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame | None:
+    """The largest keys with at least ``min_rows`` rows, under the names ``_hot_0``…"""
+    counts = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    named = counts.where(F.col("_n") >= min_rows).orderBy(F.col("_n").desc()).limit(HOT_KEYS).select(
+        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
+    )
+    found = named.collect()  # at most HOT_KEYS rows
+    return rows.sparkSession.createDataFrame(found, named.schema) if found else None
+
 
+def _marked(rows: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Add ``_is_hot`` by a broadcast of the short list of hot keys."""
+    if hot is None:
+        return rows.withColumn("_is_hot", F.lit(False))
+    listed = F.broadcast(hot.withColumn("_listed", F.lit(True)))
+    on = [rows[k] == listed[f"_hot_{i}"] for i, k in enumerate(keys)]
+    marked = rows.join(listed, on, "left").withColumn("_is_hot", F.col("_listed").isNotNull())
+    return marked.drop("_listed", *hot.columns)
 
-def _copied(lookup: DataFrame, salts: int) -> DataFrame:
-    return lookup.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+def spread_join(
+    rows: DataFrame, on: Sequence[str], lookup: DataFrame, keys: Sequence[str], how: str,
+    min_rows: int = HOT_ROWS, salts: int = SALTS,
+) -> DataFrame:
+    """Shuffle join (left or left_anti) in which no key of ``rows`` falls on one task.
+
+    ``lookup`` names its columns apart from those of ``rows``. The salt comes
+    from the row, not from chance: a repeated task gives the same rows.
+    """
+    hot = hot_keys(rows, on, min_rows)
+    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    spread = _marked(rows, on, hot).withColumn(
+        "_salt",
+        F.when(F.col("_is_hot") | incomplete, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+        .otherwise(0).cast("int"),
+    ).drop("_is_hot")
+    copied = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = _marked(lookup, keys, hot).withColumn("_copy", F.explode(copied)).drop("_is_hot")
+    pairs = [spread[c] == copies[k] for c, k in zip(on, keys)]
+    joined = spread.join(copies, [*pairs, spread["_salt"] == copies["_copy"]], how)
+    return joined.drop("_salt", "_copy")
 
 
 def left_join_dimension(
-    fact: DataFrame, dimension: Dimension, fits_broadcast: bool, salts: int = SALTS
+    fact: DataFrame, dimension: Dimension, fits_broadcast: bool, min_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Left join on equal keys; the attributes are added to the fact's columns."""
+    keys = [f"_key_{i}" for i in range(len(dimension.keys))]
     renamed = dimension.table.select(
-        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(dimension.keys)], *dimension.attributes
+        *[F.col(k).alias(name) for k, name in zip(dimension.keys, keys)], *dimension.attributes
     )
-    on = [fact[c] == renamed[f"_key_{i}"] for i, c in enumerate(dimension.on)]
     if fits_broadcast:
+        on = [fact[c] == renamed[k] for c, k in zip(dimension.on, keys)]
         joined = fact.join(F.broadcast(renamed), on, "left")
     else:
-        spread, copies = _salted(fact, salts), _copied(renamed, salts)
-        joined = spread.join(copies, [*on, spread["_salt"] == copies["_copy"]], "left")
+        joined = spread_join(fact, dimension.on, renamed, keys, "left", min_rows)
     return joined.select(*fact.columns, *dimension.attributes)
 
 
@@ -97,13 +136,10 @@ def full_join_filled(left: DataFrame, right: DataFrame, key: str | Sequence[str]
 
 def orphans(
     child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
-    limit: int = BROADCAST_BYTES, salts: int = SALTS,
+    limit: int = BROADCAST_BYTES, min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Child rows whose key has no parent. NULL keys count as orphans."""
     parents = parent.select(F.col(parent_key).alias("_parent")).distinct()
     if measure({"parents": parents})["parents"] <= limit:
         return child.join(F.broadcast(parents), child[child_key] == F.col("_parent"), "left_anti")
-    spread = _salted(child, salts)
-    copies = _copied(parents, salts)
-    on = (spread[child_key] == copies["_parent"]) & (spread["_salt"] == copies["_copy"])
-    return spread.join(copies, on, "left_anti").drop("_salt")
+    return spread_join(child, [child_key], parents, ["_parent"], "left_anti", min_rows)

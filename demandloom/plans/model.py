@@ -14,6 +14,7 @@ from demandloom.functions import dates, text
 from demandloom.operators.cleaning import rename_and_cast
 from demandloom.operators.joins import (
     BROADCAST_BYTES,
+    HOT_ROWS,
     Dimension,
     left_join_dimension,
     measure,
@@ -70,6 +71,7 @@ class Model:
         customers: DataFrame,
         bare_customer_numbers: bool = False,
         broadcast_limit: int = BROADCAST_BYTES,
+        hot_rows: int = HOT_ROWS,
     ):
         if bare_customer_numbers:
             # Dimensions hold customer numbers without leading zeros.
@@ -78,7 +80,7 @@ class Model:
             )
         self.lines = lines
         self.dimensions = dimensions(chain, sales_areas, customers)
-        self.broadcast_limit = broadcast_limit
+        self.broadcast_limit, self.hot_rows = broadcast_limit, hot_rows
         self._sizes: dict[str, int] = {}
         self._as_of: date | None = None
 
@@ -104,7 +106,7 @@ class Model:
         return all(size <= self.broadcast_limit for size in self.sizes(*names).values())
 
     def _join(self, fact: DataFrame, name: str) -> DataFrame:
-        return left_join_dimension(fact, self.dimensions[name], self.broadcasts(name))
+        return left_join_dimension(fact, self.dimensions[name], self.broadcasts(name), self.hot_rows)
 
     def with_head(self, fact: DataFrame) -> DataFrame:
         joined = self._join(fact, "chain")

@@ -149,7 +149,8 @@ def test_repeated_dimension_keys_are_refused(build, database):
 
 def test_large_dimensions_give_the_same_result(spark, sf_dir):
     """Without broadcast: salted joins, and lines summed before the lookups."""
-    small, large = sample.SampleModel(spark, sf_dir), sample.SampleModel(spark, sf_dir, broadcast_limit=-1)
+    small = sample.SampleModel(spark, sf_dir)
+    large = sample.SampleModel(spark, sf_dir, broadcast_limit=-1, hot_rows=20)
     window = small.window()
 
     def long(model):
@@ -164,8 +165,17 @@ def test_large_dimensions_give_the_same_result(spark, sf_dir):
 
 def test_hot_material_is_spread(spark, build):
     rows = [order(str(i), "2026-06-05", 1, customer="7" if i % 3 else "8") for i in range(300)]
-    model = build(rows, broadcast_limit=-1)
+    model = build(rows + [order("n", "2026-06-05", 0, material=None)], broadcast_limit=-1, hot_rows=10)
+    assert [tuple(r) for r in joins.hot_keys(model.lines, ["material", "org_vendas"], 10).collect()] == [("M1", "0200")]
+    assert joins.hot_keys(model.lines, ["material", "org_vendas"], 1000) is None
     placed = model.report_lines()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = model.with_head(model.lines).where("material = 'M1'")
+        assert hot.select(F.spark_partition_id().alias("task")).distinct().count() > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    placed = placed.where("material IS NOT NULL")
     assert placed.count() == 300
     closed = reports.demand_wide(placed, report("fechada"), config.SEGMENTS, model.window())
     assert {r["sheet"]: r["2026/06"] for r in closed.collect()} == {"TTL": 300, "0203": 200, "0209": 100}
