@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -19,12 +21,33 @@ SETTINGS = {
 }
 
 
+_SHIPPED_TO: set[str] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings and make the package known to the Python workers."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's source to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED_TO:
+        return
+    package = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="demandloom-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED_TO.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from demandloom import config
 from demandloom.functions import text
+from demandloom.session import ship_package
 from demandloom.sinks.tables import quote_column
 from demandloom.sources.catalog import control_columns
 
@@ -240,6 +241,7 @@ def write_single(
     if file_type not in _WRITERS:
         raise ValueError(f"file type {file_type!r} is not one of {sorted(_WRITERS)}")
     spark = df.sparkSession
+    ship_package(spark)
     rows = _cells(df, guard=file_type != "json").withColumn("_part", F.lit(1))
     header = list(df.columns)
     if mode == "append" and _file_exists(spark, path):
@@ -347,6 +349,7 @@ def export_workbooks(
     and row order, and are streamed into the workbooks by the tasks that
     receive them. Existing workbooks of the plan are replaced; others stay.
     """
+    ship_package(spark)
     frames = {t: spark.table(t) for t in tables}
     shown = {t: [c for c in df.columns if c.lower() not in ("file", "sheet") or control_columns(spark, t) != {"file", "sheet"}]
              for t, df in frames.items()}

@@ -53,9 +53,13 @@ def _read_files(spark: SparkSession, settings: Mapping[str, Any]) -> DataFrame:
     kind = str(options.pop("format", "") or _format_of(path))
     texts = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
     if kind == "excel":
-        from demandloom.sources.workbooks import read_workbooks
+        from demandloom.sources.workbooks import FIRST_SHEET, read_workbooks
 
-        return read_workbooks(spark, path)
+        # "Sheet!A1" names a sheet; the used range of the sheet is read.
+        address = texts.get("dataAddress", "").strip("'\"")
+        sheet = address.split("!")[0].strip("'") if "!" in address else FIRST_SHEET
+        header = texts.get("headerRows", texts.get("header", "true")) not in ("0", "false")
+        return read_workbooks(spark, path, sheet=sheet, header=header)
     return spark.read.format(kind).options(**texts).load(path)
 
 

@@ -11,6 +11,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import chain
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -18,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.functions import text
+from demandloom.session import ship_package
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _SCHEMA = "path string, sheet string, row_number long, cells map<string,string>"
 _BATCH_ROWS = 5_000
+FIRST_SHEET = ""
+MAX_COLUMNS = 16_384  # of the file format
 
 
 def _column_index(reference: str) -> int:
@@ -76,25 +80,35 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, shared: Sequence[str]) -> Iter
                 yield row
 
 
-def _workbook_rows(path: str, content: bytes, clean: bool, first_sheet_only: bool):
+def _workbook_rows(path: str, content: bytes, clean: bool, sheet: str | None, header: bool):
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_strings(book)
         sheets = _sheet_parts(book)
-        for name, part in sheets[:1] if first_sheet_only else sheets:
+        wanted = sheets[:1] if sheet == FIRST_SHEET else [s for s in sheets if sheet in (None, s[0])]
+        for name, part in wanted:
             rows = _sheet_rows(book, part, shared)
-            header = next(rows, None)
-            if header is None:
+            first = next(rows, None)
+            if first is None:
                 continue
-            names = text.clean_headers(header) if clean else [h or f"col_{i}" for i, h in enumerate(header)]
+            if not header:
+                rows = chain([first], rows)
+                names = [f"_c{i}" for i in range(MAX_COLUMNS)]
+            else:
+                names = text.clean_headers(first) if clean else [h or f"col_{i}" for i, h in enumerate(first)]
             for number, row in enumerate(rows, 1):
                 yield path, name, number, dict(zip(names, row))
 
 
 def read_workbook_cells(
     spark: SparkSession, folder: str, pattern: str = "*.xls*", clean_names: bool = True,
-    first_sheet_only: bool = True,
+    sheet: str | None = FIRST_SHEET, header: bool = True,
 ) -> DataFrame:
-    """One row per sheet row: path, sheet, row number, and cells by header name."""
+    """One row per sheet row: path, sheet, row number, and cells by header name.
+
+    ``sheet`` names a sheet; None reads all. Without ``header`` the columns
+    are ``_c0``, ``_c1``…
+    """
+    ship_package(spark)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -108,7 +122,7 @@ def read_workbook_cells(
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 pending = []
-                for row in _workbook_rows(path, content, clean_names, first_sheet_only):
+                for row in _workbook_rows(path, content, clean_names, sheet, header):
                     pending.append(row)
                     if len(pending) == _BATCH_ROWS:
                         yield pd.DataFrame(pending, columns=columns)
@@ -131,13 +145,15 @@ def read_workbooks(
     columns: Sequence[str] | None = None,
     renames: Mapping[str, str] | None = None,
     pattern: str = "*.xls*",
+    sheet: str | None = FIRST_SHEET,
+    header: bool = True,
 ) -> DataFrame:
-    """First sheet of every workbook in ``folder`` as one all-text DataFrame.
+    """One sheet (the first) of every workbook in ``folder`` as one all-text DataFrame.
 
     Name the ``columns`` (after cleaning) to avoid the extra pass that lists
     the headers. A file without one of them yields NULL there.
     """
-    cells = read_workbook_cells(spark, folder, pattern)
+    cells = read_workbook_cells(spark, folder, pattern, sheet=sheet, header=header)
     renames = renames or {}
     columns = header_names(cells) if columns is None else columns
     return cells.select(*[F.col("cells").getItem(c).alias(renames.get(c, c)) for c in columns])

@@ -12,7 +12,7 @@ from demandloom import config
 from demandloom.operators import cleaning
 from demandloom.session import scratch_path
 from demandloom.sinks import files, tables
-from demandloom.sources import routing, workbooks
+from demandloom.sources import catalog, routing, workbooks
 from demandloom.streaming.ingest import LoadMode, OrderIngest, prepare_batch, save_batch
 from demandloom.sources.files import read_order_files
 
@@ -72,7 +72,7 @@ def test_workbooks(spark, database, tmp_path):
     (tmp_path / "other.xlsx").write_bytes(b"kept")
     written = files.export_workbooks(spark, names, str(tmp_path))
     assert {(r["file"], r["sheets"], r["rows"]) for r in written.collect()} == {("Book A", 4, 5), ("Book B", 1, 1), ("loose", 1, 2)}
-    cells = workbooks.read_workbook_cells(spark, str(tmp_path), "Book A.xlsx", clean_names=False, first_sheet_only=False)
+    cells = workbooks.read_workbook_cells(spark, str(tmp_path), "Book A.xlsx", clean_names=False, sheet=None)
     found = [(r["sheet"], r["cells"]["id"], r["cells"]["2026/01"]) for r in cells.orderBy("row_number").collect()]
     assert sorted(found) == [("0203", "x", "1"), ("TTL", "'=w", "2"), ("TTL", "x", "3"), ("a-b", "y", "5"), ("a-b_2", "y", "6")]
     with zipfile.ZipFile(tmp_path / "Book A.xlsx") as book:
@@ -125,6 +125,10 @@ def test_reading_foreign_workbooks(spark, tmp_path):
     df = workbooks.read_workbooks(spark, str(tmp_path), renames=config.CUSTOMER_RENAMES)
     assert df.columns == ["cliente", "col_unknown", "razao_social"]
     assert rows(df) == [("00077", "5", "Ana")] * 2
+    source = {"file_source": {"path": str(tmp_path), "format": "excel", "headerRows": False, "dataAddress": "'S'!A1"}}
+    assert ("00077", "5", "Ana") in rows(catalog.load_source(spark, source).select("_c0", "_c1", "_c2"))
+    source["file_source"]["dataAddress"] = "Other!A1"
+    assert catalog.load_source(spark, source).count() == 0
     chosen = workbooks.read_workbooks(spark, str(tmp_path), ["cliente", "absent"])
     assert rows(chosen) == [("00077", None)] * 2
     assert cleaning.customer_dimension(df).first()["cliente"] == "77"
