@@ -32,6 +32,7 @@ AUDIT_COLUMNS = ("_ingested_at", "_last_updated_at", "_ingested_by", "_load_type
 RAW_COLUMNS = BUSINESS_COLUMNS + tuple(SOURCE_COLUMNS) + AUDIT_COLUMNS
 LINE_KEY = ("numero_ov", "item")
 QUANTITY_TYPE = "decimal(18,3)"
+PERIOD = "ano_mes"  # partition column of the raw table: yyyymm, 0 without a date
 AUDIT_ZONE = "America/Sao_Paulo"
 
 MONTH_ABBREVIATIONS = (

@@ -48,6 +48,15 @@ class Window:
         return (day >= F.lit(self.start)) & (day <= F.lit(self.end))
 
 
+def rows_in(window: Window, lines: DataFrame) -> Column:
+    """Lines of the window; on lines with a period column, only its partitions."""
+    inside = window.contains(F.col("data"))
+    if config.PERIOD not in lines.columns:
+        return inside
+    first, last = (d.year * 100 + d.month for d in (window.start, window.end))
+    return inside & F.col(config.PERIOD).between(first, last)
+
+
 def reference_date(lines: DataFrame, column: str = "data") -> date:
     """Latest order date; one row reaches the driver."""
     latest = lines.agg(F.max(column).alias("latest")).first()["latest"]

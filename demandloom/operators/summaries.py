@@ -44,7 +44,7 @@ def customer_totals(lines: DataFrame, rows: Column | None = None) -> DataFrame:
 
 def month_matrix(lines: DataFrame, groups: dict[str, Column], window: dates.Window) -> DataFrame:
     """Groups × one whole-number column per month."""
-    inside = lines.where(window.contains(F.col("data")))
+    inside = lines.where(dates.rows_in(window, lines))
     month = dates.month_start(F.col("data"))
     cells = [
         F.coalesce(F.sum(F.when(month == F.lit(m), F.col("quantidade"))).cast("bigint"), F.lit(0).cast("bigint"))

@@ -95,8 +95,11 @@ class Model:
         require_unique_keys(self.dimensions)
 
     def order_dates(self) -> DataFrame:
-        """The dates the report month is taken from."""
-        return self.lines.select("data")
+        """The dates the report month is taken from: those of the newest period, if known."""
+        if config.PERIOD not in self.lines.columns:
+            return self.lines.select("data")
+        newest = self.lines.agg(F.max(config.PERIOD)).first()[0]
+        return self.lines.where(F.col(config.PERIOD) == F.lit(newest)).select("data")
 
     def window(self, months: int = config.WINDOW_MONTHS) -> dates.Window:
         self._as_of = self._as_of or dates.reference_date(self.order_dates())
@@ -142,7 +145,7 @@ class Model:
         ``linhas`` the number of lines that have one.
         """
         lines = self.lines.where(
-            window.contains(F.col("data")) & F.col("org_vendas").isin([s.code for s in segments])
+            dates.rows_in(window, self.lines) & F.col("org_vendas").isin([s.code for s in segments])
         )
         rows = lines.select(
             *PLACING_COLUMNS, dates.month_start(F.col("data")).alias("month"),
@@ -169,5 +172,5 @@ def report_rows(report: config.Report) -> Column:
 def analytics_lines(model: Model, window: dates.Window,
                     fields: Mapping[str, tuple[str, str | None]] = config.ANALYTICS_FIELDS) -> DataFrame:
     """The wide, typed line-level table of the last 60 months (D10)."""
-    recent = model.enriched(F.col("data") >= F.lit(window.start))
+    recent = model.enriched(dates.rows_in(window, model.lines))
     return rename_and_cast(recent, fields)

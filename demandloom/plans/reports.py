@@ -80,7 +80,7 @@ def demand_wide(
     """
     window = window.resized(report.months)
     rows = lines.where(
-        window.contains(F.col("data"))
+        dates.rows_in(window, lines)
         & F.col("org_vendas").isin([s.code for s in segments])
         & report_rows(report)
     )
@@ -237,7 +237,7 @@ def value_share(
     job lists those that occur. A NULL value gives ``DMD_null``.
     """
     names = names or {}
-    rows = lines.where(window.contains(F.col("data")))
+    rows = lines.where(dates.rows_in(window, lines))
     values = observed_values(rows, column) if values is None else values
     titles = [names.get(v, "null" if v is None else v) for v in values]
     ordered = sorted(zip(titles, values), key=lambda p: p[0])
@@ -277,7 +277,8 @@ def distribution(
     in_markets = far.contains(day)
     if not all_markets:
         in_markets = in_markets & F.col("org_vendas").isin(codes_wanted)
-    rows = lines.where(in_sites | in_markets)
+    longest = window.resized(max(site_months, market_months))
+    rows = lines.where((in_sites | in_markets) & dates.rows_in(longest, lines))
     if sites is None:
         sites = {
             s.code: observed_values(

@@ -19,7 +19,7 @@ from demandloom import config
 from demandloom.operators.merging import append_rows, delete_rows, in_month, latest_per_key, merge_rows, split_null_keys
 from demandloom.session import remove_path, scratch_path
 
-PERIOD = "ano_mes"
+PERIOD = config.PERIOD
 
 
 def with_period(df: DataFrame, day: str = "data") -> DataFrame:

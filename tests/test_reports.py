@@ -10,6 +10,7 @@ from demandloom import config
 from demandloom.operators import joins
 from demandloom.plans import pipeline, reports, sample
 from demandloom.plans.model import Model, analytics_lines
+from demandloom.sinks import tables
 
 LINES = ("numero_ov string, item string, data date, tipo_ov string, org_vendas string, canal_dist string, "
          "setor_ativ string, centro string, emissor_da_ordem string, material string, quantidade decimal(18,3)")
@@ -244,3 +245,16 @@ def test_no_shuffle_beyond_the_aggregation(spark, sf_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_reports_read_only_the_months_they_need(spark, database, build):
+    plain = build([order("1", "2026-06-05", 1), order("2", "2025-01-05", 2), order("3", "2020-01-05", 3)])
+    name = f"{database}.raw"
+    tables.replace_table(tables.with_period(plain.lines), name, [tables.PERIOD])
+    stored = build([order("1", "2026-06-05", 1)])
+    stored.lines = spark.table(name)
+    assert stored.window() == plain.window()
+    found = wide(stored, "fechada")
+    assert found.exceptAll(wide(plain, "fechada")).isEmpty() and found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano_mes" in plan and "202407" in plan
