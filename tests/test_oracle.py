@@ -13,7 +13,7 @@ def oracle(sf_dir):
     return compare.oracle_connection(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, sf_dir, oracle, name):
     assert compare.difference(entry.queries()[name](spark, sf_dir), oracle, entry.oracle_sql()[name]) is None
 
