@@ -20,7 +20,7 @@ WITH d AS (
   FROM documents
 ), w AS (
   SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
   FROM d
 ), grams AS (
   SELECT uid, i, words[i:i+2] AS gram FROM (SELECT uid, words, unnest(range(1, len(words) - 1)) AS i FROM w)
