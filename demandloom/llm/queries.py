@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import chat, html, quality, sharding
+from demandloom.llm import chat, html, packing, quality, sharding, simhash
 from demandloom.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,16 @@ def op3_html_main_text(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_best_fit_matrices(spark, sf_dir):
+    return packing.pack_matrices(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_cost_balanced_packing(spark, sf_dir):
+    return packing.pack_balanced(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_line_frequency(spark, sf_dir):
     return quality.verdicts(table(spark, sf_dir, "documents"))
@@ -88,3 +98,8 @@ def op7_chat_format(spark, sf_dir):
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                   F.lit(PROBE).alias("text"))
     return chat.summaries(turns.unionByName(probe))
+
+
+@query
+def op9_simhash_components(spark, sf_dir):
+    return simhash.components(table(spark, sf_dir, "documents"))
