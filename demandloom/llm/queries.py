@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import chat, html, packing, quality, sharding, simhash
+from demandloom.llm import chat, html, packing, pii, quality, sharding, simhash
 from demandloom.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,8 @@ def op7_chat_format(spark, sf_dir):
 @query
 def op9_simhash_components(spark, sf_dir):
     return simhash.components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_weak_supervision_pii(spark, sf_dir):
+    return pii.detect(table(spark, sf_dir, "documents"))
