@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import chat, html, packing, pii, quality, sharding, simhash
+from demandloom.llm import chat, decontamination, html, packing, pii, quality, sharding, simhash
 from demandloom.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_latent_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op2_rendezvous_sharding(spark, sf_dir):
     return sharding.assign(table(spark, sf_dir, "documents"))
