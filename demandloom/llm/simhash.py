@@ -32,7 +32,7 @@ SEED = 42
 #: Different fingerprints that the routing tree is built from; the only rows that reach the driver.
 SAMPLE = 4096
 #: Fingerprints that a shard should hold. A shard that holds more is worked on in blocks of this size.
-SHARD_ROWS = 8192
+SHARD_ROWS = 1 << 16
 #: Points below which the search inside a shard compares directly.
 DIRECT = 1024
 
