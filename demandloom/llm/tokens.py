@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -19,64 +20,73 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that a byte-level tokenizer writes for each byte: itself if it is printable, else the next free one."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(other)) for b in range(256)]
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space, so that a text's ids are those of its words in turn.
 
-    Words that were seen are looked up; new ones are encoded many at a time
-    between separators. A word that holds the separator itself is encoded
-    alone. When the cache is full it starts anew, so memory is bounded.
+    Words that were seen are looked up. A new word of letters alone is one
+    token group for the tokenizer, so its merges are asked directly; a mark of
+    punctuation at its end is a group of its own. All other words are encoded
+    by the whole tokenizer. When the cache is full it starts anew, so memory
+    is bounded.
     """
 
-    SEPARATOR = "|"
+    MARKS = frozenset(",.;:!?")
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.words = words
+        self.letters = _byte_letters()
+        self.marks = {m: self._whole(m) for m in self.MARKS}
         self.seen: dict[str, bytes] = {"": b""}
-        (self.mark,) = self._ids(self.SEPARATOR)
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
+
+    def _group(self, word: str) -> bytes | None:
+        """Ids of a word of letters; None if it is not one, or if lower case or composition would change that."""
+        if word.isascii():
+            if not word.isalpha():
+                return None
+            plain = word.lower()
+        else:
+            plain = "".join(c.lower() for c in word)
+            if not (plain.isalpha() and word.isalpha() and is_normalized("NFC", word) and is_normalized("NFC", plain)):
+                return None
+            plain = "".join([self.letters[b] for b in plain.encode()])
+        return np.array([t.id for t in self.merges.tokenize(plain)], np.uint16).tobytes()
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.seen) + len(new) > self.words:
-            self.seen = {"": b""}
-        plain = [w for w in new if self.SEPARATOR not in w]
-        for at in range(0, len(plain), 256):
-            part = plain[at:at + 256]
-            text = f" {self.SEPARATOR} ".join(part) + f" {self.SEPARATOR}"
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
-            ends = np.flatnonzero(ids == self.mark)
-            if len(ends) != len(part):
-                raise AssertionError("the separator is not a token of its own")
-            start = 0
-            for word, end in zip(part, ends.tolist()):
-                self.seen[word] = ids[start:end].tobytes()
-                start = end + 1
         for word in new:
-            if self.SEPARATOR in word:
-                self.seen[word] = np.array(self._ids(word), np.uint16).tobytes()
+            ids = None
+            if word[-1] in self.marks and len(word) > 1:
+                stem = self.seen.get(word[:-1]) or self._group(word[:-1])
+                if stem is not None and word[-2].isalpha():
+                    ids = stem + self.marks[word[-1]]
+            else:
+                ids = self._group(word)
+            self.seen[word] = self._whole(word) if ids is None else ids
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of the text as 16-bit unsigned integers."""
-        parts = text.replace("\n", " ").split(" ")
+        parts = text.encode().lower().decode().replace("\n", " ").split(" ")  # bytes: only A-Z changes
         new = [w for w in set(parts) if w not in self.seen]
         if new:
+            if len(self.seen) + len(new) > self.words:
+                self.seen = {"": b""}
+                new = [w for w in set(parts) if w]
             self._learn(new)
-            # After a fresh start of the cache, words of this text that were known before are new again.
-            gone = [w for w in set(parts) if w not in self.seen]
-            if gone:
-                self._learn_all(gone)
         return np.frombuffer(b"".join(map(self.seen.__getitem__, parts)), np.uint16)
 
-    def _learn_all(self, words: list[str]) -> None:
-        """As _learn, but never drops what is there: one text's words must all be known at once."""
-        bound, self.words = self.words, 1 << 62
-        self._learn(words)
-        self.words = bound
-
 
 @cache
 def word_ids(path: str) -> WordIds:
