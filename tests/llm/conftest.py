@@ -1,0 +1,6 @@
+"""Small matrices are multiplied fastest by one thread."""
+
+import os
+
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
