@@ -201,7 +201,10 @@ def links(nodes: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, shard_ro
     """Links (fp, root) that connect exactly the different fingerprints within the radius, from a staged column ``fp``."""
     spark = nodes.sparkSession
     n = nodes.count()
-    some = nodes.orderBy(F.xxhash64("fp"), "fp").limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    # The share to take follows from the count, so that no task sends more than its part of the sample.
+    near = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) <= int(min(1.0, 1.5 * sample / max(1, n)) * (1 << 30))
+    chosen = nodes.where(near).orderBy(F.xxhash64("fp"), "fp").limit(sample)
+    some = chosen.toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     tree = build_routing(some, min(-(-n // shard_rows), max(1, len(some) // 8)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
