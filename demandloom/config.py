@@ -71,8 +71,7 @@ ANALYTICS_FIELDS = {
     "estado": ("uf_cliente", "string"),
     "pais": ("pais_cliente", "string"),
 }
-MAX_FILE_ROWS = 1_000_000
-MAX_SHEET_CELLS = 5_000_000
+SHEET_ROWS = 1_048_576  # of the workbook format, header included; longer tables continue on further sheets
 SHEET_NAME_LENGTH = 31
 
 WINDOW_MONTHS = 24

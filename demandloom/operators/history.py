@@ -32,7 +32,7 @@ def _with_neighbour(rows: DataFrame, keys: Sequence[str], value: str, previous:
             step("_edge").over(across).alias("_outer"),
         )
     )
-    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(group)]
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(group)]
     first_or_last = step(F.lit(True)).over(inside).isNull()
     return (
         rows.withColumns({"_inner": step(value).over(inside), "_border": first_or_last})
@@ -74,10 +74,11 @@ def extend_history(
     history: DataFrame, changes: DataFrame, keys: Sequence[str], at: str, attributes: Sequence[str],
     chunk: str = "month",
 ) -> DataFrame:
-    """Add new versions to an existing history; only the keys that changed are rebuilt."""
-    touched = changes.select(*keys).distinct()
-    same = history.join(touched, list(keys), "left_anti")
-    reopened = history.join(touched, list(keys), "left_semi").select(
+    """Add new versions to an existing history; only the keys that changed are rebuilt. NULL is a key like any other."""
+    touched = changes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    same = history.join(touched, on, "left_anti")
+    reopened = history.join(touched, on, "left_semi").select(
         *keys, F.col("valid_from_ts").alias(at), *attributes, F.lit(0).alias("_arrival")
     )
     arriving = changes.select(*keys, at, *attributes, F.lit(1).alias("_arrival"))

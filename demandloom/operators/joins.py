@@ -1,9 +1,10 @@
 """Dimension joins that check the size of what they broadcast.
 
 A dimension is measured once. Under the limit it is broadcast. Beyond it both
-sides are shuffled on the key plus a salt. The salt is 0 except for the largest
-keys and for NULL keys, whose facts are spread over ``SALTS`` tasks; only the
-few lookup rows of the largest keys are copied.
+sides are shuffled on the key plus a salt. The salt is 0 except for keys (NULL
+among them) with at least ``HOT_ROWS`` rows: their facts are spread over as
+many salts as they have times that number of rows, and only their lookup rows
+are copied.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandloom.session import scratch_path
+
 BROADCAST_BYTES = 256 * 1024 * 1024
-# A key below the HOT_KEYS largest holds under 1/HOT_KEYS of the rows; a key with
-# fewer than HOT_ROWS rows is no burden for one task.
-HOT_KEYS = 1_000
+# A key with fewer rows is no burden for one task.
 HOT_ROWS = 1_000_000
-SALTS = 256
+# Rows of a list of hot keys that is broadcast; a longer one is joined by a shuffle.
+HOT_LIST = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -70,51 +72,66 @@ def require_unique_keys(dimensions: Mapping[str, Dimension]) -> None:
         raise ValueError(f"repeated keys would multiply quantities, in dimensions: {repeated}")
 
 
+def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per combination of the columns, as ``_n``, stored so that several lookups can be counted from it."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _stored(counts, "keycounts")
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame | None:
-    """The largest keys with at least ``min_rows`` rows, under the names ``_hot_0``…"""
-    counts = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    named = counts.where(F.col("_n") >= min_rows).orderBy(F.col("_n").desc()).limit(HOT_KEYS).select(
-        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
+    """All keys with at least ``min_rows`` rows, as ``_hot_0``…, and over how many salts they are spread.
+
+    ``rows`` are the rows themselves or counts of them in ``_n``. None if there
+    is no such key. There are at most rows / ``min_rows`` of them.
+    """
+    n = F.sum("_n") if "_n" in rows.columns else F.count(F.lit(1))
+    named = rows.groupBy(*keys).agg(n.alias("_n")).where(F.col("_n") >= min_rows).select(
+        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)],
+        (F.ceil(F.col("_n") / min_rows) + 1).cast("int").alias("_salts"),
     )
-    found = named.collect()  # at most HOT_KEYS rows
-    return rows.sparkSession.createDataFrame(found, named.schema) if found else None
+    found = _stored(named, "hotkeys")
+    return None if found.isEmpty() else found
 
 
-def _marked(rows: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
-    """Add ``_is_hot`` by a broadcast of the short list of hot keys."""
+def _salted(rows: DataFrame, keys: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Add ``_salts``, 1 for all keys that are not in the list."""
     if hot is None:
-        return rows.withColumn("_is_hot", F.lit(False))
-    listed = F.broadcast(hot.withColumn("_listed", F.lit(True)))
-    on = [rows[k] == listed[f"_hot_{i}"] for i, k in enumerate(keys)]
-    marked = rows.join(listed, on, "left").withColumn("_is_hot", F.col("_listed").isNotNull())
-    return marked.drop("_listed", *hot.columns)
+        return rows.withColumn("_salts", F.lit(1))
+    listed = F.broadcast(hot) if hot.count() <= HOT_LIST else hot
+    on = [rows[k].eqNullSafe(listed[f"_hot_{i}"]) for i, k in enumerate(keys)]
+    joined = rows.join(listed, on, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    return joined.drop(*[f"_hot_{i}" for i in range(len(keys))])
 
 
 def spread_join(
     rows: DataFrame, on: Sequence[str], lookup: DataFrame, keys: Sequence[str], how: str,
-    min_rows: int = HOT_ROWS, salts: int = SALTS,
+    min_rows: int = HOT_ROWS, hot: DataFrame | None = None, counted: bool = False, salt_by: Sequence[str] = (),
 ) -> DataFrame:
     """Shuffle join (left or left_anti) in which no key of ``rows`` falls on one task.
 
-    ``lookup`` names its columns apart from those of ``rows``. The salt comes
-    from the row, not from chance: a repeated task gives the same rows.
+    ``lookup`` names its columns apart from those of ``rows``. ``hot`` is the
+    list of :func:`hot_keys` if that is ``counted`` already. The salt comes from
+    the row, by the columns ``salt_by`` (all of them if none are named), not
+    from chance: a repeated task gives the same rows.
     """
-    hot = hot_keys(rows, on, min_rows)
-    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    spread = _marked(rows, on, hot).withColumn(
-        "_salt",
-        F.when(F.col("_is_hot") | incomplete, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-        .otherwise(0).cast("int"),
-    ).drop("_is_hot")
-    copied = F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = _marked(lookup, keys, hot).withColumn("_copy", F.explode(copied)).drop("_is_hot")
+    hot = hot if counted else hot_keys(rows, on, min_rows)
+    salt = F.pmod(F.xxhash64(*(salt_by or rows.columns)), F.col("_salts")).cast("int")
+    spread = _salted(rows, on, hot).withColumn("_salt", F.when(F.col("_salts") > 1, salt).otherwise(0)).drop("_salts")
+    copies = _salted(lookup, keys, hot).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
     pairs = [spread[c] == copies[k] for c, k in zip(on, keys)]
     joined = spread.join(copies, [*pairs, spread["_salt"] == copies["_copy"]], how)
     return joined.drop("_salt", "_copy")
 
 
 def left_join_dimension(
-    fact: DataFrame, dimension: Dimension, fits_broadcast: bool, min_rows: int = HOT_ROWS
+    fact: DataFrame, dimension: Dimension, fits_broadcast: bool, min_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None, counted: bool = False, salt_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join on equal keys; the attributes are added to the fact's columns."""
     keys = [f"_key_{i}" for i in range(len(dimension.keys))]
@@ -125,7 +142,7 @@ def left_join_dimension(
         on = [fact[c] == renamed[k] for c, k in zip(dimension.on, keys)]
         joined = fact.join(F.broadcast(renamed), on, "left")
     else:
-        joined = spread_join(fact, dimension.on, renamed, keys, "left", min_rows)
+        joined = spread_join(fact, dimension.on, renamed, keys, "left", min_rows, hot, counted, salt_by)
     return joined.select(*fact.columns, *dimension.attributes)
 
 
@@ -139,7 +156,8 @@ def orphans(
     limit: int = BROADCAST_BYTES, min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Child rows whose key has no parent. NULL keys count as orphans."""
-    parents = parent.select(F.col(parent_key).alias("_parent")).distinct()
+    # Stored, because it is measured and joined.
+    parents = _stored(parent.select(F.col(parent_key).alias("_parent")).distinct(), "parents")
     if measure({"parents": parents})["parents"] <= limit:
         return child.join(F.broadcast(parents), child[child_key] == F.col("_parent"), "left_anti")
     return spread_join(child, [child_key], parents, ["_parent"], "left_anti", min_rows)

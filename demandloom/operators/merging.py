@@ -12,8 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PERIODS = 10_000
-
 
 def has_full_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -85,16 +83,15 @@ def in_month(column: str, year: int, month: int) -> Column:
     return (F.col(column) >= start) & (F.col(column) < F.add_months(start, 1))
 
 
-def replace_period(target: DataFrame, source: DataFrame, period: Column) -> DataFrame:
-    """Drop the target rows of the periods that ``source`` brings, then add them.
+def replace_period(target: DataFrame, source: DataFrame, period: Column, keys: Sequence[str]) -> DataFrame:
+    """Drop the target rows of the periods that ``source`` brings and of its keys, then add its rows.
 
-    The periods are listed first (one small value each), so the target is
-    filtered in its scan and not shuffled by a key with few, uneven values.
+    NULL and 0 mean that the date is missing, which is no period: stored
+    undated rows stay unless their key arrives. A key that moved to another
+    period is stored once. A key with a NULL part matches nothing.
     """
-    arriving = [r[0] for r in source.select(period.alias("p")).distinct().limit(MAX_PERIODS + 1).collect()]
-    if len(arriving) > MAX_PERIODS:
-        raise ValueError(f"more than {MAX_PERIODS} distinct values: that is no period")
-    replaced = period.isin([p for p in arriving if p is not None])
-    if None in arriving:
-        replaced = replaced | period.isNull()
-    return delete_rows(target, replaced).unionByName(source.select(*target.columns))
+    arriving = source.select(period.alias("_period")).where("_period IS NOT NULL AND _period <> 0").distinct()
+    moved = source.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).distinct()
+    same = [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)]
+    kept = target.join(arriving, period == F.col("_period"), "left_anti").join(moved, same, "left_anti")
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))

@@ -16,6 +16,8 @@ from demandloom.operators.joins import (
     BROADCAST_BYTES,
     HOT_ROWS,
     Dimension,
+    hot_keys,
+    key_counts,
     left_join_dimension,
     measure,
     require_unique_keys,
@@ -59,8 +61,9 @@ class Model:
 
     A dimension is measured when first joined, once per model; its size picks
     the join strategy. Repeated keys are refused by :meth:`require_unique_keys`.
-    The report date is also looked up once, so that all reports of a model
-    share it; make a new model for new data.
+    The report date is ``as_of``, or the latest order date, looked up once, so
+    that all reports of a model share it; make a new model for new data. With
+    ``as_of``, later lines are left out, so a closed month can be made again.
     """
 
     def __init__(
@@ -72,17 +75,20 @@ class Model:
         bare_customer_numbers: bool = False,
         broadcast_limit: int = BROADCAST_BYTES,
         hot_rows: int = HOT_ROWS,
+        as_of: date | None = None,
     ):
         if bare_customer_numbers:
             # Dimensions hold customer numbers without leading zeros.
             lines = lines.withColumn(
                 "emissor_da_ordem", text.strip_leading_zeros(F.col("emissor_da_ordem"))
             )
+        if as_of is not None:
+            lines = lines.where(F.col("data") <= F.lit(as_of))
         self.lines = lines
         self.dimensions = dimensions(chain, sales_areas, customers)
         self.broadcast_limit, self.hot_rows = broadcast_limit, hot_rows
         self._sizes: dict[str, int] = {}
-        self._as_of: date | None = None
+        self._as_of = as_of
 
     def sizes(self, *names: str) -> dict[str, int]:
         """In-memory bytes of the named dimensions."""
@@ -108,30 +114,47 @@ class Model:
     def broadcasts(self, *names: str) -> bool:
         return all(size <= self.broadcast_limit for size in self.sizes(*names).values())
 
-    def _join(self, fact: DataFrame, name: str) -> DataFrame:
-        return left_join_dimension(fact, self.dimensions[name], self.broadcasts(name), self.hot_rows)
+    def _hot(self, lines: DataFrame, *names: str) -> dict[str, DataFrame | None]:
+        """The hot keys of those dimensions that are too large to broadcast.
 
-    def with_head(self, fact: DataFrame) -> DataFrame:
-        joined = self._join(fact, "chain")
+        All join keys are columns of the base lines, so one count over these
+        serves every lookup, before any join.
+        """
+        large = [n for n in names if not self.broadcasts(n)]
+        if not large:
+            return {}
+        counts = key_counts(lines, sorted({c for n in large for c in self.dimensions[n].on}))
+        return {n: hot_keys(counts, self.dimensions[n].on, self.hot_rows) for n in large}
+
+    def _join(self, fact: DataFrame, name: str, hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
+        hot = self._hot(fact, name) if hot is None else hot
+        by = config.LINE_KEY if set(config.LINE_KEY) <= set(fact.columns) else ()
+        return left_join_dimension(
+            fact, self.dimensions[name], self.broadcasts(name), self.hot_rows, hot.get(name), True, by)
+
+    def with_head(self, fact: DataFrame, hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
+        joined = self._join(fact, "chain", hot)
         return joined.withColumn("item_principal_cadeia", F.coalesce("_head", "material")).drop("_head")
 
-    def with_site(self, fact: DataFrame) -> DataFrame:
-        return self._join(fact, "sales_area")
+    def with_site(self, fact: DataFrame, hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
+        return self._join(fact, "sales_area", hot)
 
-    def with_customer(self, fact: DataFrame) -> DataFrame:
-        return self._join(fact, "customer")
+    def with_customer(self, fact: DataFrame, hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
+        return self._join(fact, "customer", hot)
 
     def enriched(self, rows: Column | None = None) -> DataFrame:
         """The 14-column line view; ``rows`` filters the lines before the joins."""
         lines = self.lines if rows is None else self.lines.where(rows)
         self.sizes(*self.dimensions)
-        return self.with_customer(self.with_site(self.with_head(lines))).select(*config.ENRICHED_COLUMNS)
+        hot = self._hot(lines, *self.dimensions)
+        return self.with_customer(self.with_site(self.with_head(lines, hot), hot), hot).select(*config.ENRICHED_COLUMNS)
 
     def report_lines(self, rows: Column | None = None) -> DataFrame:
         """Lines with chain head and site only, for reports that name no customer data."""
         lines = self.lines if rows is None else self.lines.where(rows)
         self.sizes("chain", "sales_area")
-        return self.with_site(self.with_head(lines))
+        hot = self._hot(lines, "chain", "sales_area")
+        return self.with_site(self.with_head(lines, hot), hot)
 
     def cube(self, window: dates.Window, segments: Sequence[config.Segment],
              reports: Sequence[config.Report]) -> DataFrame:
@@ -155,7 +178,8 @@ class Model:
         totals = [F.sum(c).alias(c) for c in ("milesimos", "linhas")]
         if not self.broadcasts("chain", "sales_area"):
             rows = rows.groupBy(*PLACING_COLUMNS, "month").agg(*totals)
-        placed = self.with_site(self.with_head(rows))
+        hot = self._hot(rows, "chain", "sales_area")
+        placed = self.with_site(self.with_head(rows, hot), hot)
         named = [report_rows(r) for r in reports if "emissor_da_ordem" in r.ids]
         wanted = reduce(lambda a, b: a | b, named, F.lit(False))
         return (

@@ -149,16 +149,39 @@ def _filled(values: list[tuple[str, str | None]]) -> str:
     return ", ".join(f"COALESCE({n}, 0) AS {n}" for n in names)
 
 
-def _distribution() -> str:
-    site = _shares_cte("site", "centro_original", _site_values(), 5, "org_vendas = 'AUTOMOBILE'")
-    market = _shares_cte("market", "canal_dist", MARKETS, 11, "org_vendas = 'AUTOMOBILE'")
+def _distribution(segment: str = "AUTOMOBILE") -> str:
+    site = _shares_cte("site", "centro_original", _site_values(), 5, f"org_vendas = '{segment}'")
+    market = _shares_cte("market", "canal_dist", MARKETS, 11, f"org_vendas = '{segment}'")
     return (
-        f"WITH {LINES}, {site}, {market} SELECT 'AUT 2001 Ago Distribuição' AS file, 'TTL' AS sheet, "
+        f"WITH {LINES}, {site}, {market} SELECT '{PREFIX[segment]} 2001 Ago Distribuição' AS file, 'TTL' AS sheet, "
         f'item_principal_cadeia AS "Item Principal Cadeia", {_filled(_site_values())}, {_filled(MARKETS)} '
         "FROM site FULL JOIN market USING (item_principal_cadeia)"
     )
 
 
+def _share_rows() -> str:
+    return (
+        f"WITH {LINES}, s AS (SELECT item_principal_cadeia, centro_original AS value, CAST(SUM(quantidade) AS BIGINT) AS \"DMD\" "
+        "FROM lines WHERE org_vendas IN ('AUTOMOBILE', 'MACHINERY') AND mes >= (SELECT mes - INTERVAL 5 MONTH FROM latest) "
+        "GROUP BY 1, 2), t AS (SELECT *, SUM(\"DMD\") OVER (PARTITION BY item_principal_cadeia) AS total FROM s) "
+        f"SELECT item_principal_cadeia, value, \"DMD\", {_share(chr(34) + 'DMD' + chr(34), 'total')} AS \"%\" FROM t"
+    )
+
+
+def _as_of(last: tuple[int, int], label: str) -> str:
+    """The closed report with another last month; lines after it are left out."""
+    end = date(last[0], last[1], 1)
+    index = last[0] * 12 + last[1] - 1
+    months = [date(i // 12, i % 12 + 1, 1) for i in range(index - 23, index + 1)]
+    cells = ", ".join(f"CAST(SUM(CASE WHEN mes = DATE '{m}' THEN quantidade ELSE 0 END) AS BIGINT) AS \"{m:%Y/%m}\"" for m in months)
+    return f"WITH {LINES} " + " UNION ALL ".join(
+        f"SELECT '{PREFIX[segment]} {label} Demanda Fechada' AS file, '{sheet}' AS sheet, "
+        f'item_principal_cadeia AS "Item Principal Cadeia", {cells} FROM lines WHERE org_vendas = \'{segment}\' '
+        f"AND mes BETWEEN DATE '{months[0]}' AND DATE '{end}' AND {where} GROUP BY item_principal_cadeia"
+        for segment, sheet, where in _sheets("fechada")
+    )
+
+
 def _distribution_all() -> str:
     ctes = [
         _shares_cte(p.lower(), "centro_original", _site_values(f"{p}_"), 5, f"org_vendas = '{s}'")
@@ -310,6 +333,7 @@ def oracle_sql() -> dict[str, str]:
                  "mes NOT IN (SELECT mes FROM lines WHERE canal_dist = 'A' AND year(data) = 2000)")
     return {
         "j1_j3_enriched_lines": f"WITH {LINES} SELECT {enriched} FROM lines",
+        "j1_j3_large_lookups": f"WITH {LINES} SELECT {enriched} FROM lines",
         "a1_reference_window": f"""WITH {LINES}, m AS (SELECT max(data) AS d, max(mes) AS mes FROM lines)
             SELECT CAST(d AS VARCHAR) AS reference_date,
                    CAST(CAST(mes - INTERVAL 23 MONTH AS DATE) AS VARCHAR) AS start_date,
@@ -326,6 +350,9 @@ def oracle_sql() -> dict[str, str]:
         "d1_d8_all_reports_long": f"WITH {LINES} SELECT * REPLACE (CAST(CAST(month AS DATE) AS VARCHAR) AS month) FROM ({_long_body()})",
         "d1_closed_from_long": _wide("fechada"),
         "d9_distribution": _distribution(),
+        "d9_distribution_second_segment": _distribution("MACHINERY"),
+        "d1_as_of_month": _as_of((2000, 6), "2000 Jun"),
+        "a4_a5_share_rows": _share_rows(),
         "d9_distribution_all_segments": _distribution_all(),
         "d10_analytics_typed": f"WITH {LINES} SELECT {analytics} FROM lines WHERE mes >= (SELECT mes - INTERVAL 59 MONTH FROM latest)",
         "d11_stacked_sheets": f"WITH {LINES} {_wide_body('fechada_novos_modelos', back=48, totals_only=('MACHINERY',))}",

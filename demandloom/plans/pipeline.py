@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import config
@@ -46,8 +46,9 @@ def run_reports(
 
     def write_report(report: config.Report) -> list[str]:
         stacked = f"{prefix}{report.name}"
-        tables.replace_table(plan.widen(long, report, window), stacked, ["sheet"])
-        columns = _columns(spark.table(stacked), report.ids)
+        wide = plan.widen(long, report, window)
+        tables.replace_table(wide, stacked, ["sheet"])
+        columns = wide.columns
         return [
             _sheet_view(
                 spark, f"{stacked}_{segment.prefix}_{sheet}", stacked, columns,
@@ -69,10 +70,6 @@ def run_reports(
     return [name.lower() for names in written for name in names]
 
 
-def _columns(df: DataFrame, ids: Sequence[str]) -> list[str]:
-    return plan.order_report_columns(df, [config.ID_TITLES[c] for c in ids]).columns
-
-
 def _sheet_view(spark: SparkSession, view: str, table: str, columns: Sequence[str], file: str, sheet: str) -> str:
     """One sheet as a view: the sheet column is the partition, so only that part is read."""
     chosen = ", ".join(tables.quote_column(c) for c in columns)

@@ -8,6 +8,7 @@ double and text, so that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,13 @@ def _report(name: str, legacy: bool = False) -> config.Report:
 
 def _wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     model = sample.model(spark, sf_dir)
-    return reports.demand_wide(model.report_lines(), _report(name), sample.SEGMENTS, model.window())
+    return _wide_of(model, name)
+
+
+def _wide_of(model, name: str) -> DataFrame:
+    report = _report(name)
+    window = model.window(report.months)
+    return reports.demand_wide(model.report_lines(window.contains(F.col("data"))), report, sample.SEGMENTS, window)
 
 
 def _latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +163,37 @@ def d9_distribution(spark, sf_dir):
     )
 
 
+@query
+def d9_distribution_second_segment(spark, sf_dir):
+    """The same shares for the second segment, sites and markets as the data have them."""
+    model = sample.model(spark, sf_dir)
+    window = model.window()
+    lines = model.report_lines(window.contains(F.col("data")))
+    return reports.distribution(
+        lines, sample.SEGMENTS[1:], window, sites={"MACHINERY": [*sample.SITES, None]}, markets=sample.MARKETS, codes=sample.CODES)
+
+
+@query
+def d1_as_of_month(spark, sf_dir):
+    """A closed report of an earlier month, made again: later lines are left out."""
+    return _wide_of(sample.SampleModel(spark, sf_dir, as_of=date(2000, 6, 30)), "fechada")
+
+
+@query
+def j1_j3_large_lookups(spark, sf_dir):
+    """The line view with no lookup broadcast: salted shuffle joins, hot keys counted once on the lines."""
+    return comparable(sample.SampleModel(spark, sf_dir, broadcast_limit=-1, hot_rows=200).enriched())
+
+
+@query
+def a4_a5_share_rows(spark, sf_dir):
+    """Site shares of both segments in long form, for any number of sites."""
+    model = sample.model(spark, sf_dir)
+    window = model.window(config.SITE_SHARE_MONTHS)
+    wanted = window.contains(F.col("data")) & F.col("org_vendas").isin([s.code for s in sample.SEGMENTS])
+    return reports.share_rows(model.report_lines(wanted), "centro_original", window)
+
+
 @query
 def d9_distribution_all_segments(spark, sf_dir):
     """The older layout: sites of both segments beside markets of all segments (J5)."""
@@ -351,7 +389,7 @@ def t3_replace_period(spark, sf_dir):
     """Months that arrive again replace the stored ones; other months stay."""
     lines = tables.with_period(sample.lines(spark, sf_dir))
     arriving = lines.where((F.year("data") == 2000) & (F.col("canal_dist") == "A"))
-    return _short(merging.replace_period(lines, arriving, F.col(tables.PERIOD)))
+    return _short(merging.replace_period(lines, arriving, F.col(tables.PERIOD), config.LINE_KEY))
 
 
 @query
@@ -388,7 +426,7 @@ def k19_write_metrics(spark, sf_dir):
 def k20_compacted_table(spark, sf_dir):
     name = f"{scratch_database(spark, 'compact')}.lineitem"
     tables.replace_table(sample.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), name)
-    tables.compact(spark, name, ["l_orderkey"], files=4)
+    tables.compact(spark, name, ["l_orderkey"], file_bytes=1 << 18)
     return spark.table(name)
 
 
@@ -748,7 +786,7 @@ def s11_file_routing(spark, sf_dir):
 
 @query
 def k11_k12_csv_export(spark, sf_dir):
-    """Tables to single, named CSV files, read back."""
+    """Tables to folders of named CSV files, read back."""
     database, folder = scratch_database(spark, "csv"), scratch_path(spark, "csvout")
     totals = sample.table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("quantity"))
     tables.replace_table(totals, f"{database}.part_totals")
@@ -796,9 +834,9 @@ def _state_months(spark, sf_dir):
 def _single_file(spark, sf_dir, file_type, extension):
     rows = _state_months(spark, sf_dir)
     path = f"{scratch_path(spark, 'single')}/report.{extension}"
-    files.write_single(rows.where("canal = 'A'"), path, file_type)
-    files.write_single(rows.where("canal <> 'A'"), path, file_type, "append", order_by=["estado", "canal"])
-    back = files.read_single(spark, path, file_type)
+    files.write_file(rows.where("canal = 'A'"), path, file_type)
+    files.write_file(rows.where("canal <> 'A'"), path, file_type, "append", order_by=["estado", "canal"])
+    back = files.read_file(spark, path, file_type)
     return back.select("estado", "canal", *[F.col(f"`{c}`").cast("bigint").alias(c) for c in rows.columns[2:]])
 
 

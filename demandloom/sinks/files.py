@@ -1,27 +1,25 @@
-"""Export files: CSV folders, single files and workbooks.
+"""Export files: CSV and JSON folders in parts, and workbooks.
 
-Single files and workbooks are one-task outputs by nature, so their size is
-checked first against the format's limits and an oversized export is refused,
-not cut. The task streams its sorted rows into the file; it never holds them
-all. Files are completed under a temporary name and then moved, so a retried
-task replaces the file instead of damaging it.
+CSV and JSON are written in parallel by Spark. A workbook is one file by
+nature: its task streams the sorted rows into the file and never holds them
+all, and rows beyond a sheet's size go on to further sheets. Workbooks are
+completed under a temporary name and then moved, so a retried task replaces
+the file instead of damaging it.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import json
 import uuid
 import zipfile
 from collections import Counter
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from itertools import groupby
 from typing import Any
 from xml.sax.saxutils import escape
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,50 +28,87 @@ from pyspark.sql import types as T
 from demandloom import config
 from demandloom.functions import text
 from demandloom.session import ship_package
-from demandloom.sinks.tables import quote_column
+from demandloom.sinks.tables import quote_column, write_measured
 from demandloom.sources.catalog import control_columns
 
 
-def sheet_row_limit(columns: int) -> int:
-    return min(config.MAX_FILE_ROWS, max(1, config.MAX_SHEET_CELLS // max(1, columns)))
+# --- CSV and JSON in parts -------------------------------------------------------
 
 
-# --- CSV ---------------------------------------------------------------------
-
-
-def export_csv(df: DataFrame, folder: str, single_file: bool = False) -> None:
-    """CSV with header, overwriting ``folder``; many part files unless asked for one."""
-    rows = df.repartition(1) if single_file else df
-    rows.write.mode("overwrite").option("header", "true").csv(folder)
-
-
-def export_tables_csv(spark: SparkSession, tables: Sequence[str], folder: str, single_file: bool = True) -> list[str]:
-    """Every table as ``<folder>/<table>.csv``; single files are renamed out of their folder."""
+def export_tables_csv(spark: SparkSession, tables: Sequence[str], folder: str) -> list[str]:
+    """Every table as a folder ``<folder>/<table>.csv`` of numbered, named CSV files; returns the folders."""
     written = []
     for table in tables:
-        target = f"{folder}/{table.rsplit('.', 1)[-1]}.csv"
-        export_csv(spark.table(table), target, single_file)
-        if single_file:
-            lift_part_file(spark, target)
+        name = table.rsplit(".", 1)[-1]
+        target = f"{folder}/{name}.csv"
+        write_parts(spark.table(table), target, "csv")
+        name_parts(spark, target, name, "csv")
         written.append(target)
     return written
 
 
-def lift_part_file(spark: SparkSession, folder: str) -> None:
-    """Turn ``x.csv/part-….csv`` into a plain file ``x.csv``."""
+def name_parts(spark: SparkSession, folder: str, name: str, extension: str) -> list[str]:
+    """Rename the part files of a folder to ``<name>-00001.<extension>`` and so on, in their order."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = [s.getPath() for s in system.listStatus(path) if s.getPath().getName().startswith("part-")]
-    if len(parts) != 1:
-        raise ValueError(f"{folder} holds {len(parts)} part files, expected one")
-    aside = jvm.org.apache.hadoop.fs.Path(f"{folder}.{uuid.uuid4().hex}")
-    system.rename(parts[0], aside)
-    system.delete(path, True)
-    system.rename(aside, path)
+    parts = sorted(s.getPath().getName() for s in system.listStatus(path) if s.getPath().getName().startswith("part-"))
+    names = [f"{name}-{number:05}.{extension}" for number in range(1, len(parts) + 1)]
+    for old, new in zip(parts, names):
+        if not system.rename(jvm.org.apache.hadoop.fs.Path(path, old), jvm.org.apache.hadoop.fs.Path(path, new)):
+            raise OSError(f"cannot rename {folder}/{old} to {new}")
+    return names
+
+
+def _csv_cells(df: DataFrame) -> DataFrame:
+    """Text is kept from running as a formula; nothing else changes: decimals keep their digits, numbers their form."""
+
+    def one(f: T.StructField) -> Column:
+        value = F.col(quote_column(f.name))
+        if isinstance(f.dataType, T.StringType):
+            value = text.neutralise_formula(value)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(value)
+        return value.alias(f.name)
+
+    return df.select(*[one(f) for f in df.schema.fields])
+
 
+def write_parts(df: DataFrame, path: str, file_type: str = "csv", mode: str = "overwrite", order_by: Sequence[str] = ()) -> int:
+    """A folder of CSV or JSON files, written in parallel by Spark; returns the rows written.
 
-# --- one-task writers ----------------------------------------------------------
+    Append adds files and leaves the old ones as they are; the columns must be
+    the same and take the order of those there. ``order_by`` sorts over all
+    new files, in the order of their names.
+    """
+    spark = df.sparkSession
+    if mode == "append" and _file_exists(spark, path):
+        old = read_parts(spark, path, file_type).columns
+        if sorted(old) != sorted(df.columns):
+            raise ValueError(f"cannot append to {path}: columns {sorted(df.columns)} differ from {sorted(old)}")
+        if file_type == "csv":
+            df = df.select(*[F.col(quote_column(c)) for c in old])
+    rows = df.orderBy(*order_by) if order_by else df
+    if file_type == "csv":
+        def save(out: DataFrame) -> None:
+            out.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
+
+        rows = _csv_cells(rows)
+    else:
+        def save(out: DataFrame) -> None:
+            out.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+    return write_measured(rows, save)["rows"]
+
+
+def read_parts(spark: SparkSession, path: str, file_type: str) -> DataFrame:
+    """What :func:`write_parts` wrote; CSV cells come back as text."""
+    if file_type == "csv":
+        return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+    return spark.read.json(path)
+
+
+# --- one workbook ----------------------------------------------------------------
 
 
 class _Sheet:
@@ -103,7 +138,9 @@ def _cell(value: Any) -> str:
         return "<c/>"
     if isinstance(value, bool):
         return f'<c t="b"><v>{int(value)}</v></c>'
-    if isinstance(value, (int, float)):
+    if isinstance(value, _Number):
+        return f"<c><v>{value}</v></c>"
+    if isinstance(value, (int, float)) and abs(value) != float("inf"):
         return f"<c><v>{value!r}</v></c>"
     return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
 
@@ -139,53 +176,49 @@ def _close_workbook(book: zipfile.ZipFile, names: Sequence[str]) -> None:
     )
 
 
-def _write_csv(out, header: Sequence[str], rows: Iterator[Sequence[Any]]) -> int:
-    writer_text = io.TextIOWrapper(out, encoding="utf-8", newline="", write_through=True)
-    writer = csv.writer(writer_text)
-    writer.writerow(header)
+def _write_sheets(book: zipfile.ZipFile, names: list[str], name: str, header: Sequence[str], rows: Iterator[Sequence[Any]]) -> int:
+    """Write the rows under the name; what a sheet cannot hold goes on to further sheets with the same header."""
     count = 0
+    sheet, left = None, 0
     for row in rows:
-        writer.writerow(row)
-        count += 1
-    writer_text.flush()
-    writer_text.detach()
+        if not left:
+            if sheet:
+                sheet.close()
+            names.append(unique_sheet_name(name, names))
+            sheet, left = _Sheet(book, len(names), header), config.SHEET_ROWS - 1
+        sheet.add(row)
+        count, left = count + 1, left - 1
+    if sheet is None:
+        names.append(unique_sheet_name(name, names))
+        sheet = _Sheet(book, len(names), header)
+    sheet.close()
     return count
 
 
-def _write_json(out, header: Sequence[str], rows: Iterator[Sequence[Any]]) -> int:
-    count = 0
-    for row in rows:
-        record = json.dumps(dict(zip(header, row)), default=str, indent=2)
-        out.write(((",\n" if count else "[\n") + record).encode())
-        count += 1
-    out.write(b"\n]" if count else b"[]")
-    return count
+def unique_sheet_name(name: str, taken: Iterable[str]) -> str:
+    """The name, or with ``_2``, ``_3``… at its end within the allowed length, that is not taken in any case."""
+    used = {t.lower() for t in taken}
+    found, number = name, 1
+    while found.lower() in used:
+        number += 1
+        suffix = f"_{number}"
+        found = name[:config.SHEET_NAME_LENGTH - len(suffix)] + suffix
+    return found
 
 
 def _write_excel(out, header: Sequence[str], rows: Iterator[Sequence[Any]], name: str = "Sheet1") -> int:
-    count = 0
+    names: list[str] = []
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        sheet = _Sheet(book, 1, header)
-        for row in rows:
-            sheet.add(row)
-            count += 1
-        sheet.close()
-        _close_workbook(book, [name])
+        count = _write_sheets(book, names, name, header, rows)
+        _close_workbook(book, names)
     return count
 
 
-_WRITERS: dict[str, Callable[..., int]] = {"csv": _write_csv, "json": _write_json, "excel": _write_excel}
-
-
-def _plain(value: Any) -> Any:
-    return value.item() if hasattr(value, "item") else value
-
-
 def _put_file(path: str, write: Callable[[Any], int]) -> int:
-    """Write a file under a temporary name, then move it into place."""
-    system, target = arrow_fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (
-        arrow_fs.LocalFileSystem(), path
-    )
+    """Write a file under a temporary name, then move it into place. ``path`` is a URI, see :func:`_qualified`."""
+    scheme, _, rest = path.partition("://")
+    # A local name may hold characters that a URI may not.
+    system, target = (arrow_fs.LocalFileSystem(), rest) if scheme == "file" else arrow_fs.FileSystem.from_uri(path)
     folder = target.rsplit("/", 1)[0]
     system.create_dir(folder, recursive=True)
     aside = f"{target}.{uuid.uuid4().hex}"
@@ -195,81 +228,112 @@ def _put_file(path: str, write: Callable[[Any], int]) -> int:
     return count
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, the session's default one if it names none, for driver and tasks alike."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    name = system.makeQualified(target).toString()
+    return name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file:///") else name
+
+
 def _file_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _cells(df: DataFrame, guard: bool) -> DataFrame:
-    """Scalars stay, the rest becomes text; text is made safe for spreadsheets."""
-    scalar = (T.NumericType, T.BooleanType)
+class _Number(str):
+    """The text of a number, written as a number."""
 
-    def one(f: T.StructField) -> Column:
-        value = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
-            value = value.cast("double")
-        elif not isinstance(f.dataType, scalar):
-            value = value.cast("string")
-            value = text.cell_text(value) if guard else value
-        return value.alias(f.name)
 
-    return df.select(*[one(f) for f in df.schema.fields])
+def _cell_columns(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Cells as text with their kind in front: n number, b boolean, t text made safe for spreadsheets. NULL stays NULL."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
 
+    def one(name: str) -> Column:
+        value = F.col(quote_column(name))
+        if isinstance(kinds[name], T.NumericType):
+            return F.concat(F.lit("n"), value.cast("string"))
+        if isinstance(kinds[name], T.BooleanType):
+            return F.concat(F.lit("b"), value.cast("string"))
+        return F.concat(F.lit("t"), text.cell_text(value.cast("string")))
 
-def read_single(spark: SparkSession, path: str, file_type: str) -> DataFrame:
-    """A file written by :func:`write_single`; CSV and Excel cells come back as text."""
-    if file_type == "csv":
-        return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
-    if file_type == "json":
-        return spark.read.option("multiLine", "true").json(path)
-    from demandloom.sources.workbooks import header_names, read_workbook_cells
+    return [one(n) for n in names]
 
-    folder, name = path.rsplit("/", 1)
-    cells = read_workbook_cells(spark, folder, name, clean_names=False)
-    return cells.select(*[F.col("cells").getItem(c).alias(c) for c in header_names(cells)])
 
+def _read_cell(value: str | None) -> Any:
+    if value is None:
+        return None
+    kind, body = value[0], value[1:]
+    if kind == "b":
+        return body == "true"
+    if kind == "n" and body not in ("NaN", "Infinity", "-Infinity"):
+        return _Number(body)
+    return None if kind == "n" and body == "NaN" else body
 
-def write_single(
-    df: DataFrame, path: str, file_type: str = "csv", mode: str = "overwrite",
-    order_by: Sequence[str] = (),
+
+def write_file(
+    df: DataFrame, path: str, file_type: str = "csv", mode: str = "overwrite", order_by: Sequence[str] = (),
 ) -> int:
-    """One csv, json or xlsx file; returns the rows written.
+    """A csv or json folder in parts, or one workbook; returns the rows it then holds (csv, json: the rows added).
 
-    Append keeps the old rows first; both sides must have the same columns.
-    More rows than the format's limit is an error.
+    Append keeps the old content first, its column order and its values.
     """
-    if file_type not in _WRITERS:
-        raise ValueError(f"file type {file_type!r} is not one of {sorted(_WRITERS)}")
+    if file_type in ("csv", "json"):
+        return write_parts(df, path, file_type, mode, order_by)
+    if file_type != "excel":
+        raise ValueError(f"file type {file_type!r} is not one of ['csv', 'excel', 'json']")
+    return _write_workbook(df, path, mode, order_by)
+
+
+def read_file(spark: SparkSession, path: str, file_type: str) -> DataFrame:
+    """What :func:`write_file` wrote; CSV and workbook cells come back as text, columns in their order."""
+    if file_type != "excel":
+        return read_parts(spark, path, file_type)
+    from demandloom.sources.workbooks import read_workbook_cells
+
+    folder, name = path.rsplit("/", 1)
+    cells = read_workbook_cells(spark, folder, name, clean_names=False, sheet=None)
+    return cells.select(*[F.col("cells").getItem(c).alias(c) for c in _workbook_header(spark, folder, name)])
+
+
+def _workbook_header(spark: SparkSession, folder: str, name: str) -> list[str]:
+    from demandloom.sources.workbooks import FIRST_SHEET, read_workbook_cells
+
+    first = read_workbook_cells(spark, folder, name, sheet=FIRST_SHEET, header=False).where("row_number = 1").head()
+    cells = first["cells"] if first else {}
+    return [cells[c] for c in sorted(cells, key=lambda c: int(c[2:])) if cells[c] is not None]
+
+
+def _write_workbook(df: DataFrame, path: str, mode: str, order_by: Sequence[str]) -> int:
     spark = df.sparkSession
     ship_package(spark)
-    rows = _cells(df, guard=file_type != "json").withColumn("_part", F.lit(1))
     header = list(df.columns)
+    old = None
     if mode == "append" and _file_exists(spark, path):
-        old = read_single(spark, path, file_type)
+        old = read_file(spark, path, "excel")
         if sorted(old.columns) != sorted(header):
             raise ValueError(f"cannot append to {path}: columns {sorted(header)} differ from {sorted(old.columns)}")
-        if file_type == "json":
-            header = old.columns
-        old = old.select(*[F.col(f"`{c}`").try_cast(rows.schema[c].dataType).alias(c) for c in df.columns])
-        rows = old.withColumn("_part", F.lit(0)).unionByName(rows)
-    limit = sheet_row_limit(len(header)) if file_type == "excel" else config.MAX_FILE_ROWS
-    found = rows.limit(limit + 1).count()
-    if found > limit:
-        raise ValueError(f"more than {limit} rows: too large for one {file_type} file, write a table instead")
-    ordered = rows.repartition(1).sortWithinPartitions("_part", *order_by).select(*[F.col(f"`{c}`") for c in header])
-    writer, names = _WRITERS[file_type], list(header)
-    if not found:
-        return _put_file(path, lambda out: writer(out, names, iter(())))
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        values = (
-            [None if v is None or v != v else _plain(v) for v in row]
-            for batch in batches
-            for row in batch.astype(object).itertuples(index=False, name=None)
-        )
-        yield pd.DataFrame({"rows": [_put_file(path, lambda out: writer(out, names, values))]})
-
-    return ordered.mapInPandas(write, "rows long").first()["rows"]
+        header = old.columns
+    cells = df.select(F.lit(1).alias("_part"), F.array(*[F.col(quote_column(c)).cast("string") for c in order_by]).alias("_order")
+                      if order_by else F.lit(None).cast("array<string>").alias("_order"),
+                      F.array(*_cell_columns(df, header)).alias("cells"))
+    if old is not None:
+        # What reads as a number is written as one again, everything else as the text it is.
+        kept = [F.concat(F.when(F.col(quote_column(c)).rlike(r"^-?(0|[1-9][0-9]*)([.][0-9]+)?(E-?[0-9]+)?$"), F.lit("n")).otherwise(F.lit("t")),
+                         F.col(quote_column(c))) for c in header]
+        cells = old.select(F.lit(0).alias("_part"), F.lit(None).cast("array<string>").alias("_order"),
+                           F.array(*kept).alias("cells")).unionByName(cells)
+    target = _qualified(spark, path)
+    ordered = cells.repartition(1).sortWithinPartitions("_part", "_order").select("cells")
+    names = list(header)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ([_read_cell(c) for c in row] for batch in batches for row in batch.column("cells").to_pylist())
+        count = _put_file(target, lambda out: _write_excel(out, names, rows))
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["rows"])
+
+    written = ordered.mapInArrow(write, "rows long").first()
+    return written["rows"] if written else _put_file(target, lambda out: _write_excel(out, names, iter(())))
 
 
 # --- workbooks ------------------------------------------------------------------
@@ -301,8 +365,8 @@ def sheet_order(sheet: Column) -> list[Column]:
 def name_sheets(plan: DataFrame) -> DataFrame:
     """Add the position and the legal, unique sheet name of every plan row.
 
-    Names that collide after cleaning get ``_2``, ``_3``… on their first 28
-    characters. A (file, sheet) pair that two tables claim is an error.
+    Names that collide after cleaning get ``_2``, ``_3``… within the allowed
+    length; ``check_plan`` settles what still collides with a given name.
     """
     table = F.element_at(F.split("table", "\\."), -1)
     shown = F.coalesce("sheet", table)
@@ -314,13 +378,14 @@ def name_sheets(plan: DataFrame) -> DataFrame:
     return named.withColumn(
         "name",
         F.when(repeat == 1, F.col("_clean")).otherwise(
-            F.concat(F.substring("_clean", 1, 28), F.lit("_"), repeat.cast("string"))
+            F.concat(F.substring("_clean", 1, config.SHEET_NAME_LENGTH - 1 - F.length(repeat.cast("string"))),
+                     F.lit("_"), repeat.cast("string"))
         ),
     ).drop("_clean")
 
 
-def check_plan(plan: DataFrame, columns: Mapping[str, int]) -> list[dict[str, Any]]:
-    """Reject unsafe names, doubly claimed sheets and oversized sheets; return the named plan.
+def check_plan(plan: DataFrame) -> list[dict[str, Any]]:
+    """Reject unsafe names and doubly claimed sheets; return the plan with unique names.
 
     The plan has one row per sheet, a list of report size.
     """
@@ -332,11 +397,11 @@ def check_plan(plan: DataFrame, columns: Mapping[str, int]) -> list[dict[str, An
     doubled = sorted(p for p, n in Counter(pairs).items() if n > 1)
     if doubled:
         raise ValueError(f"sheets claimed by several tables: {doubled}")
-    large = [
-        (r["file"], r["name"], r["rows"]) for r in rows if r["rows"] > sheet_row_limit(columns[r["table"]])
-    ]
-    if large:
-        raise ValueError(f"sheets over the size limit: {large}")
+    taken: dict[str, list[str]] = {}
+    for r in rows:
+        used = taken.setdefault(r["file"], [])
+        r["name"] = unique_sheet_name(r["name"], used)
+        used.append(r["name"])
     return rows
 
 
@@ -353,7 +418,7 @@ def export_workbooks(
     frames = {t: spark.table(t) for t in tables}
     shown = {t: [c for c in df.columns if c.lower() not in ("file", "sheet") or control_columns(spark, t) != {"file", "sheet"}]
              for t, df in frames.items()}
-    plan = check_plan(export_plan(spark, tables), {t: len(c) for t, c in shown.items()})
+    plan = check_plan(export_plan(spark, tables))
     if not plan:
         raise ValueError("nothing to export")
     layout: dict[str, list[tuple[int, str, list[str]]]] = {}
@@ -375,18 +440,12 @@ def export_workbooks(
             only = next(r for r in plan if r["table"] == table)
             placed = df.withColumns({"_file": F.lit(only["file"]), "_position": F.lit(only["position"])})
         order = F.array(*[F.col(quote_column(c)).cast("string") for c in (order_by or {}).get(table, shown[table][:2])])
-        cells = F.array(*[_tagged_cell(f) for f in df.schema.fields if f.name in shown[table]])
+        cells = F.array(*_cell_columns(df, shown[table]))
         parts.append(placed.select("_file", "_position", order.alias("_order"), cells.alias("cells")))
     rows = reduce(DataFrame.unionByName, parts)
     spread = rows.repartition(len(layout), "_file").sortWithinPartitions("_file", "_position", "_order")
 
-    def read_cell(value: str | None) -> Any:
-        if value is None:
-            return None
-        body = value[1:]
-        if value[0] == "t":
-            return body
-        return float(body) if any(c in body for c in ".EN") else int(body)
+    target = _qualified(spark, folder)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (
@@ -396,13 +455,13 @@ def export_workbooks(
         )
         for file, of_file in groupby(rows, key=lambda r: r[0]):
             by_sheet = groupby(of_file, key=lambda r: r[1])
-            sheets = ((p, ([read_cell(c) for c in r[2]] for r in part)) for p, part in by_sheet)
-            yield pd.DataFrame([_put_workbook(folder, file, layout[file], sheets)], columns=_WRITTEN)
+            sheets = ((p, ([_read_cell(c) for c in r[2]] for r in part)) for p, part in by_sheet)
+            yield pd.DataFrame([_put_workbook(target, file, layout[file], sheets)], columns=_WRITTEN)
 
     written = spread.mapInPandas(write, "file string, path string, sheets int, rows long")
     results = [tuple(r) for r in written.collect()]  # one row per workbook
     done = {r[0] for r in results}
-    results += [_put_workbook(folder, f, sheets, iter(())) for f, sheets in layout.items() if f not in done]
+    results += [_put_workbook(target, f, sheets, iter(())) for f, sheets in layout.items() if f not in done]
     return spark.createDataFrame(results, written.schema)
 
 
@@ -416,18 +475,15 @@ def _put_workbook(
     """Stream the rows of one workbook, which arrive in sheet order, into its file."""
 
     def fill(out) -> int:
-        count = 0
+        count, names = 0, []
         arriving = next(rows_by_sheet, None)
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-            for number, (position, _, header) in enumerate(sorted(layout), 1):
-                sheet = _Sheet(book, number, [text_of(h) for h in header])
-                if arriving is not None and arriving[0] == position:
-                    for row in arriving[1]:
-                        sheet.add(row)
-                        count += 1
+            for position, name, header in sorted(layout):
+                here = arriving is not None and arriving[0] == position
+                count += _write_sheets(book, names, name, [text_of(h) for h in header], arriving[1] if here else iter(()))
+                if here:
                     arriving = next(rows_by_sheet, None)
-                sheet.close()
-            _close_workbook(book, [name for _, name, _ in sorted(layout)])
+            _close_workbook(book, names)
         return count
 
     path = f"{folder}/{file}.xlsx"
@@ -435,16 +491,6 @@ def _put_workbook(
     return file, path, len(layout), count
 
 
-def _tagged_cell(field: T.StructField) -> Column:
-    """A cell as text with its type in front: n number, t text. NULL stays NULL."""
-    value = F.col(quote_column(field.name))
-    if isinstance(field.dataType, T.DecimalType):
-        value = value.cast("double")
-    if isinstance(field.dataType, T.NumericType):
-        return F.concat(F.lit("n"), value.cast("string"))
-    return F.concat(F.lit("t"), text.cell_text(value.cast("string")))
-
-
 def text_of(header: str) -> str:
     """A header cell without control characters."""
     return "".join(c for c in header if c >= " " or c in "\t\n\r")

@@ -2,8 +2,11 @@
 
 Rows are never changed in place. A write that also reads its target is first
 completed in the shared folder (``spark.checkpoint.dir``) and only then put in
-place, so a lost executor or a failed job leaves the target as it was. Merges
-into a partitioned table rewrite only the partitions they touch.
+place. A lost executor, or a failure before that, leaves the target as it was.
+Putting in place is several steps (overwrite, then drop emptied partitions); if
+one of them fails, the finished copy stays in the shared folder and its path is
+in the error, for ``recover``. Merges into a partitioned table rewrite only the
+partitions they touch.
 """
 
 from __future__ import annotations
@@ -16,7 +19,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom import config
-from demandloom.operators.merging import append_rows, delete_rows, in_month, latest_per_key, merge_rows, split_null_keys
+from demandloom.operators.merging import (
+    append_rows,
+    delete_rows,
+    in_month,
+    latest_per_key,
+    merge_rows,
+    replace_period,
+    split_null_keys,
+)
 from demandloom.session import remove_path, scratch_path
 
 PERIOD = config.PERIOD
@@ -60,10 +71,24 @@ def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFram
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
     by_partition(df, partition_by).write.partitionBy(*partition_by).parquet(path)
-    yield spark.read.schema(df.schema).parquet(path).select(*[F.col(quote_column(c)) for c in df.columns])
+    try:
+        yield spark.read.schema(df.schema).parquet(path).select(*[F.col(quote_column(c)) for c in df.columns])
+    except Exception as error:
+        error.add_note(f"the finished rows are in {path}")
+        raise
     remove_path(spark, path)
 
 
+def recover(spark: SparkSession, path: str, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Put the finished copy of a failed replacement in place: whole, or the partitions it has."""
+    rows = spark.read.parquet(path)
+    if not partition_by:
+        replace_table(rows, table)
+        return
+    with dynamic_overwrite(spark):
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+
+
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), format: str = "parquet") -> None:
     """Full replace, schema included. ``df`` must not read ``table``."""
     writer = by_partition(df, partition_by).write.mode("overwrite").format(format)
@@ -112,12 +137,15 @@ def upsert(
     quarantine: str | None = None,
     newest: Sequence[str] = (),
     fixed_partition: bool = False,
+    quarantine_by: str | None = None,
 ) -> None:
     """Update rows with a known key, insert the others.
 
     ``source`` holds one row per key, or names in ``newest`` the columns whose
     largest values pick the survivor. A row with an incomplete key can never
     match, so it goes to the ``quarantine`` table; without one it is an error.
+    ``quarantine_by`` names a column with the load, so that a load that runs
+    again replaces its own quarantined rows instead of adding them twice.
     The target is created when missing. With a partition column, the partitions
     to rewrite are those of the arriving rows plus those where their keys live
     now; that list is bounded by the number of partitions. Finding where keys
@@ -126,7 +154,9 @@ def upsert(
     """
     with staged(source) as rows:
         arriving, broken = split_null_keys(rows, keys)
-        if quarantine:
+        if quarantine and quarantine_by:
+            replace_loads(quarantine, broken, quarantine_by)
+        elif quarantine:
             append(quarantine, broken)
         elif not broken.isEmpty():
             raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
@@ -159,15 +189,36 @@ def _upsert(
         _overwrite_partitions(spark, table, rows, touched, partition_by)
 
 
-def replace_periods(table: str, source: DataFrame, partition_by: str = PERIOD) -> None:
-    """Replace exactly the periods that ``source`` brings."""
+def replace_periods(
+    table: str, source: DataFrame, keys: Sequence[str] = config.LINE_KEY, partition_by: str = PERIOD
+) -> None:
+    """Replace exactly the periods that ``source`` brings; keys that moved leave their old period.
+
+    Period 0 holds undated rows and is upserted by key instead. The partitions
+    to rewrite are those of the arriving rows and those their keys are in now.
+    """
     spark = source.sparkSession
     if not spark.catalog.tableExists(table):
         replace_table(source, table, [partition_by])
         return
+    target = spark.table(table)
+    with staged(source.select(*target.columns)) as arriving:
+        homes = target.select(*keys, partition_by).join(arriving.select(*keys).distinct(), list(keys), "left_semi")
+        places = arriving.select(partition_by).union(homes.select(partition_by)).distinct()
+        touched = [r[0] for r in places.collect()]  # bounded by the number of partitions
+        old = target.where(F.col(partition_by).isin(touched))
+        with staged(replace_period(old, arriving, F.col(partition_by), keys), [partition_by]) as rows:
+            _overwrite_partitions(spark, table, rows, touched, partition_by)
+
+
+def replace_loads(table: str, source: DataFrame, load: str) -> None:
+    """Store rows under their load: the same load again replaces its own rows and nothing else."""
+    spark = source.sparkSession
+    if not spark.catalog.tableExists(table):
+        replace_table(source, table, [load])
+        return
     with dynamic_overwrite(spark):
-        rows = by_partition(source.select(*spark.table(table).columns), [partition_by])
-        rows.write.mode("overwrite").insertInto(table)
+        source.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
 def append(table: str, source: DataFrame) -> None:
@@ -289,9 +340,20 @@ def write_measured(df: DataFrame, write: Callable[[DataFrame], None], **metrics:
     return observation.get
 
 
-def compact(spark: SparkSession, table: str, sort_by: Sequence[str], files: int) -> None:
-    """Rewrite a table into ``files`` range-clustered files (per partition if it has any)."""
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def table_bytes(spark: SparkSession, table: str) -> int:
+    """Bytes of a table's files, as its file system tells."""
+    location = spark.sql(f"DESCRIBE FORMATTED {quote(table)}").where("col_name = 'Location'").first()["data_type"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def compact(spark: SparkSession, table: str, sort_by: Sequence[str], file_bytes: int = TARGET_FILE_BYTES) -> None:
+    """Rewrite a table into range-clustered files of about ``file_bytes``, however large it is."""
     partitions = partition_columns(spark, table)
+    files = max(1, -(-table_bytes(spark, table) // file_bytes))
     rewrite_table(
         spark, table,
         lambda df: df.repartitionByRange(files, *partitions, *sort_by).sortWithinPartitions(*partitions, *sort_by),
@@ -305,13 +367,14 @@ def write_output(df: DataFrame, settings: Mapping[str, Any], parameters: Mapping
     """Write as a configuration says.
 
     ``output_type``: ``table``, ``materialized_view`` or ``file``. Tables take
-    ``write_mode`` overwrite, append or merge (with ``merge_keys``), ``format``
+    ``write_mode`` overwrite, append or merge (with ``merge_keys``, and
+    ``partition_by`` so that a merge rewrites touched partitions only), ``format``
     and ``table_properties`` (a mapping; ``:name`` values come from
     ``parameters``). A materialized view is a table recomputed on each run.
     """
     kind = settings.get("output_type", "table")
     if kind == "file":
-        from demandloom.sinks.files import write_single
+        from demandloom.sinks.files import write_file
 
         extension = {"csv": "csv", "json": "json", "excel": "xlsx"}
         file_type = settings.get("file_type", "csv")
@@ -322,7 +385,7 @@ def write_output(df: DataFrame, settings: Mapping[str, Any], parameters: Mapping
             raise ValueError(f"invalid file name {name!r}")
         suffix = f".{extension[file_type]}"
         name = name if name.lower().endswith(suffix) else name + suffix
-        write_single(df, f"{settings['folder']}/{name}", file_type, settings.get("write_mode", "overwrite"))
+        write_file(df, f"{settings['folder']}/{name}", file_type, settings.get("write_mode", "overwrite"))
         return
     name = settings.get("view_name" if kind == "materialized_view" else "table_name")
     if not name:
@@ -342,7 +405,7 @@ def write_output(df: DataFrame, settings: Mapping[str, Any], parameters: Mapping
     elif mode == "append":
         append(table, df)
     elif mode == "merge":
-        upsert(table, df, keys)
+        upsert(table, df, keys, partition_by=settings.get("partition_by"))
     else:
         raise ValueError(f"unknown write_mode {mode!r}")
     values = parameters or {}

@@ -94,11 +94,27 @@ def _workbook_rows(path: str, content: bytes, clean: bool, sheet: str | None, he
                 rows = chain([first], rows)
                 names = [f"_c{i}" for i in range(MAX_COLUMNS)]
             else:
-                names = text.clean_headers(first) if clean else [h or f"col_{i}" for i, h in enumerate(first)]
+                names = text.clean_headers(first) if clean else _numbered([h or f"col_{i}" for i, h in enumerate(first)])
             for number, row in enumerate(rows, 1):
+                if len(row) > len(names):  # cells to the right of the header
+                    names = _numbered([*names, *[f"col_{i}" for i in range(len(names), len(row))]])
                 yield path, name, number, dict(zip(names, row))
 
 
+def _numbered(names: Sequence[str]) -> list[str]:
+    """The names, repeats as ``name_1``, ``name_2``… so that no cell hides another."""
+    taken: set[str] = set()
+    out = []
+    for name in names:
+        candidate, number = name, 0
+        while candidate in taken:
+            number += 1
+            candidate = f"{name}_{number}"
+        taken.add(candidate)
+        out.append(candidate)
+    return out
+
+
 def read_workbook_cells(
     spark: SparkSession, folder: str, pattern: str = "*.xls*", clean_names: bool = True,
     sheet: str | None = FIRST_SHEET, header: bool = True,

@@ -6,7 +6,8 @@ import enum
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from demandloom import config
@@ -39,18 +40,19 @@ def save_batch(batch: DataFrame, table: str, mode: LoadMode, fixed_dates: bool =
     """Store a prepared batch, newest row per key.
 
     Running it again with the same rows leaves the table as it is. Rows
-    without a full key go to ``<table>_quarantine``.
+    without a full key go to ``<table>_quarantine``, where a load replaces
+    its own rows.
     """
     quarantine = f"{table}_quarantine"
     if mode is LoadMode.INCREMENTAL:
         tables.upsert(
             table, batch, config.LINE_KEY, keep_first=_KEPT, partition_by=tables.PERIOD,
-            quarantine=quarantine, newest=_NEWEST, fixed_partition=fixed_dates,
+            quarantine=quarantine, newest=_NEWEST, fixed_partition=fixed_dates, quarantine_by="_load_id",
         )
         return
     with tables.staged(batch) as rows:
         keyed, broken = split_null_keys(rows, config.LINE_KEY)
-        tables.append(quarantine, broken)
+        tables.replace_loads(quarantine, broken, "_load_id")
         latest = latest_per_key(keyed, config.LINE_KEY, _NEWEST)
         if mode is LoadMode.FULL_REFRESH:
             tables.replace_table(latest, table, [tables.PERIOD])
@@ -76,12 +78,16 @@ class OrderIngest:
     fixed_dates: bool = False
 
     def __post_init__(self):
+        self._batches: list[dict] = []
         if self.mode is not LoadMode.INCREMENTAL and self.max_files_per_batch:
             raise ValueError("a refresh must see all new files in one batch")
 
     def _handle(self, lines: DataFrame, batch_id: int) -> None:
         load_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{self.checkpoint}#{batch_id}"))
+        counted = Observation()
+        lines = lines.observe(counted, F.count(F.lit(1)).alias("rows"))
         save_batch(prepare_batch(lines, self.mode, load_id), self.table, self.mode, self.fixed_dates)
+        self._batches.append({"batch_id": batch_id, "input_rows": counted.get["rows"]})
 
     def start(self) -> StreamingQuery:
         """Process every file not seen before, then stop.
@@ -98,14 +104,11 @@ class OrderIngest:
         )
 
     def run(self) -> list[dict]:
-        """Run to the end and return one metrics row per batch."""
+        """Run to the end and return one metrics row per batch with rows, however many there are."""
+        self._batches = []
         query = self.start()
         query.awaitTermination()
         for table in (self.table, f"{self.table}_quarantine"):
             if self.spark.catalog.tableExists(table):
                 self.spark.catalog.refreshTable(table)
-        return [
-            {"batch_id": p["batchId"], "input_rows": p["numInputRows"]}
-            for p in query.recentProgress
-            if p["numInputRows"]
-        ]
+        return [b for b in self._batches if b["input_rows"]]

@@ -3,6 +3,10 @@ from __future__ import annotations
 import os
 import sys
 
+# Small matrices are multiplied fastest by one thread; numpy reads this when it is first imported.
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
 import pytest
 from pyspark.sql import SparkSession
 

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import io
-import json
 import os
 import zipfile
 
@@ -21,43 +20,77 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-@pytest.mark.parametrize("file_type, extension", [("csv", "csv"), ("json", "json"), ("excel", "xlsx")])
-def test_single_file_write_and_append(spark, tmp_path, file_type, extension):
-    path = f"{tmp_path}/out.{extension}"
-    first = spark.createDataFrame([("a,\"x\"\nline", 1, 1.5), (None, 2, None)], "t string, n int, d double")
-    second = spark.createDataFrame([(3, 2.5, "c")], "n int, d double, t string")
-    assert files.write_single(first, path, file_type) == 2
-    assert files.write_single(second, path, file_type, mode="append") == 3
-    back = files.read_single(spark, path, file_type).select("t", F.col("n").cast("int"), F.col("d").cast("double"))
-    assert rows(back) == sorted([("a,\"x\"\nline", 1, 1.5), (None, 2, None), ("c", 3, 2.5)], key=str)
-    assert files.write_single(second, path, file_type) == 1
-    assert os.listdir(tmp_path) == [f"out.{extension}"]
+@pytest.mark.parametrize("file_type", ["csv", "json"])
+def test_parts_write_and_append(spark, tmp_path, file_type):
+    path = f"{tmp_path}/out.{file_type}"
+    first = spark.createDataFrame([("a,\"x\"\nline", 1, 1.5), (None, 2, None)], "t string, n int, d double").repartition(2)
+    second = spark.createDataFrame([(3, 2.5, "c"), (None, None, "=1")], "n int, d double, t string")
+    assert files.write_file(first, path, file_type) == 2
+    before = {f for f in os.listdir(path) if f.startswith("part-")}
+    assert files.write_file(second, path, file_type, mode="append") == 2
+    assert before < set(os.listdir(path))  # old files stay as they are
+    back = files.read_file(spark, path, file_type)
+    formula = "'=1" if file_type == "csv" else "=1"
+    assert rows(back.select("t", F.col("n").cast("int"), F.col("d").cast("double"))) == sorted(
+        [("a,\"x\"\nline", 1, 1.5), (None, 2, None), ("c", 3, 2.5), (formula, None, None)], key=str)
+    if file_type == "csv":
+        assert back.columns == ["t", "n", "d"]
+        assert ("3",) in rows(back.select("n"))  # an integer column with gaps stays one
+    assert files.write_file(second, path, file_type) == 2
     with pytest.raises(ValueError, match="append"):
-        files.write_single(first.drop("d"), path, file_type, mode="append")
+        files.write_file(first.drop("d"), path, file_type, mode="append")
+
+
+def test_csv_keeps_digits_and_characters(spark, tmp_path):
+    df = spark.sql("SELECT 12345678901234567890.123BD AS v, 9007199254740993 AS n, 'a\x01b' AS t")
+    files.write_file(df, f"{tmp_path}/x.csv")
+    assert rows(files.read_file(spark, f"{tmp_path}/x.csv", "csv")) == [("12345678901234567890.123", "9007199254740993", "a\x01b")]
+
+
+def test_named_parts(spark, database, tmp_path):
+    tables.replace_table(spark.range(100).repartition(3), f"{database}.many")
+    (folder,) = files.export_tables_csv(spark, [f"{database}.many"], str(tmp_path))
+    names = sorted(f for f in os.listdir(folder) if f.endswith(".csv"))
+    assert names == [f"many-{k:05}.csv" for k in range(1, len(names) + 1)] and len(names) == 3
+    assert spark.read.option("header", True).csv(folder).count() == 100
+
+
+def test_workbook_write_and_append(spark, tmp_path):
+    path = f"{tmp_path}/out.xlsx"
+    first = spark.createDataFrame([("abc", 1, 1.5, True), (None, 2, None, None)], "v string, n int, d double, b boolean")
+    assert files.write_file(first, path, "excel") == 2
+    second = spark.sql("SELECT 7 AS n, 5 AS v, CAST('Infinity' AS double) AS d, false AS b UNION ALL "
+                       "SELECT NULL, 6, 12345678901234567890.5BD, NULL")
+    assert files.write_file(second, path, "excel", mode="append") == 4
+    back = files.read_file(spark, path, "excel")
+    assert back.columns == ["v", "n", "d", "b"]  # the order of the file
+    assert {("abc", "1"), (None, "2"), ("5", "7"), ("6", None)} == set(rows(back.select("v", "n")))
+    assert "Infinity" in {r[0] for r in back.select("d").collect()}
+    assert os.listdir(tmp_path) == ["out.xlsx"]
+    with pytest.raises(ValueError, match="append"):
+        files.write_file(first.drop("d"), path, "excel", mode="append")
 
 
-def test_single_json_is_one_array(spark, tmp_path):
-    path = f"{tmp_path}/a.json"
-    files.write_single(spark.createDataFrame([(1, "x")], "n int, t string"), path, "json")
-    assert json.load(open(path)) == [{"n": 1, "t": "x"}]
-    files.write_single(spark.range(0).select(F.lit(1).alias("n")), path, "json")
-    assert json.load(open(path)) == []
+def test_long_tables_continue_on_further_sheets(spark, database, tmp_path, monkeypatch):
+    monkeypatch.setattr(config, "SHEET_ROWS", 4)
+    assert files._write_excel(io.BytesIO(), ["v"], ([k] for k in range(10))) == 10
+    names = []
+    with zipfile.ZipFile(io.BytesIO(), "w") as book:
+        files._write_sheets(book, names, "S", ["v"], ([k] for k in range(10)))
+    assert names == ["S", "S_2", "S_3", "S_4"]
 
 
-def test_single_file_limits(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(config, "MAX_FILE_ROWS", 5)
-    with pytest.raises(ValueError, match="too large"):
-        files.write_single(spark.range(6), f"{tmp_path}/x.csv")
-    assert files.write_single(spark.range(5), f"{tmp_path}/x.csv") == 5
-    monkeypatch.setattr(config, "MAX_SHEET_CELLS", 6)
-    assert files.sheet_row_limit(2) == 3
-    assert not os.path.exists(f"{tmp_path}/y.xlsx")
+def test_sheet_names_are_unique():
+    taken = []
+    for name in ["a-b", "a-b_2", "A-B", *["x" * 31] * 120]:
+        taken.append(files.unique_sheet_name(name, taken))
+    assert len({t.lower() for t in taken}) == len(taken) and max(map(len, taken)) <= 31
 
 
 def test_formulas_are_neutralised_in_files(spark, tmp_path):
     path = f"{tmp_path}/f.xlsx"
-    files.write_single(spark.createDataFrame([("=1+1", -1)], "t string, n int"), path, "excel")
-    assert rows(files.read_single(spark, path, "excel")) == [("-1", "'=1+1")]
+    files.write_file(spark.createDataFrame([("=1+1", -1)], "t string, n int"), path, "excel")
+    assert rows(files.read_file(spark, path, "excel")) == [("'=1+1", "-1")]
 
 
 def report_table(spark, name, data):
@@ -89,7 +122,7 @@ def test_empty_tables_still_give_a_workbook(spark, database, tmp_path):
     assert workbooks.read_workbook_cells(spark, str(tmp_path)).count() == 0
 
 
-def test_workbook_plan_refusals(spark, database, tmp_path, monkeypatch):
+def test_workbook_plan_refusals(spark, database, tmp_path):
     report_table(spark, f"{database}.a", [("Book", "TTL", "x", 1)])
     report_table(spark, f"{database}.b", [("Book", "TTL", "y", 2)])
     report_table(spark, f"{database}.c", [("../up", "TTL", "y", 2)])
@@ -97,9 +130,6 @@ def test_workbook_plan_refusals(spark, database, tmp_path, monkeypatch):
         files.export_workbooks(spark, [f"{database}.a", f"{database}.b"], str(tmp_path))
     with pytest.raises(ValueError, match="unsafe"):
         files.export_workbooks(spark, [f"{database}.c"], str(tmp_path))
-    monkeypatch.setattr(config, "MAX_FILE_ROWS", 0)
-    with pytest.raises(ValueError, match="limit"):
-        files.export_workbooks(spark, [f"{database}.a"], str(tmp_path))
     assert os.listdir(tmp_path) == []
 
 
@@ -119,6 +149,14 @@ def shared_string_workbook() -> bytes:
     return out.getvalue()
 
 
+def test_cells_beyond_the_header_are_kept():
+    book = io.BytesIO()
+    files._write_excel(book, ["a", "a"], iter([[1, 2, 3], [4, 5, 6, 7]]))
+    for clean in (True, False):
+        got = [r[3] for r in workbooks._workbook_rows("p", book.getvalue(), clean, None, True)]
+        assert got == [{"a": "1", "a_1": "2", "col_2": "3"}, {"a": "4", "a_1": "5", "col_2": "6", "col_3": "7"}]
+
+
 def test_reading_foreign_workbooks(spark, tmp_path):
     (tmp_path / "one.xlsx").write_bytes(shared_string_workbook())
     (tmp_path / "two.xlsx").write_bytes(shared_string_workbook())
@@ -134,16 +172,6 @@ def test_reading_foreign_workbooks(spark, tmp_path):
     assert cleaning.customer_dimension(df).first()["cliente"] == "77"
 
 
-def test_csv_export(spark, database, tmp_path):
-    tables.replace_table(spark.range(3).toDF("v"), f"{database}.t")
-    single = files.export_tables_csv(spark, [f"{database}.t"], str(tmp_path))
-    assert single == [f"{tmp_path}/t.csv"] and os.path.isfile(single[0])
-    files.export_tables_csv(spark, [f"{database}.t"], str(tmp_path))
-    assert sorted(open(single[0]).read().split()) == ["0", "1", "2", "v"]
-    files.export_csv(spark.range(100).repartition(4), f"{tmp_path}/many")
-    assert spark.read.option("header", True).csv(f"{tmp_path}/many").count() == 100
-
-
 def test_routing(spark, tmp_path):
     for name in ("kna1_x.xlsx", "KNA1.xlsx", "foo.txt"):
         (tmp_path / name).write_text("x")

@@ -167,7 +167,7 @@ def test_large_dimensions_give_the_same_result(spark, sf_dir):
 def test_hot_material_is_spread(spark, build):
     rows = [order(str(i), "2026-06-05", 1, customer="7" if i % 3 else "8") for i in range(300)]
     model = build(rows + [order("n", "2026-06-05", 0, material=None)], broadcast_limit=-1, hot_rows=10)
-    assert [tuple(r) for r in joins.hot_keys(model.lines, ["material", "org_vendas"], 10).collect()] == [("M1", "0200")]
+    assert [tuple(r) for r in joins.hot_keys(model.lines, ["material", "org_vendas"], 10).collect()] == [("M1", "0200", 31)]
     assert joins.hot_keys(model.lines, ["material", "org_vendas"], 1000) is None
     placed = model.report_lines()
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -182,6 +182,19 @@ def test_hot_material_is_spread(spark, build):
     assert {r["sheet"]: r["2026/06"] for r in closed.collect()} == {"TTL": 300, "0203": 200, "0209": 100}
 
 
+def test_large_lookups_read_only_what_is_asked_for(spark, build):
+    model = build([order(str(i), "2026-06-05", 1) for i in range(50)], broadcast_limit=-1, hot_rows=10)
+    model.lines = model.lines.withColumn("unused", F.lit("x"))
+    plan = model.enriched().select("numero_ov", "quantidade", "estado")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "unused" not in plan
+
+
+def test_as_of(build):
+    model = build([order("1", "2026-05-05", 1), order("2", "2026-06-20", 2)], as_of=date(2026, 5, 31))
+    assert model.window().as_of == date(2026, 5, 31)
+    assert [r["numero_ov"] for r in model.enriched().collect()] == ["1"]
+
+
 def test_customer_numbers_with_leading_zeros(build):
     rows = [order("1", "2026-06-05", 1, customer="0007")]
     assert build(rows).enriched().first()["razao_social"] is None

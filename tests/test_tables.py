@@ -48,10 +48,12 @@ def test_delete_keeps_unknown(spark):
     assert rows(left) == sorted([(date(2026, 7, 1),), (None,)], key=str)
 
 
-def test_replace_period_with_missing_period(spark):
-    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "p int, v string")
-    source = spark.createDataFrame([(2, "B"), (None, "C")], "p int, v string")
-    assert rows(merging.replace_period(target, source, F.col("p"))) == sorted([(1, "a"), (2, "B"), (None, "C")], key=str)
+def test_replace_period_keeps_undated_rows_and_moves_keys(spark):
+    schema = "k string, p int, v string"
+    target = spark.createDataFrame([("1", 1, "a"), ("2", 2, "b"), ("3", None, "c"), ("4", None, "d"), ("5", 3, "e")], schema)
+    source = spark.createDataFrame([("6", 2, "B"), ("3", None, "C"), ("5", 2, "E")], schema)
+    want = [("1", 1, "a"), ("3", None, "C"), ("4", None, "d"), ("5", 2, "E"), ("6", 2, "B")]
+    assert rows(merging.replace_period(target, source, F.col("p"), ["k"])) == sorted(want, key=str)
 
 
 # --- tables ---------------------------------------------------------------------------
@@ -109,10 +111,32 @@ def test_incomplete_keys_are_set_aside(spark, database):
     batch = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
     with pytest.raises(ValueError, match="quarantine"):
         tables.upsert(f"{database}.strict", batch, ["k"])
+    for load in ("one", "one", "two"):
+        marked = batch.withColumn("load", F.lit(load))
+        tables.upsert(f"{database}.t", marked, ["k"], quarantine=f"{database}.q", quarantine_by="load")
+    assert rows(spark.table(f"{database}.t").select("k", "v")) == [("a", 1)]
+    assert rows(spark.table(f"{database}.q").select("v", "load")) == [(2, "one"), (2, "two")]
+
+
+def test_period_refresh_of_a_table(spark, database):
+    """Undated rows stay, a moved key is stored once, and a second run changes nothing."""
+    name = f"{database}.refresh"
+    data = [("1", "1", "2026-01-05", 1), ("2", "1", "2026-02-05", 2), ("3", "1", None, 3), ("4", "1", None, 4), ("5", "1", "2026-03-01", 5)]
+    tables.replace_table(lines(spark, *data), name, [tables.PERIOD])
+    change = lines(spark, ("6", "1", "2026-02-06", 6), ("3", "1", None, 30), ("5", "1", "2026-02-07", 50))
     for _ in range(2):
-        tables.upsert(f"{database}.t", batch, ["k"], quarantine=f"{database}.q")
-    assert rows(spark.table(f"{database}.t")) == [("a", 1)]
-    assert spark.table(f"{database}.q").count() == 2
+        tables.replace_periods(name, change)
+        assert rows(spark.table(name).select("numero_ov", "quantidade")) == [("1", 1), ("3", 30), ("4", 4), ("5", 50), ("6", 6)]
+
+
+def test_recovery_of_a_failed_replacement(spark, database):
+    name = f"{database}.recovered"
+    tables.replace_table(lines(spark, ("1", "1", "2026-01-05", 1)), name, [tables.PERIOD])
+    with pytest.raises(RuntimeError) as failed:
+        with tables.staged(lines(spark, ("2", "1", "2026-02-05", 2)), [tables.PERIOD]):
+            raise RuntimeError("while putting in place")
+    tables.recover(spark, failed.value.__notes__[0].split(" in ")[-1], name, [tables.PERIOD])
+    assert rows(spark.table(name).select("numero_ov")) == [("1",), ("2",)]
 
 
 def test_dynamic_overwrite_does_not_depend_on_the_session(spark, database):
@@ -197,7 +221,7 @@ def test_measured_write(spark, database):
 def test_compaction_keeps_rows(spark, database):
     name = f"{database}.small"
     tables.replace_table(spark.range(100).repartition(20).toDF("v"), name)
-    tables.compact(spark, name, ["v"], files=2)
+    tables.compact(spark, name, ["v"], file_bytes=tables.table_bytes(spark, name) // 2 + 1)
     assert rows(spark.table(name)) == rows(spark.range(100))
     assert len(spark.table(name).inputFiles()) == 2
 
