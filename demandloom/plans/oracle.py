@@ -388,6 +388,22 @@ def oracle_sql() -> dict[str, str]:
         "k20_compacted_table": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
         "w1_dimension_history": HISTORY,
         "w1_extended_history": HISTORY,
+        "w1_null_keys": HISTORY.replace(
+            "FROM orders", "FROM (SELECT * REPLACE (CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS o_custkey) FROM orders)"),
+        "k4_drop_and_recreate": "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cliente FROM orders",
+        "k10_clear_outputs": """SELECT 'raw_supplier' AS "table", count(*) AS rows FROM supplier
+            UNION ALL SELECT 'raw_nation', count(*) FROM nation""",
+        "k17_k18_metadata": """SELECT key, value, rows FROM (VALUES ('business_owner', 'planning'), ('tag.layer', 'raw'),
+            ('tag.c_name.pii', 'yes'), ('primary_key', 'c_custkey'), ('comment.c_name', concat('the ', chr(39), 'name', chr(39))))
+            AS t(key, value) CROSS JOIN (SELECT count(*) AS rows FROM customer)""",
+        "p8_p10_audit_columns": f"""WITH {LINES} SELECT numero_ov, item, CAST(NULL AS VARCHAR) AS numero_pedido,
+            'TEST' AS _load_type, 'load-1' AS _load_id, TRUE AS _ingested_at, TRUE AS _last_updated_at, TRUE AS _ingested_by,
+            'numero_ov data tipo_ov motivo_ov bloqueio_rem motivo_recusa org_vendas canal_dist setor_ativ centro '
+            || 'emissor_da_ordem numero_pedido autor item material categoria_do_item item_superior quantidade um '
+            || '_source_file_name _source_file_path _source_file_modification_time _ingested_at _last_updated_at '
+            || '_ingested_by _load_type _load_id' AS column_order FROM lines""",
+        "t3_full_refresh": f"""WITH {LINES}, {RANKED.format(source='lines')}
+            SELECT {SHORT} FROM ranked WHERE rn = 1 AND canal_dist = 'A'""",
         "a9_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
             GROUP BY 1, 2 HAVING count(*) > 1""",
         "a9_key_summary": """WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)

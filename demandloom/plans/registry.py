@@ -334,6 +334,43 @@ def k3_replace_table(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def k4_drop_and_recreate(spark, sf_dir):
+    """A table that is dropped first keeps nothing of its old rows and schema."""
+    database = scratch_database(spark, "recreate")
+    orders = sample.table(spark, sf_dir, "orders")
+    tables.replace_table(orders, f"{database}.raw_orders")
+    tables.drop_tables(spark, database, ["raw_orders"])
+    tables.replace_table(orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("cliente")), f"{database}.raw_orders")
+    return spark.table(f"{database}.raw_orders")
+
+
+@query
+def k10_clear_outputs(spark, sf_dir):
+    """All outputs with the prefix go, other tables stay: the tables left and their rows."""
+    database = scratch_database(spark, "clear")
+    for name in ("refined_demand_orders", "refined_demand_part", "raw_supplier", "raw_nation"):
+        tables.replace_table(sample.table(spark, sf_dir, name.rsplit("_", 1)[-1]), f"{database}.{name}")
+    tables.drop_tables(spark, database, [config.TABLE_PREFIX])
+    counts = catalog.table_row_counts(spark, [f"{database}.{t}" for t in catalog.list_tables(spark, database)])
+    return counts.select(F.element_at(F.split("table", "\\."), -1).alias("table"), "rows")
+
+
+@query
+def k17_k18_metadata(spark, sf_dir):
+    """Comments, tags, properties and the checked key of a table, read back beside its row count."""
+    name = f"{scratch_database(spark, 'metadata')}.customer"
+    customer = tables.enforce_key(sample.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"])
+    tables.replace_table(customer, name)
+    tables.describe(spark, name, "customers", {"c_name": "the 'name'"}, {"business_owner": "planning"}, {"layer": "raw"},
+                    {"c_name": {"pii": "yes"}}, ["c_custkey"])
+    listed = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key IN ('business_owner', 'tag.layer', 'tag.c_name.pii', 'primary_key')")
+    notes = spark.createDataFrame([(f"comment.{c.name}", c.description) for c in spark.catalog.listColumns(name) if c.description],
+                                  "key string, value string")
+    rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows")).first()["rows"]
+    return listed.unionByName(notes).withColumn("rows", F.lit(rows).cast("long"))
+
+
 @query
 def k5_append_evolving(spark, sf_dir):
     """Append rows that lack one column and bring another."""
@@ -449,6 +486,18 @@ def w1_extended_history(spark, sf_dir):
     return _history(history.extend_history(first, later.drop("o_orderkey"), keys, "ts", states, "year"))
 
 
+@query
+def w1_null_keys(spark, sf_dir):
+    """NULL is a key like any other; the history is built in two loads."""
+    key = F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("o_custkey")
+    versions = _priorities(spark, sf_dir).select(key, "ts", "o_orderkey", "o_orderpriority")
+    early = F.col("ts") < F.lit("1999-01-01").cast("timestamp_ntz")
+    keys, states = ["o_custkey"], ["o_orderpriority"]
+    first = history.dimension_history(versions.where(early), keys, "ts", states, "year", ["o_orderkey"])
+    later = merging.latest_per_key(versions.where(~early), ["o_custkey", "ts"], ["o_orderkey"])
+    return _history(history.extend_history(first, later.drop("o_orderkey"), keys, "ts", states, "year"))
+
+
 def _priorities(spark, sf_dir):
     return sample.table(spark, sf_dir, "orders").select(
         "o_custkey", F.col("o_orderdate").alias("ts"), "o_orderkey", "o_orderpriority"
@@ -584,6 +633,15 @@ def p1_p8_parse_lines(spark, sf_dir):
     return _short(cleaning.type_order_lines(parsed, "TEST", "0"))
 
 
+@query
+def p8_p10_audit_columns(spark, sf_dir):
+    """The typed null column, the audit columns (times: are they filled) and the order of all columns."""
+    typed = cleaning.type_order_lines(cleaning.parse_pipe_lines(_text_lines(spark, sf_dir)), "TEST", "load-1")
+    filled = [F.col(c).isNotNull().alias(c) for c in ("_ingested_at", "_last_updated_at", "_ingested_by")]
+    return typed.select("numero_ov", "item", "numero_pedido", "_load_type", "_load_id", *filled,
+                        F.lit(" ".join(typed.columns)).alias("column_order"))
+
+
 @query
 def s2_read_order_files(spark, sf_dir):
     """The same through text files on storage; also reports one file name pattern."""
@@ -877,3 +935,10 @@ def t3_stream_period_refresh(spark, sf_dir):
     latest = _latest_lines(spark, sf_dir).select(*LINE_COLUMNS)
     again = latest.where((F.year("data") == 2000) & (F.col("canal_dist") == "A"))
     return _ingest(spark, sf_dir, LoadMode.PERIOD_REFRESH, [latest, again], "refresh")
+
+
+@query
+def t3_full_refresh(spark, sf_dir):
+    """A full refresh leaves the rows of the last load only."""
+    latest = _latest_lines(spark, sf_dir).select(*LINE_COLUMNS)
+    return _ingest(spark, sf_dir, LoadMode.FULL_REFRESH, [latest, latest.where("canal_dist = 'A'")], "full")
