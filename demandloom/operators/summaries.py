@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +34,9 @@ def date_span(raw: DataFrame, *groups: str, pattern: str = "dd/MM/yyyy", **spans
     )
 
 
-def customer_totals(lines: DataFrame, rows: Column | None = None) -> DataFrame:
-    """Quantity by customer name and state, largest first."""
-    lines = lines if rows is None else lines.where(rows)
-    return (
-        lines.groupBy("razao_social", "estado")
-        .agg(F.sum("quantidade").alias("quantidade"))
-        .orderBy(F.col("quantidade").desc(), "razao_social", "estado")
-    )
+def totals_by(lines: DataFrame, columns: Sequence[str], amount: str) -> DataFrame:
+    """The amount summed by the columns, largest first, ties in the columns' order."""
+    return lines.groupBy(*columns).agg(F.sum(amount).alias(amount)).orderBy(F.col(amount).desc(), *columns)
 
 
 def month_matrix(lines: DataFrame, groups: dict[str, Column], window: dates.Window) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom import config
 from demandloom.functions import dates, text
@@ -82,6 +83,9 @@ class Model:
             lines = lines.withColumn(
                 "emissor_da_ordem", text.strip_leading_zeros(F.col("emissor_da_ordem"))
             )
+        kind = lines.schema["quantidade"].dataType
+        if isinstance(kind, T.DecimalType) and kind.scale > 3:
+            raise ValueError(f"quantities are counted in thousandths, {kind.simpleString()} has more decimals")
         if as_of is not None:
             lines = lines.where(F.col("data") <= F.lit(as_of))
         self.lines = lines

@@ -252,7 +252,7 @@ def a11_customer_totals(spark, sf_dir):
     model = sample.model(spark, sf_dir)
     window = model.window(12)
     rows = window.contains(F.col("data")) & (F.col("org_vendas") == "AUTOMOBILE")
-    return comparable(summaries.customer_totals(model.enriched(rows)))
+    return comparable(summaries.totals_by(model.enriched(rows), ["razao_social", "estado"], "quantidade"))
 
 
 @query
