@@ -64,18 +64,6 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
-def words_of(text: str) -> list[str]:
-    """The words of a text: runs of anything but the six separators."""
-    for separator in "\t\n\x0b\f\r":
-        text = text.replace(separator, " ")
-    return [w for w in text.split(" ") if w]
-
-
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, nothing else changed."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def has_word(text: Column) -> Column:
     return F.translate(text, SPACES, "") != ""
 
