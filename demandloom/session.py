@@ -71,9 +71,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def scratch_database(spark: SparkSession, label: str) -> str:
-    """A new database whose tables live below the shared folder."""
+    """A new database whose tables live below the shared folder; it goes when the program ends before its session."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, label)}'")
+
+    def drop() -> None:
+        try:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        except Exception:  # noqa: BLE001 - the session has ended; the folder is scratch
+            pass
+
+    atexit.register(drop)
     return name
 
 
