@@ -20,7 +20,11 @@ from pyspark.sql import DataFrame
 from demandloom.llm.common import map_batches, texts_of
 
 # Element names of HTML and the usual names of page parts.
-HIDDEN = "script style noscript template svg math iframe object canvas audio video head select textarea".split()
+#: Text up to their end tag or the end of the page.
+RAW = "script style textarea".split()
+#: Hidden up to their end tag; without one, or closed in the tag itself, only the tag is. A head holds nothing but these,
+#: RAW and VOID elements: what else stands in it begins the body.
+HIDDEN = set("title noscript template svg math iframe object canvas audio video select".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
              "small span strike strong sub sup time tt u var wbr img".split())
@@ -35,9 +39,10 @@ FURNITURE_NAMES = set(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<hidden>" + "|".join(HIDDEN) + r")(?=[\s>/])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=hidden)\s*>|\Z)"
+    r"|<(?P<hidden>" + "|".join(RAW) + r")(?=[\s>/])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=hidden)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
+END = {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN}
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDING = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 SPACE = re.compile(r"\s+")
@@ -93,7 +98,8 @@ def blocks(page: str) -> list[Block]:
             parts = []
 
     at = 0
-    for m in TOKEN.finditer(page):
+    open_ended: set[str] = set()  # names without an end tag in the rest of the page
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             parts.append((page[at:m.start()], links > 0))
         at = m.end()
@@ -103,6 +109,17 @@ def blocks(page: str) -> list[Block]:
                 flush()
             continue
         name = name.lower()
+        if name == "head":
+            flush()
+            continue
+        if name in HIDDEN:
+            flush()
+            if not m["end"] and not m["attributes"].endswith("/") and name not in open_ended:
+                if end := END[name].search(page, at):
+                    at = end.end()
+                else:
+                    open_ended.add(name)
+            continue
         if m["end"]:
             if name not in INLINE:
                 flush()

@@ -98,6 +98,20 @@ def test_html_cases(page, text):
     assert got == (page if text is None else text)
 
 
+@pytest.mark.parametrize("head, tail", [
+    ("<head><title>x</title><body>", ""), ("<head><meta charset=u><title>x</title><style>p{}</style>", ""),
+    ("<head><title>x</title></head><body>", ""), ("<svg width='1'/>", ""), ("<math/>", ""), ("<iframe src='u' />", ""), ("<canvas/>", ""),
+    ("<svg><title>t</title><path d='M0'/></svg>", ""), ("<video src=v>", ""), ("<select><option>", ""), ("<object>", ""),
+    ("<script>if (a</b) '<svg>'</script>", "<style>p {}"), ("<noscript>Turn it on</noscript>", "<script>rest"), ("<iframe src='u'>x</iframe>", "<!-- rest"),
+])
+def test_html_hidden_elements_hide_only_themselves(head, tail):
+    assert html.main_text(f"{head}<article><h1>T</h1><p>Hi there</p></article>{tail}") == "T Hi there"
+
+
+def test_html_many_open_elements():
+    assert html.main_text("<svg><select>" * 100000 + "<article><p>Hi</p></article>") == "Hi"
+
+
 def test_html_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (None, None, "<article>x</article>"), (1, "u", None)],
                                "page_id long, url string, html string").selectExpr("*", "'a' AS text", "1 AS n_chars")
