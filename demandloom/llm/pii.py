@@ -49,7 +49,7 @@ HINTS = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "cell", "whatsapp"),
     "ssn": ("ssn", "social security", "tax id"), "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "secret": ("token", "secret", "password", "passwd", "pwd", "key", "auth", "credential"),
-    "name": ("mr", "mrs", "ms", "dr", "name", "by", "herr", "frau", "señor", "señora", "signed", "contact"),
+    "name": ("mr", "mrs", "ms", "dr", "prof", "name", "by", "herr", "frau", "señor", "señora", "signed", "contact"),
 }
 AGAINST = ("version", "isbn", "order no", "page", "section", "chapter", "release", "build", "sha256", "checksum")
 SECRET_NAMES = frozenset("token secret password passwd pwd key apikey api_key auth credential access_token".split())
@@ -108,6 +108,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _before_words(text: str, start: int) -> set[str]:
+    return set(re.findall(r"\w+", text[max(0, start - 32):start].lower()))
+
+
 def _more(text: str) -> Iterator[tuple[str, int, int]]:
     """Candidates beyond the base rules."""
     if DIGIT.search(text):
@@ -117,8 +121,9 @@ def _more(text: str) -> Iterator[tuple[str, int, int]]:
         if "=" in text or ":" in text:
             for m in SECRET.finditer(text):
                 yield "secret", m.start(1), m.end(1)
-    if not GIVEN.isdisjoint(text.split()) or any(t in text for t in ("Mr", "Dr.", "Herr ", "Frau ")):
-        for m in NAME.finditer(text):
+    for m in NAME.finditer(text):
+        # The span's own cue decides, never what stands elsewhere: a listed name in it, or a title or hint before it.
+        if not GIVEN.isdisjoint(m[0].split(" ")) or not _before_words(text, m.start()).isdisjoint(HINTS["name"]):
             yield "name", m.start(), m.end()
 
 
@@ -150,7 +155,7 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int,
         gazetteer = 1 if words and any(w in SECRET_NAMES or w.endswith(("_token", "_key", "_secret")) for w in words[-2:]) else -1
     elif kind == "name":
         gazetteer = 1 if value.split()[0] in GIVEN else -1
-    words = set(re.findall(r"\w+", before))
+    words = _before_words(text, start)
     hinted = any((h in words) if kind == "name" else (h in before) for h in HINTS[kind])
     context = 1 if hinted else (-1 if any(a in before for a in AGAINST) else 0)
     left, right = text[start - 1:start], text[end:end + 1]

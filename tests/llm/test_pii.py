@@ -126,3 +126,25 @@ def test_odd_rows_and_masks(spark):
     nulls = df.where("doc_id = 2").selectExpr("CAST(NULL AS bigint) AS doc_id", "text")
     assert [tuple(r)[:2] for r in pii.detect(nulls).collect()] == [(None, 0)]
     assert pii.detect(df.limit(0)).count() == 0 and pii.mask(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, name", [
+    ("he came (John Smith) late", "John Smith"), ('he said "John Smith" there', "John Smith"), ("text by:John Smith here", "John Smith"),
+    ("ask Ms Xenia Qvist now", "Xenia Qvist"), ("ask Prof Xenia Qvist now", "Xenia Qvist"), ("con la Señora Xenia Qvist hoy", "Xenia Qvist"),
+    ("signed Xenia Qvist", "Xenia Qvist"), ("written by Xenia Qvist in it", "Xenia Qvist"),
+])
+def test_names_are_candidates_whatever_stands_elsewhere(text, name):
+    assert ("name", text.index(name), text.index(name) + len(name)) in pii.candidates(text)[1]
+    assert pii.candidates("The Old House. " + "x " * 20 + text)[1] == [("name", 55 + text.index(name), 55 + text.index(name) + len(name))]
+
+
+def test_names_without_a_listed_token_are_masked(spark):
+    prepare(spark)
+    rng = random.Random(3)
+    heads = ["please contact Mr John ", "the note (Klaus ", "text by:Maria ", "signed Ana "]
+    tails = ["Smith", "Weber", "Ruiz"]
+    docs = {d: rng.choice(heads) + rng.choice(tails) + ") said so" if d % 2 else "The Old House was sold in Green Valley"
+            for d in range(200)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    done = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert all("[NAME]" in done[d] if d % 2 else done[d] == docs[d] for d in docs)
