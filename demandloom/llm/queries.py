@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import chat, decontamination, html, lm, merkle, packing, pii, quality, sharding, simhash
+from demandloom.llm import chat, decontamination, html, lm, merkle, packing, pii, quality, sharding, simhash, toxicity
 from demandloom.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,8 @@ def op8_attention_scores(spark, sf_dir):
 @query
 def op13_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_subword_toxicity(spark, sf_dir):
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
