@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import chat, decontamination, html, lm, merkle, packing, pii, quality, sharding, simhash, toxicity
+from demandloom.llm import chat, decontamination, html, lexical, lm, merkle, packing, pii, quality, sharding, simhash, toxicity
 from demandloom.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words_left >= 0.5 * n_words AS kept
 FROM counts
 """
-ORACLE_SQL: dict[str, str] = {"op6_line_frequency": _OP6}
+
+_OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), docs AS (SELECT uid, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM docs),
+posting AS (SELECT uid, term, count(*) AS tf FROM (SELECT uid, unnest(terms) AS term FROM d) GROUP BY uid, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2.0 * t.docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting CROSS JOIN total t GROUP BY term, t.docs),
+item AS (
+  SELECT DISTINCT number, item_id, term FROM (SELECT number, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS number, item_id, text FROM benchmark))
+), scored AS (
+  SELECT i.number, i.item_id, p.uid, x.doc_id,
+    CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (50 + (50 * x.n * t.docs) // t.terms)))) AS BIGINT) AS score
+  FROM item i JOIN posting p ON i.term = p.term JOIN weight w ON w.term = p.term JOIN docs x ON x.uid = p.uid CROSS JOIN total t
+  GROUP BY i.number, i.item_id, p.uid, x.doc_id
+), placed AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM placed WHERE rank <= 50
+"""
+ORACLE_SQL: dict[str, str] = {"op6_line_frequency": _OP6, "op11_geometric_blocking": _OP11}
 
 
 def query(function: Query) -> Query:
@@ -125,6 +153,11 @@ def op13_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_geometric_blocking(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_subword_toxicity(spark, sf_dir):
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
