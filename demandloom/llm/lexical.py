@@ -21,6 +21,7 @@ and the best documents of each query.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from demandloom.llm.common import stage, texts_of
 
@@ -38,11 +41,11 @@ BEST = 50
 #: Different terms of the queries of one part.
 PART_TERMS = 1 << 16
 #: Documents of a chunk, and postings that a block should hold.
-CHUNK, BLOCK = 1024, 128
+CHUNK, BLOCK = 512, 64
 #: Directions of the sketch, and how many of their signs order the documents.
 DIRECTIONS, SIGNS = 32, 16
 #: Postings whose rows are held at once while summaries are made.
-SLAB = 1 << 14
+SLAB = 1 << 12
 SEED = 11
 
 # Digits, letters and all bytes of longer characters stay, only A-Z are lower-cased; every other byte separates terms.
@@ -156,8 +159,18 @@ def cluster(lists: list[np.ndarray], sketches: np.ndarray, block: int) -> tuple[
     return np.array(owners), np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.concatenate(members)
 
 
-INDEX = ("doc_ids array<{kind}>, starts array<int>, terms array<int>, parts array<int>, block_terms array<int>, block_starts array<int>, "
-         "members array<int>, top_starts array<int>, top_terms array<int>, tops array<int>")
+INDEX = "documents int, chunk binary"
+CODEC = "zstd"
+
+
+def packed(found: dict) -> bytes:
+    """The arrays of a chunk as one compressed value, so that a task unpacks one chunk at a time."""
+    plain = pickle.dumps({k: v.astype(np.int32) if isinstance(v, np.ndarray) else v for k, v in found.items()}, 5)
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, CODEC, asbytes=True)
+
+
+def unpacked(chunk: bytes) -> dict:
+    return pickle.loads(pa.decompress(chunk[8:], int.from_bytes(chunk[:8], "little"), CODEC, asbytes=True))
 
 
 def dense(starts: np.ndarray, columns: np.ndarray, values: np.ndarray, width: int) -> np.ndarray:
@@ -215,27 +228,23 @@ def build(rows: DataFrame, weights: Weights, chunk: int = CHUNK, block: int = BL
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         axes, held = directions(size), []
 
-        def made(part: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-            found = index_chunk(part, weights, axes, block)
-            arrays = [pa.array([found["doc_ids"]], pa.list_(schema.field("doc_id").type))]
-            arrays += [pa.array([v.tolist()], pa.list_(pa.int32())) for v in list(found.values())[1:]]
-            return pa.RecordBatch.from_arrays(arrays, list(found))
+        def made(part: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"documents": pa.array([len(part)], pa.int32()),
+                                               "chunk": [packed(index_chunk(part, weights, axes, block))]})
 
-        schema = None
         for batch in batches:
-            schema = batch.schema
             held += [(d, np.array(t, np.int64), np.array(p, np.int64)) for d, t, p in zip(
                 *[batch.column(c).to_pylist() for c in ("doc_id", "terms", "parts")])]
             while len(held) >= chunk:
-                yield made(held[:chunk], schema)
+                yield made(held[:chunk])
                 held = held[chunk:]
         if held:
-            yield made(held, schema)
+            yield made(held)
 
     some = rows.where(F.size("terms") > 0).select("uid", "doc_id", "n", "terms", "counts")
     coded = some.mapInArrow(sketch, f"uid long, doc_id {kind}, terms array<int>, parts array<int>, code long")
     near = coded.repartitionByRange("code", "uid").sortWithinPartitions("code", "uid").select("doc_id", "terms", "parts")
-    return stage(near.mapInArrow(chunks, INDEX.format(kind=kind)), "index")
+    return stage(near.mapInArrow(chunks, INDEX), "index")
 
 
 class Best:
@@ -257,17 +266,16 @@ class Best:
             ["item", "doc_id", "score"])
 
 
-def scan(index: DataFrame, part: Part, weights: Weights, least: dict[int, int] | None, best: int) -> DataFrame:
+def scan(index: DataFrame, part: Part, weights: Weights, least: dict[int, int] | None, best: int, kind: DataType) -> DataFrame:
     """item, doc_id, score: the best documents of each task. Without ``least`` only each chunk's best block is scored."""
-    kind = index.schema["doc_ids"].dataType.elementType.simpleString()
+    id_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, id_type = Best(best), None
+        top = Best(best)
         for batch in batches:
-            id_type = batch.schema.field("doc_ids").type.value_type
-            for row in range(batch.num_rows):
-                get = {c: batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "doc_ids"}
-                ids = batch.column("doc_ids")[row].as_py()
+            for row in batch.column("chunk"):
+                get = unpacked(row.as_py())
+                ids = get["doc_ids"]
                 used, column = np.unique(get["terms"], return_inverse=True)
                 x = dense(get["starts"], column, get["parts"], len(used))
                 summary = dense(get["top_starts"], np.searchsorted(used, get["top_terms"]), get["tops"], len(used))
@@ -294,10 +302,9 @@ def scan(index: DataFrame, part: Part, weights: Weights, least: dict[int, int] |
                     if good.sum() > best:  # of one chunk no more than the best can matter; ties stay
                         good &= scores >= np.partition(scores, len(scores) - best)[len(scores) - best]
                     top.add(number, [ids[k] for k in hit[good]], scores[good])
-        if id_type is not None:
-            yield top.batch(id_type)
+        yield top.batch(id_type)
 
-    return index.mapInArrow(run, f"item long, doc_id {kind}, score long")
+    return index.select("chunk").mapInArrow(run, f"item long, doc_id {kind.simpleString()}, score long")
 
 
 def ranked(found: DataFrame, best: int) -> DataFrame:
@@ -320,10 +327,10 @@ def search(docs: DataFrame, benchmark: DataFrame, best: int = BEST, chunk: int =
         rows = forward(docs, part.vocabulary)
         weights = weigh(rows, len(part.vocabulary))
         index = build(rows, weights, chunk, block)
-        seeds = ranked(scan(index, part, weights, None, best), best).where(F.col("rank") == best).collect()
+        seeds = ranked(scan(index, part, weights, None, best, kinds["doc_id"]), best).where(F.col("rank") == best).collect()
         least = {r["item"]: r["score"] for r in seeds}  # one number per query of the part
         named = spark.createDataFrame([Row(item=k, item_id=i) for k, i, _ in part.items], f"item long, item_id {kinds['item_id'].simpleString()}")
-        found = ranked(scan(index, part, weights, least, best), best)
+        found = ranked(scan(index, part, weights, least, best, kinds["doc_id"]), best)
         results.append(found.join(F.broadcast(named), "item").select("item_id", "rank", "doc_id", "score"))
     if not results:
         return spark.createDataFrame([], f"item_id {kinds['item_id'].simpleString()}, rank int, doc_id {kinds['doc_id'].simpleString()}, score long")
