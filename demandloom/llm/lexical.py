@@ -6,7 +6,8 @@
 2. ``build``: documents are range-sorted by a sketch of their weighted terms
    and stored in chunks of similar documents. In a chunk, the posting list of
    each term is clustered by the similarity of its documents into blocks; a
-   block keeps its coordinatewise maximum over all query terms.
+   block keeps its coordinatewise maximum over all query terms. A short list is
+   blocks of one document, which need no other summary than the document.
 3. ``search``: the product of a query and a block's summary bounds the score
    of every document in the block. A first pass scores the best block of every
    chunk, which gives each query a score that its last rank must reach. The
@@ -41,11 +42,11 @@ BEST = 50
 #: Different terms of the queries of one part.
 PART_TERMS = 1 << 16
 #: Documents of a chunk, and postings that a block should hold.
-CHUNK, BLOCK = 512, 64
+CHUNK, BLOCK = 512, 128
+#: Posting lists up to this length are left as single documents: a document's own row is its summary, and its score its bound.
+SHORT = 64
 #: Directions of the sketch, and how many of their signs order the documents.
 DIRECTIONS, SIGNS = 32, 16
-#: Postings whose rows are held at once while summaries are made.
-SLAB = 1 << 12
 SEED = 11
 
 # Digits, letters and all bytes of longer characters stay, only A-Z are lower-cased; every other byte separates terms.
@@ -180,7 +181,7 @@ def dense(starts: np.ndarray, columns: np.ndarray, values: np.ndarray, width: in
     return out
 
 
-def index_chunk(rows: list[tuple], weights: Weights, axes: np.ndarray, block: int) -> dict:
+def index_chunk(rows: list[tuple], weights: Weights, axes: np.ndarray, block: int, short: int = SHORT) -> dict:
     """The stored arrays of one chunk; rows: (doc_id, terms, parts)."""
     sizes = np.array([len(t) for _, t, _ in rows])
     terms, parts = np.concatenate([t for _, t, _ in rows]), np.concatenate([p for _, _, p in rows])
@@ -191,22 +192,20 @@ def index_chunk(rows: list[tuple], weights: Weights, axes: np.ndarray, block: in
     sketches /= np.maximum(np.linalg.norm(sketches, axis=1, keepdims=True), 1e-9)
     owner, begin, members = cluster([np.flatnonzero(c) for c in x.T], sketches, block)
     ends = np.append(begin[1:], len(members))
-    kept, entries, tops, at = [], [], [], 0
-    while at < len(begin):
-        upto = max(at + 1, int(np.searchsorted(ends, begin[at] + SLAB, "right")))
-        most = np.maximum.reduceat(x[members[begin[at]:ends[upto - 1]]], begin[at:upto] - begin[at], axis=0)
-        row, col = np.nonzero(most)
-        kept.append(np.bincount(row, minlength=upto - at))
-        entries.append(used[col])
-        tops.append(most[row, col])
-        at = upto
-    kept = np.concatenate(kept)
+    long = np.array([np.count_nonzero(c) for c in x.T])[owner] > short
+    kept, entries, tops = np.zeros(len(begin), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for b in np.flatnonzero(long):
+        most = x[members[begin[b]:ends[b]]].max(axis=0)
+        column = np.flatnonzero(most)
+        kept[b] = len(column)
+        entries.append(used[column])
+        tops.append(most[column])
     return {"doc_ids": [d for d, _, _ in rows], "starts": starts, "terms": terms, "parts": parts, "block_terms": used[owner],
-            "block_starts": begin, "members": members, "top_starts": np.concatenate([[0], np.cumsum(kept)[:-1]]),
+            "block_starts": begin, "block_long": long, "members": members, "top_starts": np.concatenate([[0], np.cumsum(kept)[:-1]]),
             "top_terms": np.concatenate(entries), "tops": np.concatenate(tops)}
 
 
-def build(rows: DataFrame, weights: Weights, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+def build(rows: DataFrame, weights: Weights, chunk: int = CHUNK, block: int = BLOCK, short: int = SHORT) -> DataFrame:
     """The stored index over the rows of ``forward``: one row per chunk of similar documents."""
     size = len(weights.term)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -230,7 +229,7 @@ def build(rows: DataFrame, weights: Weights, chunk: int = CHUNK, block: int = BL
 
         def made(part: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({"documents": pa.array([len(part)], pa.int32()),
-                                               "chunk": [packed(index_chunk(part, weights, axes, block))]})
+                                               "chunk": [packed(index_chunk(part, weights, axes, block, short))]})
 
         for batch in batches:
             held += [(d, np.array(t, np.int64), np.array(p, np.int64)) for d, t, p in zip(
@@ -267,7 +266,7 @@ class Best:
 
 
 def scan(index: DataFrame, part: Part, weights: Weights, least: dict[int, int] | None, best: int, kind: DataType) -> DataFrame:
-    """item, doc_id, score: the best documents of each task. Without ``least`` only each chunk's best block is scored."""
+    """item, doc_id, score: the best documents of each task. Without ``least`` only each chunk's best block, and its single documents, are scored."""
     id_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +278,7 @@ def scan(index: DataFrame, part: Part, weights: Weights, least: dict[int, int] |
                 used, column = np.unique(get["terms"], return_inverse=True)
                 x = dense(get["starts"], column, get["parts"], len(used))
                 summary = dense(get["top_starts"], np.searchsorted(used, get["top_terms"]), get["tops"], len(used))
-                owner = np.searchsorted(used, get["block_terms"])
+                owner, long = np.searchsorted(used, get["block_terms"]), get["block_long"] > 0
                 ends = np.append(get["block_starts"][1:], len(get["members"]))
                 first = np.searchsorted(owner, np.arange(len(used) + 1))  # blocks are stored in the order of their terms
                 for number, _, wanted in part.items:
@@ -289,11 +288,13 @@ def scan(index: DataFrame, part: Part, weights: Weights, least: dict[int, int] |
                         continue
                     blocks = np.concatenate([np.arange(first[c], first[c + 1]) for c in at])
                     weight = weights.term[used[at]]
+                    single, blocks = blocks[~long[blocks]], blocks[long[blocks]]
                     bounds = summary[blocks[:, None], at].astype(np.int64) @ weight
                     if least is None:
-                        blocks = blocks[[bounds.argmax()]]
+                        blocks = blocks[[bounds.argmax()]] if len(blocks) else blocks
                     else:
                         blocks = blocks[(bounds >= least.get(number, 0)) & (bounds > 0)]
+                    blocks = np.concatenate([single, blocks])
                     if not len(blocks):
                         continue
                     hit = np.unique(np.concatenate([get["members"][get["block_starts"][b]:ends[b]] for b in blocks]))
@@ -312,7 +313,8 @@ def ranked(found: DataFrame, best: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
 
 
-def search(docs: DataFrame, benchmark: DataFrame, best: int = BEST, chunk: int = CHUNK, block: int = BLOCK, part_terms: int = PART_TERMS) -> DataFrame:
+def search(docs: DataFrame, benchmark: DataFrame, best: int = BEST, chunk: int = CHUNK, block: int = BLOCK, short: int = SHORT,
+           part_terms: int = PART_TERMS) -> DataFrame:
     """item_id, rank, doc_id, score: the best documents of every query by the fixed formula, scores above 0 only.
 
     Equal scores come by ascending doc_id, null last. Null texts have no term.
@@ -326,7 +328,7 @@ def search(docs: DataFrame, benchmark: DataFrame, best: int = BEST, chunk: int =
     for part in parts_of(benchmark, part_terms):
         rows = forward(docs, part.vocabulary)
         weights = weigh(rows, len(part.vocabulary))
-        index = build(rows, weights, chunk, block)
+        index = build(rows, weights, chunk, block, short)
         seeds = ranked(scan(index, part, weights, None, best, kinds["doc_id"]), best).where(F.col("rank") == best).collect()
         least = {r["item"]: r["score"] for r in seeds}  # one number per query of the part
         named = spark.createDataFrame([Row(item=k, item_id=i) for k, i, _ in part.items], f"item long, item_id {kinds['item_id'].simpleString()}")

@@ -47,8 +47,8 @@ def result(df):
 WORDS = [f"w{k}" for k in range(300)]
 
 
-@pytest.mark.parametrize("chunk,block,part", [(64, 4, 1 << 16), (1024, 128, 40)])
-def test_skewed_documents(spark, chunk, block, part):
+@pytest.mark.parametrize("chunk,block,short,part", [(64, 4, 2, 1 << 16), (1024, 128, 64, 40)])
+def test_skewed_documents(spark, chunk, block, short, part):
     """Frequent and rare words, copies, near copies and ties, in many and in few blocks, queries in one and in many parts."""
     prepare(spark)
     rng = random.Random(3)
@@ -58,7 +58,7 @@ def test_skewed_documents(spark, chunk, block, part):
     items = [(k, draw(12)) for k in range(25)] + [(90, docs[7][1]), (91, "w0"), (92, "unseen"), (93, "w250 w299")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    assert result(lexical.search(df, bench, chunk=chunk, block=block, part_terms=part)) == brute(docs, items)
+    assert result(lexical.search(df, bench, chunk=chunk, block=block, short=short, part_terms=part)) == brute(docs, items)
 
 
 def test_odd_rows(spark):
@@ -77,13 +77,14 @@ def test_summaries_bound_every_member():
     rng = np.random.default_rng(1)
     weights = lexical.Weights(300, 9000, rng.integers(0, 5000, 80))
     rows = [(k, np.sort(rng.choice(80, 12, replace=False)), rng.integers(1, 10**6, 12)) for k in range(300)]
-    found = lexical.index_chunk(rows, weights, lexical.directions(80), 16)
+    found = lexical.index_chunk(rows, weights, lexical.directions(80), 16, 30)
     tops = lexical.dense(found["top_starts"], found["top_terms"], found["tops"], 80)
     x = lexical.dense(found["starts"], found["terms"], found["parts"], 80)
     ends = np.append(found["block_starts"][1:], len(found["members"]))
     listed = Counter()
     for b, (start, end) in enumerate(zip(found["block_starts"], ends)):
         own = found["members"][start:end]
-        assert (tops[b] == x[own].max(axis=0)).all() and (x[own, found["block_terms"][b]] > 0).all()
+        long = (x[:, found["block_terms"][b]] > 0).sum() > 30
+        assert long == found["block_long"][b] and (tops[b] == x[own].max(axis=0) * long).all() and (x[own, found["block_terms"][b]] > 0).all()
         listed.update((int(found["block_terms"][b]), int(d)) for d in own)
     assert listed == Counter((int(t), k) for k, (_, own, _) in enumerate(rows) for t in own)
