@@ -428,6 +428,19 @@ def oracle_sql() -> dict[str, str]:
         "a13_file_sheets": f"WITH {LINES} SELECT file, count(DISTINCT sheet) AS sheets FROM ({_long_body()}) GROUP BY file",
         "p18_p19_chain_head": f"{CHAIN} SELECT * FROM cleaned",
         "a16_changed_heads": f"{CHAIN} SELECT * FROM cleaned WHERE material <> item_principal_cadeia",
+        "j1_chain_closure": """WITH RECURSIVE parts AS (
+              SELECT p_partkey AS part, CASE WHEN p_partkey % 40 = 10 THEN p_partkey + 1 WHEN p_partkey % 40 = 11 THEN p_partkey - 1
+                WHEN p_size <= 45 THEN p_partkey // 2 END AS successor FROM part
+            ), walk AS (
+              SELECT part AS origin, part AS spot, [part] AS seen, FALSE AS cycle FROM parts
+              UNION ALL
+              SELECT origin, p.successor, list_append(seen, p.successor), list_contains(seen, p.successor)
+              FROM walk JOIN parts p ON p.part = walk.spot WHERE NOT cycle AND p.successor IS NOT NULL AND p.successor <> walk.spot
+            ), ends AS (
+              SELECT origin, arg_max(spot, len(seen)) AS head, max(len(seen)) - 1 AS depth, bool_or(cycle) AS cycle FROM walk GROUP BY origin
+            )
+            SELECT '0200' AS empresa, CAST(origin AS VARCHAR) AS material, CAST(CASE WHEN cycle THEN origin ELSE head END AS VARCHAR)
+              AS item_principal_cadeia, CASE WHEN NOT cycle THEN CAST(depth AS BIGINT) END AS depth, cycle FROM ends""",
         "p1_p8_parse_lines": all_lines,
         "s2_read_order_files": f"WITH {LINES} SELECT {SHORT}, TRUE AS from_text FROM lines",
         "s3_read_history": all_lines.replace(

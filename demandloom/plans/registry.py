@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from demandloom import config
 from demandloom.functions import text
 from demandloom.operators import cleaning, history, joins, merging, quality, summaries
+from demandloom.operators.chains import chain_closure
 from demandloom.plans import reports, sample
 from demandloom.plans.model import analytics_lines
 from demandloom.session import configure, scratch_database, scratch_path
@@ -612,6 +613,16 @@ def a16_changed_heads(spark, sf_dir):
     return summaries.changed_heads(cleaning.chain_dimension(_chain_texts(spark, sf_dir)))
 
 
+@query
+def j1_chain_closure(spark, sf_dir):
+    """Every part's last successor over several steps: parts point at half their number, some at each other."""
+    key = F.col("p_partkey")
+    to = (F.when(key % 40 == 10, key + 1).when(key % 40 == 11, key - 1).when(F.col("p_size") <= 45, F.floor(key / 2)))
+    parts = sample.table(spark, sf_dir, "part").select(
+        F.lit("0200").alias("empresa"), key.cast("string").alias("material"), to.cast("string").alias("item_principal_cadeia"))
+    return chain_closure(parts, min_rows=1000)
+
+
 # --- parsing and cleaning ---------------------------------------------------------------
 
 
