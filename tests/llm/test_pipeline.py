@@ -11,8 +11,8 @@ from demandloom.llm import decontamination, packing, pii, quality
 from demandloom.llm.common import prepare, stage
 from test_basic import brute_lines
 from test_decontamination import brute_leaks
+from test_jaccard import brute_kept
 from test_packing import check_pieces
-from test_simhash import brute_components, brute_fingerprint
 
 
 @pytest.fixture(scope="module")
@@ -44,8 +44,8 @@ def test_quality(steps):
 
 def test_near_duplicates(steps):
     before = texts(steps[1])
-    components = brute_components([(d, brute_fingerprint(t)) for d, t in before])
-    assert sorted(d for d, _ in texts(steps[2])) == sorted(set(components))
+    kept = brute_kept(before)
+    assert len(kept) < len(before) and sorted(d for d, _ in texts(steps[2])) == kept
 
 
 def test_decontamination(spark, sf_dir, steps):
