@@ -371,6 +371,8 @@ def oracle_sql() -> dict[str, str]:
         "a6_latest_per_key": _latest(),
         "k1_upsert": _merged(True),
         "k1_upsert_table": _merged(True),
+        "k1_upsert_indexed": _merged(True),
+        "k3_swapped_table": "SELECT o_orderkey, o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
         "k2_create_or_merge": _merged(False),
         "k3_replace_table": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
         "k5_append_evolving": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,

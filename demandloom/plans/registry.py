@@ -20,7 +20,7 @@ from demandloom.operators.chains import chain_closure
 from demandloom.plans import reports, sample
 from demandloom.plans.model import analytics_lines
 from demandloom.session import configure, scratch_database, scratch_path
-from demandloom.sinks import files, tables
+from demandloom.sinks import files, swap, tables
 from demandloom.sources import catalog, routing
 from demandloom.sources.files import read_history, read_order_files
 from demandloom.sources.workbooks import read_workbooks
@@ -314,6 +314,26 @@ def k1_upsert_table(spark, sf_dir):
     return _merged_columns(spark.table(name))
 
 
+@query
+def k1_upsert_indexed(spark, sf_dir):
+    """The same merge: keys are looked up in the key index, merged months are written once and swapped in."""
+    target, source = (tables.with_period(v) for v in _versions(spark, sf_dir))
+    name = f"{scratch_database(spark, 'indexed')}.raw_sales_order"
+    options = {"keep_first": ("autor",), "partition_by": tables.PERIOD, "swap": True, "indexed": True}
+    tables.upsert(name, target, config.LINE_KEY, **options)
+    tables.upsert(name, source, config.LINE_KEY, **options)
+    return _merged_columns(spark.table(name))
+
+
+@query
+def k3_swapped_table(spark, sf_dir):
+    """A table replaced by a function of its own rows, in one step of the catalog."""
+    name = f"{scratch_database(spark, 'swapped')}.orders"
+    swap.swap_table(sample.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), name)
+    swap.swap_table(spark.table(name).where("o_orderstatus <> 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2), name)
+    return spark.table(name)
+
+
 @query
 def k2_create_or_merge(spark, sf_dir):
     """Merge as a configured output: the first call creates the table."""

@@ -138,6 +138,8 @@ def upsert(
     newest: Sequence[str] = (),
     fixed_partition: bool = False,
     quarantine_by: str | None = None,
+    swap: bool = False,
+    indexed: bool = False,
 ) -> None:
     """Update rows with a known key, insert the others.
 
@@ -150,7 +152,10 @@ def upsert(
     to rewrite are those of the arriving rows plus those where their keys live
     now; that list is bounded by the number of partitions. Finding where keys
     live reads the key columns of the whole table; ``fixed_partition`` skips it
-    when a key is known never to change its partition.
+    when a key is known never to change its partition, and ``indexed`` asks the
+    key index first and reads only partitions that can hold an arriving key.
+    With ``swap`` the merged rows are written once, to a new folder, and put in
+    place by the catalog (:mod:`demandloom.sinks.swap`).
     """
     with staged(source) as rows:
         arriving, broken = split_null_keys(rows, keys)
@@ -161,32 +166,58 @@ def upsert(
         elif not broken.isEmpty():
             raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
         arriving = latest_per_key(arriving, keys, newest) if newest else arriving
-        _upsert(table, arriving, keys, keep_first, partition_by, fixed_partition)
+        _upsert(table, arriving, keys, keep_first, partition_by, fixed_partition, swap, indexed)
 
 
 def _upsert(
     table: str, arriving: DataFrame, keys: Sequence[str], keep_first: Sequence[str],
-    partition_by: str | None, fixed_partition: bool,
+    partition_by: str | None, fixed_partition: bool, swap: bool = False, indexed: bool = False,
 ) -> None:
+    from demandloom.sinks.keyindex import possible_homes, update_index
+    from demandloom.sinks.swap import recover_swaps, swap_partitions, swap_table
+
     spark = arriving.sparkSession
+    if indexed and not partition_by:
+        raise ValueError("a key index needs a partition column")
     if not spark.catalog.tableExists(table):
         replace_table(arriving, table, [partition_by] if partition_by else [])
+        if indexed:
+            update_index(spark, table, keys, partition_by, [r[0] for r in arriving.select(partition_by).distinct().collect()])
         return
+    if swap and partition_by:
+        recover_swaps(spark, table)
     target = spark.table(table)
     if not partition_by:
+        if swap:
+            swap_table(merge_rows(target, arriving, keys, keep_first), table)
+            return
         with staged(merge_rows(target, arriving, keys, keep_first)) as merged:
             replace_table(merged, table)
         return
     places = arriving.select(partition_by)
     if not fixed_partition:
-        homes = target.select(*keys, partition_by).join(arriving.select(*keys), list(keys), "left_semi")
+        stored = target.select(*keys, partition_by)
+        possible = possible_homes(spark, table, arriving, keys, partition_by) if indexed else None
+        if possible is not None:
+            stored = stored.where(F.col(partition_by).isin([_typed(target, partition_by, v) for v in possible]))
+        homes = stored.join(arriving.select(*keys), list(keys), "left_semi")
         places = places.union(homes.select(partition_by))
     touched = [r[0] for r in places.distinct().collect()]
     if not touched:
         return
     merged = merge_rows(target.where(F.col(partition_by).isin(touched)), arriving, keys, keep_first)
-    with staged(merged, [partition_by]) as rows:
-        _overwrite_partitions(spark, table, rows, touched, partition_by)
+    if swap:
+        swap_partitions(merged, table, touched, partition_by)
+    else:
+        with staged(merged, [partition_by]) as rows:
+            _overwrite_partitions(spark, table, rows, touched, partition_by)
+    if indexed:
+        update_index(spark, table, keys, partition_by, touched)
+
+
+def _typed(df: DataFrame, column: str, value: str) -> Any:
+    """A partition value as its column has it."""
+    return int(value) if df.schema[column].dataType.typeName() in ("integer", "long", "short", "byte") else value
 
 
 def replace_periods(
