@@ -380,6 +380,8 @@ def oracle_sql() -> dict[str, str]:
         "k6_append_by_name": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
         "k7_configured_replace": "SELECT p_brand, count(*) AS parts FROM part GROUP BY p_brand",
         "k8_materialized_view": "SELECT s_nationkey, count(*) AS suppliers FROM supplier GROUP BY s_nationkey",
+        "k8_incremental_cube": f"""SELECT org_vendas, canal_dist, tipo_ov, material, CAST(round(sum(quantidade * 1000)) AS BIGINT) AS milesimos,
+            count(quantidade) AS linhas FROM ({_merged(False)}) WHERE data NOT LIKE '1999-03-%' GROUP BY 1, 2, 3, 4""",
         "k9_delete_month": f"WITH {LINES} SELECT {SHORT} FROM lines WHERE NOT (year(data) = 2000 AND month(data) = 6)",
         "t3_replace_period": refreshed,
         "t3_replace_period_table": refreshed,

@@ -21,6 +21,7 @@ from demandloom.plans import reports, sample
 from demandloom.plans.model import analytics_lines
 from demandloom.session import configure, scratch_database, scratch_path
 from demandloom.sinks import files, swap, tables
+from demandloom.sinks.cubes import IncrementalCube
 from demandloom.sources import catalog, routing
 from demandloom.sources.files import read_history, read_order_files
 from demandloom.sources.workbooks import read_workbooks
@@ -434,6 +435,23 @@ def k8_materialized_view(spark, sf_dir):
     return spark.table(f"{database}.by_nation")
 
 
+@query
+def k8_incremental_cube(spark, sf_dir):
+    """Sums by segment, market, order type and part after late and corrected lines; each refresh reads changed months only."""
+    target, source = (tables.with_period(v) for v in _versions(spark, sf_dir))
+    database = scratch_database(spark, "cube")
+    name = f"{database}.raw_sales_order"
+    measures = {"milesimos": F.round(F.col("quantidade") * 1000).cast("bigint"),
+                "linhas": F.when(F.col("quantidade").isNotNull(), F.lit(1).cast("bigint")).otherwise(0)}
+    cube = IncrementalCube(spark, name, f"{database}.refined_cube", ["org_vendas", "canal_dist", "tipo_ov", "material"], measures)
+    tables.upsert(name, target, config.LINE_KEY, partition_by=tables.PERIOD)
+    cube.refresh()
+    tables.upsert(name, source, config.LINE_KEY, partition_by=tables.PERIOD, swap=True)
+    tables.delete_month(spark, name, 1999, 3)
+    cube.refresh()
+    return cube.result()
+
+
 @query
 def k9_delete_month(spark, sf_dir):
     name = f"{scratch_database(spark, 'delete')}.raw_sales_order"

@@ -50,6 +50,8 @@ def _note(spark: SparkSession, path: str, content: dict) -> None:
     out = files.create(draft, True)
     out.write(bytearray(json.dumps(content).encode()))
     out.close()
+    if files.exists(target):  # the same note of a writer that died right after it
+        files.delete(target, False)
     if not files.rename(draft, target):
         raise OSError(f"{path} cannot be written")
 
