@@ -35,6 +35,23 @@ def parse_pipe_lines(lines: DataFrame, layout: Sequence[str] = config.ORDER_FILE
     )
 
 
+def classify_lines(lines: DataFrame, layout: Sequence[str] = config.ORDER_FILE_LAYOUT) -> DataFrame:
+    """The lines with ``reject_reason``: NULL for those that :func:`parse_pipe_lines` keeps, why it drops the others.
+
+    ``blank``, ``separator`` (dashes only), ``fields`` (another number of them),
+    ``header`` or ``date``, the first that holds. A NULL line is blank.
+    """
+    fields = F.col("_fields")
+    split = F.explode(F.array(F.split(F.regexp_replace(F.coalesce("value", F.lit("")), "^\\||\\|$", ""), "\\|")))
+    text = F.trim(F.coalesce("value", F.lit("")))
+    reason = (
+        F.when(text == "", "blank").when(text.rlike("^-+$"), "separator").when(F.size(fields) != len(layout), "fields")
+        .when(F.startswith(fields[0], F.lit("Doc.")), "header")
+        .when(~F.trim(fields[1]).rlike("^\\d{2}\\.\\d{2}\\.\\d{4}$"), "date")
+    )
+    return lines.select(*lines.columns, split.alias("_fields")).select(*lines.columns, reason.alias("reject_reason"))
+
+
 def render_pipe_lines(lines: DataFrame, layout: Sequence[str] = config.ORDER_FILE_LAYOUT) -> DataFrame:
     """The inverse of :func:`parse_pipe_lines`; missing columns become blanks."""
     types = dict(lines.dtypes)

@@ -263,6 +263,30 @@ def _profile() -> str:
     )
 
 
+# The columns of the sample tables.
+COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+}
+
+
+def _profile_all() -> str:
+    odd = ("(SELECT CASE l_orderkey % 3 WHEN 0 THEN l_quantity / 2 WHEN 1 THEN l_quantity END AS quantidade, "
+           "CASE WHEN l_orderkey % 3 <> 2 THEN l_returnflag END AS tipo_ov FROM lineitem)")
+    parts = []
+    for table, source, columns in [*((t, t, c) for t, c in COLUMNS.items()), ("odd_lines", odd, "quantidade tipo_ov")]:
+        parts.append(f"SELECT '{table}' AS \"table\", 'total_rows' AS metric, count(*) AS value FROM {source}")
+        parts.append(f"SELECT '{table}', 'duplicate_rows', (SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source}))")
+        parts += [f"SELECT '{table}', 'nulls:{c}', count(*) - count({c}) FROM {source}" for c in columns.split()]
+    return " UNION ALL ".join(parts)
+
+
 QUALITY = """
 WITH n AS (SELECT count(*) AS rows FROM lineitem), checks AS (
   SELECT 'filled:l_orderkey' AS rule, count(*) - count(l_orderkey) AS failed FROM lineitem
@@ -415,7 +439,12 @@ def oracle_sql() -> dict[str, str]:
                    CAST(COALESCE(sum(n) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL), 0) AS BIGINT) AS null_key_rows,
                    count(*) FILTER (WHERE n > 1) AS duplicate_keys FROM k""",
         "a14_table_profile": _profile(),
+        "a14_profile_all_columns": _profile_all(),
         "a15_quality_report": QUALITY,
+        "t2_line_rejects": """SELECT load, reject_reason, (SELECT count(*) FROM nation) AS rows
+            FROM (VALUES ('load-1'), ('load-2')) AS l(load) CROSS JOIN (VALUES ('header'), ('separator'), ('blank'), ('fields'), ('date')) AS r(reject_reason)
+            UNION ALL SELECT 'read', CAST(NULL AS VARCHAR), count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+              JOIN customer ON o_custkey = c_custkey""",
         "j7_orphan_orders": """SELECT o_orderkey, o_custkey FROM orders
             WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
         "j7_orphan_documents": """SELECT doc_id, lang FROM documents d

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from demandloom.sinks.cubes import IncrementalCube
 from demandloom.sources import catalog, routing
 from demandloom.sources.files import read_history, read_order_files
 from demandloom.sources.workbooks import read_workbooks
-from demandloom.streaming.ingest import LoadMode, OrderIngest
+from demandloom.streaming.ingest import LoadMode, OrderIngest, save_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -567,6 +568,31 @@ def a14_table_profile(spark, sf_dir):
     return quality.table_profile(model.with_site(model.lines).select(*columns))
 
 
+@query
+def a14_profile_all_columns(spark, sf_dir):
+    """Every column of every star table, and of the lines with a third of the quantities and types missing or cut in halves."""
+    parts = [quality.table_profile(sample.table(spark, sf_dir, t)).withColumn("table", F.lit(t)) for t in sample.STAR_TABLES]
+    third = F.col("l_orderkey") % 3
+    odd = sample.table(spark, sf_dir, "lineitem").select(
+        F.when(third == 0, F.col("l_quantity") / 2).when(third == 1, F.col("l_quantity")).alias("quantidade"),
+        F.when(third != 2, F.col("l_returnflag")).alias("tipo_ov"))
+    return reduce(DataFrame.unionByName, [*parts, quality.table_profile(odd).withColumn("table", F.lit("odd_lines"))])
+
+
+@query
+def t2_line_rejects(spark, sf_dir):
+    """Lines that cannot be read are stored with their reason; a replay of the same load stores them once."""
+    database, folder = scratch_database(spark, "rejects"), scratch_path(spark, "rejects")
+    _text_lines(spark, sf_dir).write.text(folder)
+    split = cleaning.classify_lines(read_order_files(spark, folder))
+    for load in ("load-1", "load-2", "load-2"):
+        save_rejects(split, f"{database}.raw_sales_order", load)
+    stored = spark.table(f"{database}.raw_sales_order_rejects")
+    good = split.where("reject_reason IS NULL").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("read").alias("load"), F.lit(None).cast("string").alias("reject_reason"), "rows")
+    return stored.groupBy(F.col("_load_id").alias("load"), "reject_reason").agg(F.count(F.lit(1)).alias("rows")).unionByName(good)
+
+
 @query
 def a15_quality_report(spark, sf_dir):
     item, part = (sample.table(spark, sf_dir, t) for t in ("lineitem", "part"))

@@ -22,6 +22,7 @@ CODES = config.Codes(
 MARKETS = ("A", "N", "R")
 SITES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 SECTOR = "00"
+STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 REPORTS = config.build_reports(SEGMENTS, CODES)
 LEGACY_REPORTS = config.build_reports(
     SEGMENTS, CODES, site_sheets_for_new_models=("AUTOMOBILE",), months=config.LEGACY_WINDOW_MONTHS,

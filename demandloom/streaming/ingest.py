@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from demandloom import config
-from demandloom.operators.cleaning import parse_pipe_lines, type_order_lines
+from demandloom.operators.cleaning import classify_lines, parse_pipe_lines, type_order_lines
 from demandloom.operators.merging import latest_per_key, split_null_keys
 from demandloom.sinks import tables
 from demandloom.sources.files import stream_order_files
@@ -60,10 +60,21 @@ def save_batch(batch: DataFrame, table: str, mode: LoadMode, fixed_dates: bool =
             tables.replace_periods(table, latest)
 
 
+def save_rejects(lines: DataFrame, table: str, load_id: str) -> None:
+    """Store the lines of a load that cannot be read, with file and reason, in ``<table>_rejects``; a replay replaces them."""
+    source = [F.col(c) if c in lines.columns else F.lit(None).cast(kind).alias(c) for c, kind in config.SOURCE_COLUMNS.items()]
+    rejected = lines.where("reject_reason IS NOT NULL").select(
+        "reject_reason", F.col("value").alias("line"), *source, F.lit(load_id).alias("_load_id"))
+    tables.replace_loads(f"{table}_rejects", rejected, "_load_id")
+
+
 @dataclass
 class OrderIngest:
     """A file stream into the raw order table.
 
+    Lines that cannot be read go to ``<table>_rejects``. Every batch is split
+    once, so what is stored there and what is loaded make up what was read.
+
     ``fixed_dates`` promises that a line never changes its order month, which
     spares the search for the month a known key is stored under.
     """
@@ -85,9 +96,12 @@ class OrderIngest:
     def _handle(self, lines: DataFrame, batch_id: int) -> None:
         load_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{self.checkpoint}#{batch_id}"))
         counted = Observation()
-        lines = lines.observe(counted, F.count(F.lit(1)).alias("rows"))
-        save_batch(prepare_batch(lines, self.mode, load_id), self.table, self.mode, self.fixed_dates)
-        self._batches.append({"batch_id": batch_id, "input_rows": counted.get["rows"]})
+        with tables.staged(classify_lines(lines).observe(
+                counted, F.count(F.lit(1)).alias("rows"), F.count("reject_reason").alias("rejected"))) as split:
+            save_rejects(split, self.table, load_id)
+            good = split.where("reject_reason IS NULL").drop("reject_reason")
+            save_batch(prepare_batch(good, self.mode, load_id), self.table, self.mode, self.fixed_dates)
+        self._batches.append({"batch_id": batch_id, "input_rows": counted.get["rows"], "rejected_rows": counted.get["rejected"]})
 
     def start(self) -> StreamingQuery:
         """Process every file not seen before, then stop.
@@ -108,7 +122,7 @@ class OrderIngest:
         self._batches = []
         query = self.start()
         query.awaitTermination()
-        for table in (self.table, f"{self.table}_quarantine"):
+        for table in (self.table, f"{self.table}_quarantine", f"{self.table}_rejects"):
             if self.spark.catalog.tableExists(table):
                 self.spark.catalog.refreshTable(table)
         return [b for b in self._batches if b["input_rows"]]
