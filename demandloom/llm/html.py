@@ -44,10 +44,18 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*>", re.S | re.I)
 END = {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN}
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDING = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+# What hides an element: the attribute hidden, aria-hidden="true", or a style with display:none; never a part of a name or value.
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+HIDDEN_ATTRIBUTE = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+HIDDEN_VALUE = re.compile(r"(?:^|\s)aria-hidden\s*=\s*[\"']?true\b|(?:^|\s)style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s\"']*)display\s*:\s*none", re.I)
+#: A class that says what a wrapper has, not what it is: has-sidebar, no-footer.
+ABOUT = {"has", "with", "no", "without"}
+#: A furniture container that holds a page's title or article and more than this share of its words is the page's wrapper.
+WRAPPER = 0.5
+HEADER = re.compile(r"\bclass\s*=\s*[\"']?[^\"'>]*\b(?:post|entry|article)-header\b", re.I)
 SPACE = re.compile(r"\s+")
 
-NONE, MAIN, ASIDE = 0, 1, 2
+NONE, MAIN, ASIDE, HIDES = 0, 1, 2, 3
 
 
 @dataclass
@@ -58,6 +66,8 @@ class Block:
     zone: int
     heading: bool
     label: str | None = None
+    #: What the containers around it say, from the outermost: zone, container, is it a header.
+    marks: tuple[tuple[int, int, bool], ...] = ()
 
     @property
     def density(self) -> float:
@@ -69,10 +79,13 @@ def _zone(name: str, attributes: str) -> int | None:
     if name in FURNITURE:
         return ASIDE
     if attributes:
-        if HIDING.search(attributes):
-            return ASIDE
-        found = {w for m in NAMES.finditer(attributes)
-                 for w in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())}
+        if HIDDEN_ATTRIBUTE.search(QUOTED.sub('""', attributes)) or HIDDEN_VALUE.search(attributes):
+            return HIDES
+        found = set()
+        for m in NAMES.finditer(attributes):
+            for one in (m[1] or m[2] or m[3] or "").lower().split():
+                parts = re.split(r"[_-]+", one)
+                found.update(parts if parts[0] not in ABOUT else ())
         if found & FURNITURE_NAMES and name not in ARTICLE and name not in ("body", "html"):
             return ASIDE
         if name in ARTICLE or (found & ARTICLE_NAMES and name not in ("body", "html")):
@@ -84,8 +97,10 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page in page order. Unclosed and misplaced tags are tolerated."""
     out: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, int, bool, str | None]] = []  # name, zone, heading, label
-    zone, links, heading, label = NONE, 0, False, None
+    stack: list[tuple[str, tuple, bool, str | None]] = []  # name, marks, heading, label
+    marks, links, heading, label = (), 0, False, None
+    containers = 0
+    titled: set[int] = set()  # containers with an h1, an article or a main element
 
     def flush() -> None:
         nonlocal parts
@@ -94,12 +109,13 @@ def blocks(page: str) -> list[Block]:
             if text:
                 linked = sum(len(unescape(p).split()) for p, link in parts if link)
                 words = text.count(" ") + 1
-                out.append(Block(text, words, min(linked, words), zone, heading, label))
+                out.append(Block(text, words, min(linked, words), NONE, heading, label, marks))
             parts = []
 
     at = 0
     open_ended: set[str] = set()  # names without an end tag in the rest of the page
-    while m := TOKEN.search(page, at):
+    last = page.rfind(">")  # behind it no tag ends: searching there would take the square of its length
+    while at <= last and (m := TOKEN.search(page, at)):
         if m.start() > at:
             parts.append((page[at:m.start()], links > 0))
         at = m.end()
@@ -150,18 +166,46 @@ def blocks(page: str) -> list[Block]:
                 continue
             told = _zone(name, m["attributes"])
             mark = re.search(r'data-label="(\w+)"', m["attributes"]) if "data-label" in m["attributes"] else None
-            stack.append((name, told if told is not None else (stack[-1][1] if stack else NONE),
+            around = stack[-1][1] if stack else ()
+            if name in ("h1", "article", "main"):
+                titled.update(c for _, c, _ in around)
+            if told is not None:
+                containers += 1
+                around = (*around, (told, containers, name == "header" or bool(HEADER.search(m["attributes"]))))
+            stack.append((name, around,
                           (bool(stack) and stack[-1][2]) or bool(re.fullmatch("h[1-6]", name)),
                           mark[1] if mark else (stack[-1][3] if stack else None)))
         if name not in INLINE:
-            zone, heading, label = stack[-1][1:] if stack else (NONE, False, None)
+            marks, heading, label = stack[-1][1:] if stack else ((), False, None)
         links = sum(1 for s in stack if s[0] == "a")
     if at < len(page):
-        parts.append((page[at:], links > 0))
+        parts.append((page[at:].partition("<!--")[0], links > 0))
     flush()
+    _place(out, titled)
     return out
 
 
+def _place(found: list[Block], titled: set[int]) -> None:
+    """Each block's zone: what its innermost container says, wrappers of the page aside.
+
+    A heading in the header of an article belongs to the article.
+    """
+    words: dict[int, int] = {}
+    for b in found:
+        for _, container, _ in b.marks:
+            words[container] = words.get(container, 0) + b.words
+    total = sum(b.words for b in found)
+    wrappers = {c for c in titled if words.get(c, 0) > WRAPPER * total}
+    for b in found:
+        own = [m for m in b.marks if m[0] != ASIDE or m[1] not in wrappers]
+        if any(z == HIDES for z, _, _ in own):
+            b.zone = ASIDE
+        elif own:
+            b.zone = own[-1][0]
+            if b.zone == ASIDE and b.heading and own[-1][2] and len(own) > 1 and own[-2][0] == MAIN:
+                b.zone = MAIN
+
+
 def features(found: list[Block]) -> np.ndarray:
     """A row per block: words, density, both of the neighbours, zone, heading."""
     own = np.array([[b.words, b.density] for b in found], float).reshape(-1, 2)
