@@ -360,22 +360,24 @@ class Index:
     listed: np.ndarray
     idf: np.ndarray
     items: dict[int, list[int]]
+    names: dict[int, int | None]  # item_id of each item
 
 
-def _parts(benchmark: DataFrame, item_words: int) -> Iterator[dict[int, list[int]]]:
-    """The benchmark's items as word checksums, in parts of bounded size. Items without words are left out."""
+def _parts(benchmark: DataFrame, item_words: int) -> Iterator[tuple[dict[int, list[int]], dict[int, int | None]]]:
+    """The benchmark's rows by number, as word checksums and item_id, in parts of bounded size. Rows without words are left out."""
     part: dict[int, list[int]] = {}
+    names: dict[int, int | None] = {}
     held = 0
-    for row in benchmark.select("item_id", "text").where("item_id IS NOT NULL").toLocalIterator():
+    for number, row in enumerate(benchmark.select("item_id", "text").toLocalIterator()):
         words = word_hashes(row["text"]).tolist()
         if words:
-            part[row["item_id"]] = words
+            part[number], names[number] = words, row["item_id"]
             held += len(words)
             if held >= item_words:
-                yield part
-                part, held = {}, 0
+                yield part, names
+                part, names, held = {}, {}, 0
     if part:
-        yield part
+        yield part, names
 
 
 def indexes(marked: DataFrame, name: str, benchmark: DataFrame, item_words: int = ITEM_WORDS) -> Iterator[Index]:
@@ -383,8 +385,10 @@ def indexes(marked: DataFrame, name: str, benchmark: DataFrame, item_words: int
     frequencies, blocks = document_frequencies(marked, name)
     idf = weights(frequencies, blocks)
     share = max(1, blocks // FIT_PASSAGES)
-    sample = stage(marked.select(name).where(F.pmod(F.xxhash64(name), F.lit(share)) == 0).repartition(8), "fit")
-    for items in _parts(benchmark, item_words):
+    # By row, so that copies of a text are sampled like other rows and the sample has FIT_PASSAGES blocks, whatever repeats.
+    chosen = F.pmod(F.xxhash64(name, F.monotonically_increasing_id()), F.lit(share)) == 0
+    sample = stage(marked.select(name, chosen.alias("_chosen")).where("_chosen").select(name).repartition(8), "fit")
+    for items, names in _parts(benchmark, item_words):
         owned = [(item, np.array(words[a:b], np.uint32)) for item, words in sorted(items.items())
                  for a, b in passages(len(words))]
         parts = [owned[at:at + QUERIES] for at in range(0, len(owned), QUERIES)]
@@ -402,7 +406,7 @@ def indexes(marked: DataFrame, name: str, benchmark: DataFrame, item_words: int
             place = np.full(len(vocabulary), -1, np.int32)
             place[np.searchsorted(vocabulary, space.vocabulary)] = np.arange(len(space.vocabulary))
             places.append(place)
-        yield Index(spaces, vocabulary, places, listed, idf, items)
+        yield Index(spaces, vocabulary, places, listed, idf, items, names)
 
 
 LEAKS = "doc_id long, item_id long, cosine double, common double, answer double"
@@ -414,8 +418,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = RULES, item_word
     common and answer are the shares of the item's words, and of its last
     words, that stand in order in the document. Null or empty texts and items
     have no words and no leaks; a null doc_id is kept in its rows. Repeated
-    documents give repeated rows, a repeated item_id stands for its last text.
-    Empty tables give no rows.
+    documents give repeated rows. Every row of the benchmark is searched by
+    itself, also with a null or repeated item_id. Empty tables give no rows.
     """
     spark = docs.sparkSession
     marked = stage(hashed(docs.select("doc_id", "text"), "ids").select("doc_id", "ids"), "words")
@@ -427,7 +431,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = RULES, item_word
             i = shared.value
             for batch in batches:
                 found = search([np.frombuffer(raw, np.uint32) for raw in batch.column("ids").to_pylist()], i, rules)
-                rows = [(doc, item, *scores) for doc, items in zip(batch.column("doc_id").to_pylist(), found)
+                rows = [(doc, i.names[item], *scores) for doc, items in zip(batch.column("doc_id").to_pylist(), found)
                         for item, scores in items.items()]
                 columns = list(zip(*rows)) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays(

@@ -133,8 +133,20 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS ids", "2 AS _ids", "map(1, 2) AS item_id")
     bench = spark.createDataFrame([(9, item), (8, None), (7, ""), (None, item)], "item_id long, text string").selectExpr("*", "1 AS ids")
     got = Counter((r.doc_id, r.item_id) for r in d.leaks(df, bench).collect())
-    assert got == Counter([(None, 9), (4, 9), (4, 9), (5, 9)])
+    assert got == Counter([(doc, item) for doc in (None, 4, 4, 5) for item in (9, None)])
     clean = d.without_leaks(df, bench)
     assert clean.columns == df.columns and sorted(r.doc_id for r in clean.collect()) == [1, 2, 3, 6]
     for a, b in ((df.limit(0), bench), (df, bench.limit(0)), (df.limit(0), bench.limit(0))):
         assert d.leaks(a, b).count() == 0 and d.without_leaks(a, b).count() == a.count()
+
+
+def test_null_and_repeated_item_ids_are_searched(spark):
+    """Each benchmark row counts: a null id, and two texts under one id."""
+    prepare(spark)
+    texts = [" ".join(f"{p}{k}x" for k in range(30)) for p in ("one", "two", "three")]
+    bench = spark.createDataFrame(list(zip([None, 7, 7], texts)), "item_id long, text string")
+    filler = " ".join(f"f{k}" for k in range(40))
+    docs = spark.createDataFrame([(k, f"{filler} {t} {filler}") for k, t in enumerate(texts)] + [(9, filler)], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.leaks(docs, bench).collect()}
+    assert found == {(0, None), (1, 7), (2, 7)}
+    assert [r.doc_id for r in d.without_leaks(docs, bench).collect()] == [9]
