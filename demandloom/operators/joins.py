@@ -9,6 +9,7 @@ are copied.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.session import scratch_path
+from demandloom.session import remove_path, scratch_path
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 # A key with fewer rows is no burden for one task.
@@ -79,9 +80,19 @@ def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
+    """The rows written to the shared folder and read back; the files go when the program ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def clean() -> None:
+        try:
+            remove_path(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended; the folder is scratch
+            pass
+
+    atexit.register(clean)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame | None:

@@ -375,6 +375,9 @@ def oracle_sql() -> dict[str, str]:
         "d1_closed_from_long": _wide("fechada"),
         "d9_distribution": _distribution(),
         "d9_distribution_second_segment": _distribution("MACHINERY"),
+        "d9_distribution_of_the_run": f"""WITH shares AS (SELECT "Item Principal Cadeia" AS head, CAST(COLUMNS('^(DMD|%)_') AS DOUBLE)
+            FROM ({_distribution("MACHINERY")})), cells AS (UNPIVOT shares ON COLUMNS(* EXCLUDE head) INTO NAME cell VALUE value)
+            SELECT head, cell, value FROM cells WHERE value <> 0""",
         "d1_as_of_month": _as_of((2000, 6), "2000 Jun"),
         "a4_a5_share_rows": _share_rows(),
         "d9_distribution_all_segments": _distribution_all(),

@@ -1,7 +1,8 @@
 """Every operator as a query over the sample tables.
 
 Each function takes (session, folder of the sample tables) and returns a
-DataFrame. All of them read whole tables. Quantities and dates are returned as
+DataFrame. Tables are read whole; some queries ask for one report, segment or
+period of them, as their docstrings say. Quantities and dates are returned as
 double and text, so that results compare across engines.
 """
 
@@ -20,9 +21,11 @@ from demandloom.operators import cleaning, history, joins, merging, quality, sum
 from demandloom.operators.chains import chain_closure
 from demandloom.plans import reports, sample
 from demandloom.plans.model import analytics_lines
+from demandloom.plans.pipeline import run_reports
 from demandloom.session import configure, scratch_database, scratch_path
 from demandloom.sinks import files, swap, tables
 from demandloom.sinks.cubes import IncrementalCube
+from demandloom.sinks.tables import quote_column
 from demandloom.sources import catalog, routing
 from demandloom.sources.files import read_history, read_order_files
 from demandloom.sources.workbooks import read_workbooks
@@ -168,7 +171,7 @@ def d9_distribution(spark, sf_dir):
 
 @query
 def d9_distribution_second_segment(spark, sf_dir):
-    """The same shares for the second segment, sites and markets as the data have them."""
+    """The same shares for the second segment, sites and markets as given."""
     model = sample.model(spark, sf_dir)
     window = model.window()
     lines = model.report_lines(window.contains(F.col("data")))
@@ -176,6 +179,18 @@ def d9_distribution_second_segment(spark, sf_dir):
         lines, sample.SEGMENTS[1:], window, sites={"MACHINERY": [*sample.SITES, None]}, markets=sample.MARKETS, codes=sample.CODES)
 
 
+@query
+def d9_distribution_of_the_run(spark, sf_dir):
+    """The second segment's distribution as the batch run stores it, with the sites and markets that occur: its cells that are not 0."""
+    database = scratch_database(spark, "run")
+    names = run_reports(sample.SampleModel(spark, sf_dir), database, sample.SEGMENTS, sample.REPORTS, sample.CODES)
+    wanted = f"{config.SHARE_NAME}_{sample.SEGMENTS[1].prefix}_{config.TOTAL_SHEET}".lower()
+    stored = spark.table(next(n for n in names if n.endswith(wanted))).drop("file", "sheet")
+    head, *columns = stored.columns
+    cells = [F.struct(F.lit(c).alias("cell"), F.col(quote_column(c)).cast("double").alias("value")) for c in columns]
+    return stored.select(F.col(quote_column(head)).alias("head"), F.inline(F.array(*cells))).where("value <> 0")
+
+
 @query
 def d1_as_of_month(spark, sf_dir):
     """A closed report of an earlier month, made again: later lines are left out."""

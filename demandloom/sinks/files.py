@@ -304,6 +304,18 @@ def _workbook_header(spark: SparkSession, folder: str, name: str) -> list[str]:
     return [cells[c] for c in sorted(cells, key=lambda c: int(c[2:])) if cells[c] is not None]
 
 
+ORDER_KEY = "array<struct<number:double,text:string>>"
+
+
+def _order_key(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Sort key of a row: numbers by value, all else by text, so that rows of several tables can be sorted together."""
+    numbers = {"byte", "short", "integer", "long", "float", "double", "decimal"}
+    return F.array(*[
+        F.struct((F.col(quote_column(c)) if number else F.lit(None)).cast("double").alias("number"),
+                 (F.lit(None) if number else F.col(quote_column(c))).cast("string").alias("text"))
+        for c in columns for number in [df.schema[c].dataType.typeName() in numbers]]).cast(ORDER_KEY)
+
+
 def _write_workbook(df: DataFrame, path: str, mode: str, order_by: Sequence[str]) -> int:
     spark = df.sparkSession
     ship_package(spark)
@@ -314,14 +326,13 @@ def _write_workbook(df: DataFrame, path: str, mode: str, order_by: Sequence[str]
         if sorted(old.columns) != sorted(header):
             raise ValueError(f"cannot append to {path}: columns {sorted(header)} differ from {sorted(old.columns)}")
         header = old.columns
-    cells = df.select(F.lit(1).alias("_part"), F.array(*[F.col(quote_column(c)).cast("string") for c in order_by]).alias("_order")
-                      if order_by else F.lit(None).cast("array<string>").alias("_order"),
+    cells = df.select(F.lit(1).alias("_part"), (_order_key(df, order_by) if order_by else F.lit(None).cast(ORDER_KEY)).alias("_order"),
                       F.array(*_cell_columns(df, header)).alias("cells"))
     if old is not None:
         # What reads as a number is written as one again, everything else as the text it is.
         kept = [F.concat(F.when(F.col(quote_column(c)).rlike(r"^-?(0|[1-9][0-9]*)([.][0-9]+)?(E-?[0-9]+)?$"), F.lit("n")).otherwise(F.lit("t")),
                          F.col(quote_column(c))) for c in header]
-        cells = old.select(F.lit(0).alias("_part"), F.lit(None).cast("array<string>").alias("_order"),
+        cells = old.select(F.lit(0).alias("_part"), F.lit(None).cast(ORDER_KEY).alias("_order"),
                            F.array(*kept).alias("cells")).unionByName(cells)
     target = _qualified(spark, path)
     ordered = cells.repartition(1).sortWithinPartitions("_part", "_order").select("cells")
@@ -439,7 +450,7 @@ def export_workbooks(
         else:
             only = next(r for r in plan if r["table"] == table)
             placed = df.withColumns({"_file": F.lit(only["file"]), "_position": F.lit(only["position"])})
-        order = F.array(*[F.col(quote_column(c)).cast("string") for c in (order_by or {}).get(table, shown[table][:2])])
+        order = _order_key(df, (order_by or {}).get(table, shown[table][:2]))
         cells = F.array(*_cell_columns(df, shown[table]))
         parts.append(placed.select("_file", "_position", order.alias("_order"), cells.alias("cells")))
     rows = reduce(DataFrame.unionByName, parts)

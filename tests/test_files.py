@@ -266,3 +266,11 @@ def test_history_value_survives_the_stream(spark, ingest, tmp_path, database):
     tables.replace_table(old, job.table, [tables.PERIOD])
     job.run()
     assert spark.table(job.table).first()["numero_pedido"] == "P1"
+
+
+def test_workbook_rows_sort_numbers_by_value(spark):
+    path = f"{scratch_path(spark, 'sorted')}/numbers.xlsx"
+    df = spark.createDataFrame([(100, "b"), (9, "a"), (10, None), (None, "c")], "n int, t string")
+    files.write_file(df, path, "excel", order_by=["n"])
+    files.write_file(df, path, "excel", "append", order_by=["t", "n"])
+    assert [r.n for r in files.read_file(spark, path, "excel").collect()] == [None, "9", "10", "100", "10", "9", "100", None]
