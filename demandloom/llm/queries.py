@@ -79,7 +79,64 @@ item AS (
 )
 SELECT * FROM placed WHERE rank <= 50
 """
-ORACLE_SQL: dict[str, str] = {"op6_line_frequency": _OP6, "op11_geometric_blocking": _OP11}
+
+def _part(value: str) -> str:
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(map(_part, values))})"
+
+
+def _nodes(name: str, leaves: str) -> str:
+    """All nodes of the trees, with the siblings left and right of each."""
+    return f"""{name}_nodes AS (
+  SELECT tree, CAST(0 AS BIGINT) AS level, r AS idx, digest, n FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM {name}_nodes WHERE n > 1 GROUP BY tree, level, idx // 3, n
+), {name}_paths AS (
+  SELECT *, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS left_,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS right_
+  FROM {name}_nodes WINDOW run AS (PARTITION BY tree, level, idx // 3 ORDER BY idx)
+)"""
+
+
+def _walk(name: str, begin: str) -> str:
+    return f"""{name}_walk AS (
+  SELECT uid, tree, CAST(0 AS BIGINT) AS level, idx, folded, proof FROM {begin}
+  UNION ALL
+  SELECT w.uid, w.tree, w.level + 1, w.idx // 3, sha256(p.left_ || w.folded || p.right_), w.proof || p.left_ || p.right_
+  FROM {name}_walk w JOIN {name}_paths p ON p.tree = w.tree AND p.level = w.level AND p.idx = w.idx WHERE p.n > 1
+), {name}_end AS (SELECT uid, arg_max(folded, level) AS folded, arg_max(proof, level) AS proof FROM {name}_walk GROUP BY uid)"""
+
+
+# CRC32 byte by byte, with the reflected polynomial 0xEDB88320.
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])),
+    lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END)))"""
+_OP13 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS uid, doc_id, source, {_leaf('text')} AS digest,
+    CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS tampered
+  FROM documents
+), ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS r FROM leaves
+), {_nodes('lower_', 'ranked')},
+tops AS (SELECT 0 AS tree, tree AS r, digest, count(*) OVER () AS n FROM lower__nodes WHERE n = 1),
+{_nodes('upper_', 'tops')},
+begin_ AS (SELECT uid, tree, r AS idx, coalesce(tampered, digest) AS folded, '' AS proof FROM ranked),
+{_walk('lower_', 'begin_')},
+middle AS (SELECT e.uid, 0 AS tree, r.tree AS idx, e.folded, e.proof FROM lower__end e JOIN ranked r USING (uid)),
+{_walk('upper_', 'middle')}
+SELECT r.doc_id, r.digest AS leaf, t.digest AS subroot, top.digest AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+  e.folded = top.digest AS verified, r.r AS rank
+FROM ranked r JOIN upper__end e USING (uid) JOIN tops t ON t.r = r.tree CROSS JOIN (SELECT digest FROM upper__nodes WHERE n = 1) top
+"""
+ORACLE_SQL: dict[str, str] = {"op6_line_frequency": _OP6, "op11_geometric_blocking": _OP11, "op13_merkle_manifest": _OP13}
 
 
 def query(function: Query) -> Query:
