@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +29,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+#: For each open ``passing`` block, what removes its staged copies.
+_OPEN: list[list[Callable[[], None]]] = []
+
+
+@contextmanager
+def passing() -> Iterator[None]:
+    """Staged copies made inside the block go at its end; nothing may read them later."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for clean in _OPEN.pop():
+            clean()
+            atexit.unregister(clean)
+
+
+def stage(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
     """Write the rows to the shared folder and read them again.
 
     Cuts the lineage: a lost executor costs nothing, because the files are in
-    the folder that all executors share. The files go when the program ends.
+    the folder that all executors share. The files go at the end of the
+    ``passing`` block around the call; without one, or if lasting, when the
+    program ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -45,6 +64,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
             pass
 
     atexit.register(clean)
+    if _OPEN and not lasting:
+        _OPEN[-1].append(clean)
     return spark.read.schema(df.schema).parquet(path)
 
 

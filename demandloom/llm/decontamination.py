@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from demandloom.llm.common import free_name, stage
+from demandloom.llm.common import free_name, passing, stage
 
 BLOCK = 8
 BUCKETS = 1 << 16
@@ -446,10 +446,12 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = RULES, i
     """The documents in which no benchmark item is found, in the columns of the table."""
     spark = docs.sparkSession
     name = free_name(docs, "_ids")
-    marked = stage(hashed(docs, name), "words")
-    out = marked
-    for index in indexes(marked, name, benchmark, item_words):
-        shared = spark.sparkContext.broadcast(index)
+    out = hashed(docs, name)
+    with passing():
+        # Word checksums only; the texts are read again for the search.
+        marked = stage(hashed(docs.select("text"), name).select(name), "words")
+        parts = [spark.sparkContext.broadcast(index) for index in indexes(marked, name, benchmark, item_words)]
+    for shared in parts:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             i = shared.value
@@ -457,5 +459,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = RULES, i
                 found = search([np.frombuffer(raw, np.uint32) for raw in batch.column(name).to_pylist()], i, rules)
                 yield batch.filter(pa.array([not items for items in found], pa.bool_()))
 
-        out = out.mapInArrow(run, marked.schema)
+        out = out.mapInArrow(run, out.schema)
     return out.drop(name)
