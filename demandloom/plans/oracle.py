@@ -417,6 +417,14 @@ def oracle_sql() -> dict[str, str]:
         "k19_write_metrics": f"""WITH {LINES} SELECT count(*) AS rows, CAST(sum(quantidade) AS DOUBLE) AS quantity,
             CAST(min(data) AS VARCHAR) AS first_date, CAST(max(data) AS VARCHAR) AS last_date FROM lines""",
         "k20_compacted_table": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
+        "k18_rules_on_write": """WITH c AS (SELECT count(*) AS n, count(*) FILTER (o_orderpriority LIKE '1%') AS n1,
+                count(*) FILTER (o_orderpriority LIKE '2%' AND o_totalprice > 0) AS n2,
+                count(*) FILTER (o_orderpriority LIKE '3%') AS n3 FROM orders)
+            SELECT write, reason, rows FROM (
+                SELECT write, unnest(['not_null:cust', 'check:price', 'key:taken', 'kept']) AS reason,
+                    unnest([n1, n2, CASE WHEN write = 'append' THEN n3 ELSE 0 END,
+                            CASE write WHEN 'replace' THEN n - n1 - n2 ELSE n + n - n1 - n2 - n3 END]) AS rows
+                FROM c, (VALUES ('append'), ('merge'), ('replace')) AS w(write)) WHERE rows > 0""",
         "w1_dimension_history": HISTORY,
         "w1_extended_history": HISTORY,
         "w1_null_keys": HISTORY.replace(

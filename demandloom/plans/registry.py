@@ -23,7 +23,7 @@ from demandloom.plans import reports, sample
 from demandloom.plans.model import analytics_lines
 from demandloom.plans.pipeline import run_reports
 from demandloom.session import configure, scratch_database, scratch_path
-from demandloom.sinks import files, swap, tables
+from demandloom.sinks import files, rules, swap, tables
 from demandloom.sinks.cubes import IncrementalCube
 from demandloom.sinks.tables import quote_column
 from demandloom.sources import catalog, routing
@@ -409,6 +409,34 @@ def k17_k18_metadata(spark, sf_dir):
     return listed.unionByName(notes).withColumn("rows", F.lit(rows).cast("long"))
 
 
+@query
+def k18_rules_on_write(spark, sf_dir):
+    """The same odd rows against append, merge and replacement of a table with rules: rows set aside by reason, rows kept."""
+    database = scratch_database(spark, "rules")
+    orders = sample.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"), F.col("o_totalprice").alias("price"),
+        F.substring("o_orderpriority", 1, 1).alias("priority"))
+    odd = orders.select(
+        F.when(F.col("priority") == "3", F.col("id")).otherwise(-F.col("id") - 1).alias("id"),
+        F.when(F.col("priority") == "1", None).otherwise(F.col("cust")).alias("cust"),
+        F.when(F.col("priority") == "2", -F.col("price")).otherwise(F.col("price")).alias("price"), "priority")
+    parts = []
+    for write in ("append", "merge", "replace"):
+        name, aside = f"{database}.{write}_orders", f"{database}.{write}_aside"
+        tables.replace_table(orders, name)
+        rules.set_rules(spark, name, ["id"], ["cust"], {"price": "price >= 0"})
+        if write == "append":
+            tables.append(name, odd, quarantine=aside)
+        elif write == "merge":
+            tables.upsert(name, odd, ["id"], quarantine=aside)
+        else:
+            tables.replace_table(odd, name, quarantine=aside)
+        reasons = spark.table(aside).select(F.explode("_broken").alias("reason"))
+        kept = spark.table(name).select(F.lit("kept").alias("reason"))
+        parts.append(reasons.unionByName(kept).groupBy("reason").agg(F.count(F.lit(1)).alias("rows")).withColumn("write", F.lit(write)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def k5_append_evolving(spark, sf_dir):
     """Append rows that lack one column and bring another."""

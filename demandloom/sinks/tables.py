@@ -83,23 +83,43 @@ def recover(spark: SparkSession, path: str, table: str, partition_by: Sequence[s
     """Put the finished copy of a failed replacement in place: whole, or the partitions it has."""
     rows = spark.read.parquet(path)
     if not partition_by:
-        replace_table(rows, table)
+        _put_table(rows, table)
         return
     with dynamic_overwrite(spark):
         rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), format: str = "parquet") -> None:
-    """Full replace, schema included. ``df`` must not read ``table``."""
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), format: str = "parquet",
+                  quarantine: str | None = None) -> None:
+    """Full replace, schema included. ``df`` must not read ``table``.
+
+    The rules of the table stay and hold for the new rows (:mod:`demandloom.sinks.rules`).
+    """
+    from demandloom.sinks.rules import held, stored_rules
+
+    rules = stored_rules(df.sparkSession, table)
+    if not rules:
+        _put_table(df, table, partition_by, format)
+        return
+    with held(df, rules, table, quarantine) as good:
+        _put_table(good, table, partition_by, format)
+
+
+def _put_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), format: str = "parquet") -> None:
+    from demandloom.sinks.rules import store_rules, stored_rules
+
+    rules = stored_rules(df.sparkSession, table)
     writer = by_partition(df, partition_by).write.mode("overwrite").format(format)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    if rules:  # a replaced table begins without properties
+        store_rules(df.sparkSession, table, rules)
 
 
 def rewrite_table(spark: SparkSession, table: str, change: Callable[[DataFrame], DataFrame]) -> None:
     """Full replace by a function of the table's own content."""
     partitions = partition_columns(spark, table)
     with staged(change(spark.table(table)), partitions) as rows:
-        replace_table(rows, table, partitions)
+        _put_table(rows, table, partitions)
 
 
 @contextmanager
@@ -155,10 +175,19 @@ def upsert(
     when a key is known never to change its partition, and ``indexed`` asks the
     key index first and reads only partitions that can hold an arriving key.
     With ``swap`` the merged rows are written once, to a new folder, and put in
-    place by the catalog (:mod:`demandloom.sinks.swap`).
+    place by the catalog (:mod:`demandloom.sinks.swap`). Rows that break the
+    table's rules (:mod:`demandloom.sinks.rules`) are refused, or set aside with their reasons.
     """
+    from demandloom.sinks.rules import held, stored_rules
+
+    rules = stored_rules(source.sparkSession, table)
     with staged(source) as rows:
         arriving, broken = split_null_keys(rows, keys)
+        if rules:
+            arriving = latest_per_key(arriving, keys, newest) if newest else arriving
+            with held(arriving.unionByName(broken), rules.with_key(keys), None, quarantine, quarantine_by) as good:
+                _upsert(table, good, keys, keep_first, partition_by, fixed_partition, swap, indexed)
+            return
         if quarantine and quarantine_by:
             replace_loads(quarantine, broken, quarantine_by)
         elif quarantine:
@@ -192,7 +221,7 @@ def _upsert(
             swap_table(merge_rows(target, arriving, keys, keep_first), table)
             return
         with staged(merge_rows(target, arriving, keys, keep_first)) as merged:
-            replace_table(merged, table)
+            _put_table(merged, table)
         return
     places = arriving.select(partition_by)
     if not fixed_partition:
@@ -252,12 +281,29 @@ def replace_loads(table: str, source: DataFrame, load: str) -> None:
         source.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
-def append(table: str, source: DataFrame) -> None:
-    """Append by name. New columns are added to the table; absent ones become NULL."""
+def append(table: str, source: DataFrame, quarantine: str | None = None) -> None:
+    """Append by name. New columns are added to the table; absent ones become NULL.
+
+    Rows that break the table's rules are refused, or go to ``quarantine``; so do rows with a key the table has.
+    """
+    from demandloom.sinks.rules import held, stored_rules
+
     spark = source.sparkSession
     if not spark.catalog.tableExists(table):
         source.write.saveAsTable(table)
         return
+    rules = stored_rules(spark, table)
+    if not rules:
+        _append(table, source)
+        return
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(table).schema.fields
+              if f.name in rules.columns and f.name not in source.columns]
+    with held(source.select("*", *absent), rules, None, quarantine, taken=spark.table(table)) as good:
+        _append(table, good)
+
+
+def _append(table: str, source: DataFrame) -> None:
+    spark = source.sparkSession
     target = spark.table(table)
     new = [f for f in source.schema.fields if f.name not in target.columns]
     if new:
