@@ -3,9 +3,8 @@
 Two scores over the same tokens (words, then one end per text):
 
 * ``base_score``: smoothed unigrams. All words are counted over all training
-  documents. Words that a sample calls frequent are counted inside the tasks;
-  all others meet in one shuffle by word. The split changes the cost, never a
-  count.
+  documents. The most frequent ones are counted inside the tasks; all others
+  meet in one shuffle by word. The split changes the cost, never a count.
 * ``score``: a causal self-attention model on subword ids, in numpy. A word's
   ids come from a public tokenizer. The model predicts the class of the next id
   from the ids before it; an id's share within its class comes from its count
@@ -13,10 +12,11 @@ Two scores over the same tokens (words, then one end per text):
   id is scored once, with the block before it and what stands before it in its
   own as context.
 
-Training: classes and first weights are fitted on a bounded sample of training
-texts; then every task goes on from there over its own training documents, and
-the weights are averaged (data-parallel training with one round of parameter
-averaging). Each task learns from every window of its training texts, once.
+Training, all of it on all training texts: classes and first weights come from
+counts of every id and its neighbours. From there every task goes over every
+window of its own training documents, and the weights are averaged, first
+after a quarter of the texts and again after the rest (data-parallel training
+with rounds of parameter averaging). A small table is gone over several times.
 """
 
 from __future__ import annotations
@@ -37,15 +37,20 @@ from pyspark.sql import functions as F
 from demandloom.llm.common import stage
 
 FOLDS, HELD_OUT = 5, 1
-#: Training texts that frequent words are taken from, those of the first fit among them, and words that are counted
-#: inside the tasks. All are bounds on what reaches the driver.
-SAMPLE_TEXTS, FIT_TEXTS, HOT_WORDS = 4000, 1500, (1 << 16) - 1
+#: Frequent words that are counted inside the tasks: a bound on what reaches the driver.
+HOT_WORDS = (1 << 16) - 1
+#: Training texts whose windows a task holds at once, and rounds of the k-means that makes the classes.
+FIT_TEXTS, ROUNDS = 1500, 12
 CLASSES, WIDTH, BLOCK = 64, 16, 16
 #: Ids with an embedding of their own; all others have their class's.
 OWN_IDS = 1024
 RATE = 0.01
 #: Windows of one training step of a task.
 STEP_WINDOWS = 512
+#: The tasks' weights are averaged after one text in so many, and again after all others.
+FIRST_PART = 4
+#: Steps of the busiest task, below which training goes over all texts again, and how often it goes over them at most.
+LEAST_STEPS, PASSES = 500, 6
 #: Characters of the longest word that the tokenizer gets whole; longer ones are cut into pieces of this length.
 WORD_CHARS = 400
 
@@ -203,20 +208,23 @@ def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, t
 def gradients(w: dict[str, np.ndarray], inputs, targets, mask) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss in nats over the masked targets, and the gradient of every weight."""
     logits, (x, q, kv, scores, sums, mixed, active) = forward(w, inputs)
-    a = scores / sums
+    a = scores
+    a /= sums
     width, n = q.shape[-1], len(inputs)
     rows, goal, mask = np.arange(len(logits)), targets.ravel(), mask.ravel()
     count = np.float32(max(1, int(mask.sum())))
-    inner = logits < 60
+    chosen = logits[rows, goal]
     d = np.exp(logits)
     total = d.sum(1)
-    loss = float((np.log(total) - logits[rows, goal])[mask].sum() / count)
-    d /= total[:, None]
-    d[rows, goal] -= 1
-    d *= mask[:, None] / count * inner
+    loss = float((np.log(total) - chosen)[mask].sum() / count)
+    share = mask / count
+    d *= (share / total)[:, None]
+    d[rows, goal] -= share
+    if logits.max() >= 60:  # forward() has cut these off
+        d *= logits < 60
     g = {"out": active.T @ d, "bias": d.sum(0)}
     d = d @ w["out"].T
-    d[active <= 0] = 0
+    d *= active > 0
     g["hidden"], g["hidden_bias"] = mixed.T @ d, d.sum(0)
     d = d @ w["hidden"].T
     d_mix = np.ascontiguousarray(d[:, width:]).reshape(n, BLOCK, width)
@@ -232,7 +240,7 @@ def gradients(w: dict[str, np.ndarray], inputs, targets, mask) -> tuple[float, d
     g["key"], g["value"] = np.split(flat.T @ d_kv, 2, axis=1)
     d_x = (d_kv @ np.concatenate([w["key"], w["value"]], 1).T).reshape(n, 2 * BLOCK, width)
     d_x[:, BLOCK:] += (d[:, :width] + d_q @ w["query"].T).reshape(n, BLOCK, width)
-    order = np.argsort(inputs, axis=None, kind="stable")
+    order = np.argsort(inputs.astype(np.uint16), axis=None, kind="stable")
     ids = inputs.ravel()[order]
     cuts = np.flatnonzero(np.diff(ids, prepend=-1))
     g["embedding"] = np.zeros_like(w["embedding"])
@@ -255,27 +263,48 @@ class Adam:
             self.w[k] = (self.w[k] - self.rate * step).astype(np.float32)
 
 
+#: Frequent ids that a profile tells apart, and its columns: what stands before and what follows, one of them or another.
+MARKS = 128
+COLUMNS = 2 * MARKS + 2
+
+
+def most_frequent(counts: np.ndarray) -> np.ndarray:
+    """The ids by falling count."""
+    return np.argsort(-counts, kind="stable")
+
+
+def neighbours(ids: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each id of a text the cells (id, column) of the profile for the id before it and the one after it."""
+    ids = ids.astype(np.int64)
+    return np.concatenate([ids[1:] * COLUMNS + rank[ids[:-1]], ids[:-1] * COLUMNS + MARKS + 1 + rank[ids[1:]]])
+
+
+def ranks(counts: np.ndarray) -> np.ndarray:
+    rank = np.full(len(counts), MARKS)
+    rank[most_frequent(counts)[:MARKS]] = np.arange(min(MARKS, len(counts)))
+    return rank
+
+
 def vocabulary_of(texts: list[np.ndarray], size: int, classes: int = CLASSES, rounds: int = 12) -> Vocabulary:
-    """A class for every id: ids that follow and are followed by the same frequent ids come together (k-means)."""
+    """The classes that the given texts alone tell."""
     counts = np.bincount(np.concatenate(texts), minlength=size) if texts else np.zeros(size, np.int64)
-    marks = np.argsort(-counts, kind="stable")[:128]
-    rank = np.full(size, 128)
-    rank[marks] = np.arange(128)
-    profile = np.zeros(size * 258, np.float32)
+    profile, rank = np.zeros(size * COLUMNS, np.float32), ranks(counts)
     for ids in texts:
-        ids = ids.astype(np.int64)
-        np.add.at(profile, ids[1:] * 258 + rank[ids[:-1]], 1)
-        np.add.at(profile, ids[:-1] * 258 + 129 + rank[ids[1:]], 1)
-    profile = profile.reshape(size, 258)
+        np.add.at(profile, neighbours(ids, rank), 1)
+    return classes_of(counts, profile.reshape(size, COLUMNS), classes, rounds)
+
+
+def classes_of(counts: np.ndarray, profile: np.ndarray, classes: int = CLASSES, rounds: int = 12) -> Vocabulary:
+    """A class for every id: ids that follow and are followed by the same frequent ids come together (k-means)."""
     used = np.flatnonzero(counts > 0)
-    out = np.zeros(size, np.int64)
+    out = np.zeros(len(counts), np.int64)
     if not len(used):
         return Vocabulary(out, OWN_IDS + out)
     rows = np.sqrt(profile[used])
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
     own = min(classes - 1, len(used))
     # Start from the most frequent ids; they differ most in use.
-    centres = rows[np.argsort(-counts[used], kind="stable")[:own]].copy()
+    centres = rows[most_frequent(counts[used])[:own]].copy()
     heavy = np.sqrt(counts[used])[:, None].astype(np.float32)
     for _ in range(rounds):
         best = (rows @ centres.T).argmax(1)
@@ -284,14 +313,40 @@ def vocabulary_of(texts: list[np.ndarray], size: int, classes: int = CLASSES, ro
             if members.any():
                 total = (rows[members] * heavy[members]).sum(0)
                 centres[c] = total / max(float(np.linalg.norm(total)), 1e-9)
-    out[used] = 1 + (rows @ centres.T).argmax(1)  # ids that the sample has not seen share class 0
+    out[used] = 1 + (rows @ centres.T).argmax(1)  # ids that no counted text has share class 0
     own_rows = OWN_IDS + out
-    frequent = np.argsort(-counts, kind="stable")[:OWN_IDS]
+    frequent = most_frequent(counts)[:OWN_IDS]
     frequent = frequent[counts[frequent] > 0]
     own_rows[frequent] = np.arange(len(frequent))
     return Vocabulary(out, own_rows)
 
 
+def first_weights(profile: np.ndarray, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
+    """Weights that give, as far as the width goes, how often each class follows each of the most frequent ids.
+
+    The logarithms of these shares, less those of the classes themselves, are
+    factored: one side is the frequent ids' embedding, the other, with both
+    signs through the hidden layer, the output. Attention starts small.
+    """
+    w = new_weights()
+    follow = np.zeros((CLASSES, MARKS + 1))
+    np.add.at(follow, vocabulary.classes, profile[:, :MARKS + 1])
+    follow = follow.T + 0.5
+    whole = np.log(follow.sum(0) / follow.sum())
+    heavy = np.sqrt(follow.sum(1, keepdims=True))
+    u, s, v = np.linalg.svd(heavy * (np.log(follow / follow.sum(1, keepdims=True)) - whole), full_matrices=False)
+    scale = np.sqrt(s[:WIDTH] / heavy.mean())
+    left = u[:, :WIDTH] * s[:WIDTH] / heavy / scale
+    w["embedding"] = (0.2 * w["embedding"] + left[-1]).astype(np.float32)
+    w["embedding"][:MARKS] = left[:-1]  # the most frequent ids have the first rows
+    out, same = scale[:, None] * v[:WIDTH], np.eye(WIDTH)
+    w["hidden"][:WIDTH] = np.concatenate([same, -same], 1)
+    w["hidden"][WIDTH:] *= np.float32(0.3)
+    w["out"] = np.concatenate([out, -out]).astype(np.float32)
+    w["bias"] = whole.astype(np.float32)
+    return w
+
+
 def fit_windows(texts: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = [windows(t, vocabulary) for t in texts]
     if not parts:
@@ -327,38 +382,27 @@ class Start:
     path: str
 
 
-def start(docs: DataFrame, path: str, texts: int = FIT_TEXTS, hot_words: int = HOT_WORDS, steps: int = 1500) -> Start:
-    """Frequent words, id classes and first weights, from a bounded sample of training texts taken by a hash.
+def frequent_words(docs: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
+    """A number for each of the most frequent words of all training texts.
 
-    The share to take follows from the number of documents, so that no task
-    sends more than its part of the sample. One task fits the sample, which is
-    bounded, and only its result comes to the driver.
+    Every task counts its own texts and sends at most HOT_WORDS words; a task
+    with very many different words forgets its rarest. Which words are listed
+    changes the cost, never a count.
     """
-    wanted = max(texts, SAMPLE_TEXTS if texts >= FIT_TEXTS else 0)
-    share = min(1.0, 1.5 * wanted / max(1, docs.count()))
-    digest = F.xxhash64("text", "doc_id")
-    near = F.pmod(digest, F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    chosen = docs.where(~_fold(F.col("doc_id")) & near).select("text").orderBy(digest).limit(wanted)
-
-    def fit(words_of_texts: Iterable[list[bytes]]) -> Start:
-        encoder = subwords(path)
-        counts: Counter = Counter()
-        ids: list[np.ndarray] = []
-        for words in words_of_texts:
-            counts.update(words)
-            if len(ids) < texts:
-                ids.append(encoder.encode(words))
-        frequent = sorted(((w, n) for w, n in counts.items() if n > 1), key=lambda x: (-x[1], x[0]))
-        hot = {w: k for k, (w, _) in enumerate(frequent[:hot_words])}
-        vocabulary = vocabulary_of(ids, encoder.size)
-        return Start(hot, vocabulary, train(new_weights(), fit_windows(ids, vocabulary), steps), path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = fit(text_words(t) for batch in batches for t in batch.column("text").to_pylist())
-        yield pa.RecordBatch.from_pydict({"fitted": [pickle.dumps(fitted)]}, schema=pa.schema([("fitted", pa.binary())]))
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                counts.update(text_words(text))
+            if len(counts) > 8 * HOT_WORDS:
+                counts = Counter(dict(counts.most_common(2 * HOT_WORDS)))
+        some = counts.most_common(HOT_WORDS)
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
 
-    row = chosen.coalesce(1).mapInArrow(run, "fitted binary").head()
-    return pickle.loads(bytes(row["fitted"])) if row else fit([])
+    rows = docs.where(~_fold(F.col("doc_id"))).select("text").mapInArrow(run, "word binary, n long")
+    frequent = rows.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).toPandas()
+    return {bytes(w): k for k, w in enumerate(frequent["word"])}
 
 
 COUNTED = "kind string, word binary, doc long, n long, doc_id long, held_out boolean, ids binary, hot binary"
@@ -372,37 +416,20 @@ def _rows(kind: str, size: int, **columns) -> pa.RecordBatch:
          pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _ARROW], schema=_ARROW)
 
 
-def _counted(docs: DataFrame, begin: Start) -> DataFrame:
+def _encoded(docs: DataFrame, hot_words: dict[bytes, int], path: str) -> DataFrame:
     """One pass over all texts, as rows of several kinds.
 
     ``doc``: a document's number, its subword ids and frequent words (16 bits
     each), its number of words. ``rare``: any other word of a document, its
     count negative where the document is held out. ``hot`` and ``id``: training
-    counts of a task. ``windows``: how many it has learned from. ``weights``:
-    what it has trained, and its steps.
+    counts of a task. ``train``: its number of training texts.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(begin)
+    shared = docs.sparkSession.sparkContext.broadcast(hot_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = shared.value
-        encoder, frequent = subwords(first.path), first.hot
+        encoder, frequent = subwords(path), shared.value
         hot, ids_seen = np.zeros(len(frequent), np.int64), np.zeros(encoder.size, np.int64)
-        adam = Adam(first.weights, RATE / 10)
-        held: list[tuple] = []
-        held_n = steps = trained = learned = 0
-        number = TaskContext.get().partitionId() << 33
-
-        def learn(least: int) -> None:
-            """Steps over what is held, as long as it is that many windows."""
-            nonlocal held, held_n, steps, learned
-            parts, at = [np.concatenate(p) for p in zip(*held)], 0
-            while held_n - at >= least:
-                adam.rate = RATE / 10 / np.sqrt(1 + steps / 50)
-                some = [p[at:at + STEP_WINDOWS] for p in parts]
-                adam.step(gradients(adam.w, *some)[1])
-                at, steps, learned = at + len(some[0]), steps + 1, learned + len(some[0])
-            held, held_n = [tuple(p[at:] for p in parts)], held_n - at
-
+        trained, number = 0, TaskContext.get().partitionId() << 33
         for batch in batches:
             numbers, sizes, ids_, hots = [], [], [], []
             of_batch: tuple[list, list] = ([], [])
@@ -421,10 +448,6 @@ def _counted(docs: DataFrame, begin: Start) -> DataFrame:
                     trained += 1
                     of_batch[0].append(known)
                     of_batch[1].append(ids)
-                    held.append(windows(ids, first.vocabulary))
-                    held_n += len(held[-1][0])
-                    if held_n >= 8 * STEP_WINDOWS:
-                        learn(STEP_WINDOWS)
                 numbers.append(number)
                 sizes.append(len(words))
                 ids_.append(ids.tobytes())
@@ -436,17 +459,115 @@ def _counted(docs: DataFrame, begin: Start) -> DataFrame:
             yield _rows("rare", len(rare_words), word=rare_words, doc=np.repeat(numbers, rare_docs), n=np.concatenate(rare_n))
             yield _rows("doc", len(numbers), doc=numbers, n=sizes, ids=ids_, hot=hots,
                         doc_id=batch.column("doc_id"), held_out=batch.column("held_out"))
-        if held_n:
-            learn(1)
         used, seen = np.flatnonzero(hot), np.flatnonzero(ids_seen)
         yield _rows("hot", len(used), doc=used, n=hot[used])
         yield _rows("id", len(seen), doc=seen, n=ids_seen[seen])
         yield _rows("train", 1, doc=[0], n=[trained])
+
+    return docs.select("doc_id", "text", _fold(F.col("doc_id")).alias("held_out")).mapInArrow(run, COUNTED)
+
+
+def _total(encoded: DataFrame, kind: str, size: int) -> np.ndarray:
+    """The sum over all tasks of a kind of counts, by number."""
+    rows = encoded.where(F.col("kind") == kind).groupBy("doc").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(size, np.int64)
+    out[rows["doc"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
+
+
+def _learned(encoded: DataFrame) -> DataFrame:
+    return encoded.where("kind = 'doc' AND NOT held_out")
+
+
+def begun(encoded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[Vocabulary, dict[str, np.ndarray]]:
+    """Classes and first weights, from counts of all ids and their neighbours in all training texts.
+
+    The neighbours are counted in the tasks and added up by cell. One task
+    makes the classes of them; there are at most COLUMNS cells an id, however
+    large the corpus.
+    """
+    rank = ranks(counts)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profile = np.zeros(len(counts) * COLUMNS, np.int32)
+        for batch in batches:
+            for raw in batch.column("ids").to_pylist():
+                np.add.at(profile, neighbours(np.frombuffer(raw, np.uint16), rank), 1)
+        cells = np.flatnonzero(profile)
+        for at in range(0, len(cells), 1 << 16):
+            some = cells[at:at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(profile[some].astype(np.int64))], ["cell", "n"])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profile = np.zeros(len(counts) * COLUMNS, np.float32)
+        for batch in batches:
+            profile[batch.column("cell").to_numpy()] = batch.column("n").to_numpy()
+        profile = profile.reshape(len(counts), COLUMNS)
+        vocabulary = classes_of(counts, profile, rounds=rounds)
+        fitted = pickle.dumps((vocabulary, first_weights(profile, vocabulary)))
+        yield pa.RecordBatch.from_arrays([pa.array([fitted], pa.binary())], ["fitted"])
+
+    cells = _learned(encoded).select("ids").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    row = cells.repartition(1).mapInArrow(fit, "fitted binary").head()
+    return pickle.loads(bytes(row["fitted"])) if row else (classes_of(counts, np.zeros((len(counts), 0))), new_weights())
+
+
+def start(docs: DataFrame, path: str, texts: int = FIT_TEXTS, hot_words: int = HOT_WORDS, steps: int = ROUNDS) -> Start:
+    """Frequent words, id classes and first weights of all training texts.
+
+    Nothing is sampled. ``steps`` limits the rounds of the k-means; ``texts``
+    only has a part in training, see ``trained``.
+    """
+    hot = frequent_words(docs, hot_words)
+    encoded = stage(_encoded(docs, hot, path), "counts")
+    return Start(hot, *begun(encoded, _total(encoded, "id", subwords(path).size), steps), path)
+
+
+def trained(texts: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray], done: int = 0, held_texts: int = FIT_TEXTS) -> DataFrame:
+    """Rows of the kinds ``windows``, how many a task has learned from, and ``weights``: what it has trained, and its steps.
+
+    Each task goes over every window of its texts (ids) once. ``done`` steps
+    were taken before; the rate falls with them. A task holds the windows of at
+    most ``held_texts`` texts before it learns from them.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, first = shared.value
+        adam = Adam(first)
+        held: list[tuple] = []
+        held_n = steps = learned = 0
+
+        def learn(least: int) -> None:
+            """Steps over what is held, as long as it is that many windows."""
+            nonlocal held, held_n, steps, learned
+            parts, at = [np.concatenate(p) for p in zip(*held)], 0
+            while held_n - at >= least:
+                adam.rate = RATE / np.sqrt(1 + (done + steps) / 50)
+                some = [p[at:at + STEP_WINDOWS] for p in parts]
+                adam.step(gradients(adam.w, *some)[1])
+                at, steps, learned = at + len(some[0]), steps + 1, learned + len(some[0])
+            held, held_n = [tuple(p[at:] for p in parts)], held_n - at
+
+        for batch in batches:
+            for raw in batch.column("ids").to_pylist():
+                held.append(windows(np.frombuffer(raw, np.uint16), known))
+                held_n += len(held[-1][0])
+                if held_n >= 8 * STEP_WINDOWS or len(held) > held_texts:
+                    learn(STEP_WINDOWS)
+        if held_n:
+            learn(1)
         yield _rows("windows", 1, doc=[0], n=[learned])
         flat = np.concatenate([adam.w[k].ravel() for k in sorted(adam.w)]).astype(np.float32)
         yield _rows("weights", 1, n=[steps], ids=[flat.tobytes()])
 
-    return docs.select("doc_id", "text", _fold(F.col("doc_id")).alias("held_out")).mapInArrow(run, COUNTED)
+    return texts.select("ids").mapInArrow(run, COUNTED)
+
+
+def _counted(docs: DataFrame, begin: Start) -> DataFrame:
+    """All rows of ``_encoded`` and ``trained`` for the texts."""
+    encoded = stage(_encoded(docs, begin.hot, begin.path), "counts")
+    return encoded.unionByName(trained(_learned(encoded), begin.vocabulary, begin.weights))
 
 
 @dataclass(frozen=True)
@@ -517,36 +638,35 @@ def _scored(rows: DataFrame, fitted: Fitted) -> DataFrame:
 
 
 def scores(docs: DataFrame, path: str | None = None, fit_texts: int = FIT_TEXTS, hot_words: int = HOT_WORDS,
-           steps: int = 1500) -> DataFrame:
+           steps: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     Null text is empty: one token, the end. Null doc_id has the checksum of the
     empty text and is training. Repeated rows count and score each. An empty
     table gives no rows; with no training text every count is zero.
 
-    A row is known by a number that it gets in the one pass over the texts; what
-    is counted and scored by that number is staged with it.
+    A row is known by a number that it gets in the one pass that encodes the
+    texts; what is counted, learned and scored by that number is staged with it.
     """
     path = path or tokenizer_path()
-    begin = start(docs, path, fit_texts, hot_words, steps)
-    counted = stage(_counted(docs, begin), "counts")
-
-    def totals(kind: str) -> DataFrame:
-        return counted.where(F.col("kind") == kind).groupBy("doc").agg(F.sum("n").alias("n")).toPandas()
-
-    hot_rows, id_rows = totals("hot"), totals("id")
-    trained = int(totals("train")["n"].sum())
-    hot = np.zeros(len(begin.hot), np.int64)
-    hot[hot_rows["doc"].to_numpy(np.int64)] = hot_rows["n"].to_numpy(np.int64)
-    classes = begin.vocabulary.classes
-    ids = np.zeros(len(classes), np.int64)
-    ids[id_rows["doc"].to_numpy(np.int64)] = id_rows["n"].to_numpy(np.int64)
-    # One small vector a task, streamed: the driver holds the running mean alone.
-    weights = _averaged(((r["n"], r["ids"]) for r in counted.where("kind = 'weights'").select("n", "ids").toLocalIterator()),
-                        begin.weights)
+    frequent = frequent_words(docs, hot_words)
+    counted = stage(_encoded(docs, frequent, path), "counts")
+    hot, ids = _total(counted, "hot", len(frequent)), _total(counted, "id", subwords(path).size)
+    texts_trained = int(_total(counted, "train", 1)[0])
+    vocabulary, weights = begun(counted, ids, steps)
+    done = 0
+    for turn in range(2 * PASSES):
+        first = turn % 2 == 0
+        if first and turn and done >= LEAST_STEPS:
+            break
+        part = _learned(counted).where((F.pmod("doc", F.lit(FIRST_PART)) == 0) == F.lit(first))
+        learned = stage(trained(part, vocabulary, weights, done, fit_texts), "weights").where("kind = 'weights'").select("n", "ids")
+        # One small vector a task, streamed: the driver holds the running mean alone.
+        done += int(learned.agg(F.max("n")).head()[0] or 0)
+        weights = _averaged(((r["n"], r["ids"]) for r in learned.toLocalIterator()), weights)
     smooth = ids + 0.5
-    of_class = np.bincount(classes, smooth, CLASSES)
-    fitted = Fitted(hot, begin.vocabulary, np.log10(smooth / of_class[classes]), weights)
+    of_class = np.bincount(vocabulary.classes, smooth, CLASSES)
+    fitted = Fitted(hot, vocabulary, np.log10(smooth / of_class[vocabulary.classes]), weights)
     scored = stage(_scored(counted.where("kind = 'doc'"), fitted), "scores")
 
     # Rare words: one shuffle by word gives each word's training count beside its documents.
@@ -561,12 +681,12 @@ def scores(docs: DataFrame, path: str | None = None, fit_texts: int = FIT_TEXTS,
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
         F.sum("new").alias("new")), "rare")
     total = scored.where("NOT held_out").agg(F.sum("n_tokens")).head()[0] or 0
-    different = (by_doc.agg(F.sum("new")).head()[0] or 0) + int((hot > 0).sum()) + (trained > 0)
+    different = (by_doc.agg(F.sum("new")).head()[0] or 0) + int((hot > 0).sum()) + (texts_trained > 0)
     spread = np.log10(total + 0.5 * (different + 1))
-    end = float(np.log10(trained + 0.5))
+    end = float(np.log10(texts_trained + 0.5))
     return scored.join(by_doc, "doc", "left").select(
         "doc_id", "held_out", "n_tokens",
-        (F.col("hot_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(trained > 0))).cast("long").alias("n_known"),
+        (F.col("hot_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(texts_trained > 0))).cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0)) + F.lit(end) - F.col("n_tokens") * F.lit(float(spread)))
         .alias("base_score"),

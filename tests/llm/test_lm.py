@@ -127,3 +127,34 @@ def test_every_training_window_is_learned_from(spark, encoder):
     begin = lm.start(df, lm.tokenizer_path(), texts=4, steps=2)
     learned = lm._counted(df, begin).where("kind = 'windows'").groupBy().sum("n").head()[0]
     assert learned == sum(-(-len(encoder.encode(lm.text_words(t))) // lm.BLOCK) for d, t in docs if not lm.held_out(d))
+
+
+def test_start_is_of_all_training_texts(spark, encoder):
+    """Frequent words, classes and first weights are those of all training texts, however few a task holds at once."""
+    prepare(spark)
+    docs = [(d, f"one two word{d % 7} three, four five six.") for d in range(300)] + [(900 + d, f"rare tail{d} " * 9) for d in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    train = [t for d, t in docs if not lm.held_out(d)]
+    counts = Counter(w for t in train for w in lm.text_words(t))
+    hot = lm.frequent_words(df, 8)
+    assert list(hot) == [w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:8]]
+    want = lm.vocabulary_of([encoder.encode(lm.text_words(t)) for t in train], encoder.size)
+    got = lm.start(df, lm.tokenizer_path(), texts=4)
+    assert (got.vocabulary.classes == want.classes).all() and (got.vocabulary.rows == want.rows).all()
+    again = lm.start(df.repartition(2), lm.tokenizer_path(), texts=4)
+    assert all(np.array_equal(got.weights[k], again.weights[k]) for k in got.weights)
+
+
+def test_first_weights_follow_the_counts(encoder):
+    """Without a step of training the first weights beat the classes' shares alone."""
+    texts = [encoder.encode(lm.text_words("the cat sat on the mat and the dog sat on the rug . " * 20)) for _ in range(4)]
+    counts = np.bincount(np.concatenate(texts), minlength=encoder.size)
+    profile, rank = np.zeros(encoder.size * lm.COLUMNS, np.float32), lm.ranks(counts)
+    for ids in texts:
+        np.add.at(profile, lm.neighbours(ids, rank), 1)
+    profile = profile.reshape(-1, lm.COLUMNS)
+    vocabulary = lm.classes_of(counts, profile)
+    w = lm.first_weights(profile, vocabulary)
+    plain = {k: v if k == "bias" else np.zeros_like(v) for k, v in w.items()}
+    data = lm.fit_windows(texts, vocabulary)
+    assert lm.gradients(w, *data)[0] < lm.gradients(plain, *data)[0] - 0.5
