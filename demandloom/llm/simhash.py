@@ -47,7 +47,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1:].tolist())], np.uint64)
+    return of_hashes(np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1:].tolist())], np.uint64))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of the hashes, unsigned: the bits that over half of them have."""
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         part = hashes[at:at + 65536]
