@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from demandloom.llm.common import free_name, passing, stage
+from demandloom.llm.common import passing, stage
 
 BLOCK = 8
 BUCKETS = 1 << 16
@@ -445,19 +445,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = RULES, item_word
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = RULES, item_words: int = ITEM_WORDS) -> DataFrame:
     """The documents in which no benchmark item is found, in the columns of the table."""
     spark = docs.sparkSession
-    name = free_name(docs, "_ids")
-    out = hashed(docs, name)
     with passing():
         # Word checksums only; the texts are read again for the search.
-        marked = stage(hashed(docs.select("text"), name).select(name), "words")
-        parts = [spark.sparkContext.broadcast(index) for index in indexes(marked, name, benchmark, item_words)]
-    for shared in parts:
+        marked = stage(hashed(docs.select("text"), "ids").select("ids"), "words")
+        parts = [spark.sparkContext.broadcast(index) for index in indexes(marked, "ids", benchmark, item_words)]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            i = shared.value
-            for batch in batches:
-                found = search([np.frombuffer(raw, np.uint32) for raw in batch.column(name).to_pylist()], i, rules)
-                yield batch.filter(pa.array([not items for items in found], pa.bool_()))
-
-        out = out.mapInArrow(run, out.schema)
-    return out.drop(name)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All in one function: each further one over the same rows would take another Python worker a core.
+        for batch in batches:
+            texts = [word_hashes(t) for t in batch.column("text").to_pylist()]
+            kept = list(range(len(texts)))
+            for shared in parts:
+                found = search([texts[k] for k in kept], shared.value, rules)
+                kept = [k for k, items in zip(kept, found) if not items]
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return docs.mapInArrow(run, docs.schema) if parts else docs

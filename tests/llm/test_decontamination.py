@@ -150,3 +150,14 @@ def test_null_and_repeated_item_ids_are_searched(spark):
     found = {(r.doc_id, r.item_id) for r in d.leaks(docs, bench).collect()}
     assert found == {(0, None), (1, 7), (2, 7)}
     assert [r.doc_id for r in d.without_leaks(docs, bench).collect()] == [9]
+
+
+def test_all_parts_of_the_benchmark_take_one_python_worker(spark):
+    """A second function over the same rows is a second worker beside the first, with memory of its own."""
+    prepare(spark)
+    texts = [" ".join(f"{p}{k}x" for k in range(30)) for p in ("one", "two", "three")]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([texts[2], "something else", texts[0], None])], "doc_id long, text string")
+    clean = d.without_leaks(docs, bench, item_words=30)
+    assert [r.doc_id for r in clean.orderBy("doc_id").collect()] == [1, 3]
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
