@@ -79,19 +79,32 @@ def passages(n: int, block: int = BLOCK) -> list[tuple[int, int]]:
     return [(s, min(n, s + 2 * block)) for s in range(0, max(1, n - block), block)] if n else []
 
 
+def block_buckets(texts: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """(the different buckets of every block of the texts, one after the other; number of blocks)."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    counts = -(-sizes // BLOCK)
+    # One row a block; a row's last places may be empty.
+    grid = np.full(int(counts.sum()) * BLOCK, -1, np.int32)
+    shift = (np.cumsum(counts) - counts) * BLOCK - (np.cumsum(sizes) - sizes)
+    if len(grid):
+        grid[np.arange(int(sizes.sum())) + np.repeat(shift, sizes)] = np.concatenate(texts) & np.uint32(BUCKETS - 1)
+    places = np.ascontiguousarray(grid.reshape(-1, BLOCK).T)
+    once = places >= 0
+    for k in range(1, BLOCK):
+        for before in range(k):
+            once[k] &= places[k] != places[before]
+    return places[once], int(counts.sum())
+
+
 def document_frequencies(marked: DataFrame, name: str) -> tuple[np.ndarray, int]:
     """(blocks that hold each bucket, number of blocks) over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, blocks = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for raw in batch.column(name).to_pylist():
-                ids = np.frombuffer(raw, np.uint32)
-                if len(ids):
-                    at = np.arange(len(ids), dtype=np.int64) // BLOCK
-                    once = np.unique(at * BUCKETS + (ids & np.uint32(BUCKETS - 1)))
-                    total += np.bincount(once % BUCKETS, minlength=BUCKETS)
-                    blocks += int(at[-1]) + 1
+            buckets, n = block_buckets([np.frombuffer(raw, np.uint32) for raw in batch.column(name).to_pylist()])
+            total += np.bincount(buckets, minlength=BUCKETS)
+            blocks += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, BUCKETS)), pa.array(np.append(total[used], blocks))],
                                          ["bucket", "n"])
@@ -257,6 +270,11 @@ class Space:
     latent: np.ndarray
     items: np.ndarray
 
+    def __post_init__(self):
+        #: What a word of weight one adds to its passage's product with each query; the largest of these, 0 at least.
+        self.products = self.axes @ self.latent.T
+        self.most = np.maximum(self.products.max(axis=1, initial=0), 0).astype(np.float64)
+
 
 # --- exact checks ---------------------------------------------------------------------------
 
@@ -290,10 +308,12 @@ def leaked(common: float, answer: float, rules: Rules) -> bool:
 def search(texts: list[np.ndarray], index: "Index", rules: Rules) -> list[dict[int, tuple[float, float, float]]]:
     """For each text: item -> (cosine, common, answer) of its best passage, for the leaks in it.
 
-    A passage's cosine in a space is at most the share of its length that lies
-    in the space's vocabulary; passages below that bound are dropped first,
-    which loses no candidate. Texts are searched together, some 200,000 words at a
-    time (a longer text alone), so that the work is in few large array steps.
+    A passage's cosine with a query is a sum over its words, so it is at most
+    the sum of what each word adds for the query it serves best. Passages for
+    which that is too little over all spaces are dropped first, then those for
+    which it is in a space, which loses no candidate. Texts are searched
+    together, some 200,000 words at a time (a longer text alone), so that the
+    work is in few large array steps.
     """
     out: list[dict[int, tuple[float, float, float]]] = []
     some, held = [], 0
@@ -306,34 +326,39 @@ def search(texts: list[np.ndarray], index: "Index", rules: Rules) -> list[dict[i
     return out + _search(some, index, rules)
 
 
+def _near(passage: np.ndarray, adds: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which of the words are in a passage whose words add up to its least sum."""
+    return (np.bincount(passage, adds, len(least)) >= least)[passage]
+
+
 def _search(texts: list[np.ndarray], index: "Index", rules: Rules) -> list[dict[int, tuple[float, float, float]]]:
     found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
     if not any(len(t) for t in texts):
         return found
     part_ = weigh(texts, index.idf)
     passage, weight, norm, first = part_.passage, part_.weight, part_.norm, part_.first
-    square, whole = weight.astype(np.float64) ** 2, norm**2
+    least = rules.cosine * norm * (1 - 1e-5)
     hit = np.flatnonzero(index.listed[part_.bucket])
     own, column = known(part_.word[hit], index.vocabulary)
     hit = hit[own]
+    near = _near(passage[hit], weight[hit] * index.most[column], least)
+    hit, column = hit[near], column[near]
+    # The passages left, numbered anew.
+    cuts = np.diff(passage[hit], prepend=-1) != 0
+    left, at_, heavy = passage[hit][cuts], np.cumsum(cuts) - 1, weight[hit]
     for number, space in enumerate(index.spaces):
         local = index.places[number][column]
         mine = np.flatnonzero(local >= 0)
-        rows = hit[mine]
-        inside = np.bincount(passage[rows], square[rows], len(whole))
-        likely = inside >= rules.cosine**2 * whole * (1 - 1e-6)
-        likely &= inside > 0
-        kept = likely[passage[rows]]
-        rows, local = rows[kept], local[mine][kept]
-        starts = np.flatnonzero(np.diff(passage[rows], prepend=-1))
+        mine = mine[_near(at_[mine], heavy[mine] * space.most[local[mine]], least[left])]
+        rows, local, weights_ = at_[mine], local[mine], heavy[mine]
+        starts = np.flatnonzero(np.diff(rows, prepend=-1))
         for at in range(0, len(starts), 4096):
             cut = starts[at:at + 4096]
             end = starts[at + 4096] if at + 4096 < len(starts) else len(rows)
-            gathered = space.axes[local[cut[0]:end]]
-            gathered *= weight[rows[cut[0]:end]][:, None]
-            latent = np.add.reduceat(gathered, cut - cut[0])
-            part = passage[rows[cut]]
-            cosines = latent @ space.latent.T
+            gathered = space.products[local[cut[0]:end]]
+            gathered *= weights_[cut[0]:end, None]
+            part = left[rows[cut]]
+            cosines = np.add.reduceat(gathered, cut - cut[0])
             cosines /= norm[part][:, None]
             for k, q in zip(*np.nonzero(cosines >= rules.cosine)):
                 text = int(np.searchsorted(first, part[k], "right")) - 1
@@ -357,6 +382,7 @@ class Index:
     spaces: list[Space]
     vocabulary: np.ndarray
     places: list[np.ndarray]  # for each space: word of the vocabulary -> its column there, or -1
+    most: np.ndarray  # word of the vocabulary -> the most it adds in any space
     listed: np.ndarray
     idf: np.ndarray
     items: dict[int, list[int]]
@@ -401,12 +427,13 @@ def indexes(marked: DataFrame, name: str, benchmark: DataFrame, item_words: int
         vocabulary = np.unique(np.concatenate([s.vocabulary for s in spaces]))
         listed = np.zeros(BUCKETS, bool)
         listed[vocabulary & np.uint32(BUCKETS - 1)] = True
-        places = []
+        places, most = [], np.zeros(len(vocabulary))
         for space in spaces:
-            place = np.full(len(vocabulary), -1, np.int32)
-            place[np.searchsorted(vocabulary, space.vocabulary)] = np.arange(len(space.vocabulary))
+            place, own = np.full(len(vocabulary), -1, np.int32), np.searchsorted(vocabulary, space.vocabulary)
+            place[own] = np.arange(len(space.vocabulary))
             places.append(place)
-        yield Index(spaces, vocabulary, places, listed, idf, items, names)
+            most[own] = np.maximum(most[own], space.most)
+        yield Index(spaces, vocabulary, places, most, listed, idf, items, names)
 
 
 LEAKS = "doc_id long, item_id long, cosine double, common double, answer double"

@@ -161,3 +161,30 @@ def test_all_parts_of_the_benchmark_take_one_python_worker(spark):
     clean = d.without_leaks(docs, bench, item_words=30)
     assert [r.doc_id for r in clean.orderBy("doc_id").collect()] == [1, 3]
     assert clean._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_no_passage_is_above_its_bound(spark, sf_dir):
+    """Passages are dropped by what their words add at most; that is never less than a cosine, and few are left."""
+    prepare(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(300)
+    marked = stage(d.hashed(docs.select("text"), "ids"), "test")
+    (index,) = d.indexes(marked, "ids", spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    part = d.weigh([np.frombuffer(r.ids, np.uint32) for r in marked.collect()], index.idf)
+    hit, column = d.known(part.word, index.vocabulary)
+    bound = np.bincount(part.passage[hit], part.weight[hit] * index.most[column], len(part.norm)) / part.norm
+    for number, space in enumerate(index.spaces):
+        local = index.places[number][column]
+        rows, local = hit[local >= 0], local[local >= 0]
+        latent = np.zeros((len(part.norm), space.axes.shape[1]))
+        np.add.at(latent, part.passage[rows], part.weight[rows, None] * space.axes[local])
+        cosines = (latent @ space.latent.T / part.norm[:, None]).max(axis=1)
+        assert (cosines <= np.maximum(bound, 0) + 1e-5).all()
+    assert 0 < (bound >= d.RULES.cosine).mean() < 0.2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 1 << 18), max_size=40), max_size=6))
+def test_blocks_hold_each_bucket_once(texts):
+    want = [[x % d.BUCKETS for x in t[a:a + d.BLOCK]] for t in texts for a in range(0, len(t), d.BLOCK)]
+    got, n = d.block_buckets([np.array(t, np.uint32) for t in texts])
+    assert n == len(want) and Counter(got.tolist()) == Counter(x for block in want for x in set(block))
