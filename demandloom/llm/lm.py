@@ -22,7 +22,6 @@ with rounds of parameter averaging). A small table is gone over several times.
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -30,6 +29,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,7 +51,7 @@ STEP_WINDOWS = 512
 FIRST_PART = 4
 #: Steps of the busiest task, below which training goes over all texts again, and how often it goes over them at most.
 LEAST_STEPS, PASSES = 500, 6
-#: Characters of the longest word that the tokenizer gets whole; longer ones are cut into pieces of this length.
+#: Bytes of the longest word that the tokenizer always gets whole; longer ones are cut into pieces of so many characters.
 WORD_CHARS = 400
 
 
@@ -66,6 +66,22 @@ def text_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words of many texts as ``text_words`` has them: for each its place among the different ones, how many each text has, the different ones."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = parts.flatten().dictionary_encode()
+    codes, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+    sizes = np.diff(parts.offsets.to_numpy())
+    nothing = pc.index(words, b"").as_py()  # white space at an end of a text gives an empty word
+    if nothing >= 0:
+        word = codes != nothing
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[word], minlength=len(sizes))
+        codes = codes[word]
+        codes = codes - (codes > nothing)
+        words = pa.concat_arrays([words[:nothing], words[nothing + 1:]])
+    return codes, sizes, words
+
+
 def held_out(doc_id) -> bool:
     return crc32(str(doc_id).encode() if doc_id is not None else b"") % FOLDS == HELD_OUT
 
@@ -89,46 +105,57 @@ class Subwords:
         self.end = self.size - 1
         self.words = words
         self.seen: dict[bytes, bytes] = {}
-        self.marks = {m.encode(): np.array(self.encoding.encode_ordinary(m), np.uint16).tobytes() for m in ",.;:!?"}
         self.starts = np.zeros(self.size, bool)
         for token, i in ranks.items():
             self.starts[i] = token.startswith(b" ")
 
     def _learn(self, new: list[bytes]) -> None:
-        """A mark at the end of letters or digits is a token group of its own; what stands before it is a word."""
-        stems = {w[:-1] if w[-1:] in self.marks and w[:-1].isalnum() else w for w in new}
-        plain = [w for w in stems if len(w) <= WORD_CHARS and w.isalnum() and w not in self.seen]
-        for at in range(0, len(plain), 512):
-            part = plain[at:at + 512]
-            ids = np.array(self.encoding.encode_ordinary(" " + b" ".join(part).decode()), np.uint16)
-            cuts = np.flatnonzero(self.starts[ids])
-            if len(cuts) == len(part):
-                raw, bounds = ids.tobytes(), [*(2 * cuts).tolist(), 2 * len(ids)]
-                self.seen.update(zip(part, map(raw.__getitem__, map(slice, bounds, bounds[1:]))))
+        """Many words go to the tokenizer at once; a token that begins with a space begins a word."""
+        for at in range(0, len(new), 512):
+            part = [w for w in new[at:at + 512] if len(w) <= WORD_CHARS]
+            text = " " + b" ".join(part).decode("utf-8", "replace")
+            if len(text.split()) == len(part):  # else a word holds other white space, which the tokenizer takes apart
+                ids = np.array(self.encoding.encode_ordinary(text), np.uint16)
+                cuts = np.flatnonzero(self.starts[ids])
+                if len(cuts) == len(part):
+                    raw, bounds = ids.tobytes(), [*(2 * cuts).tolist(), 2 * len(ids)]
+                    self.seen.update(zip(part, map(raw.__getitem__, map(slice, bounds, bounds[1:]))))
         for word in new:
             if word not in self.seen:
-                stem = self.seen.get(word[:-1]) if word[-1:] in self.marks else None
-                if stem is not None and word[:-1].isalnum():
-                    self.seen[word] = stem + self.marks[word[-1:]]
-                    continue
                 text = " " + word.decode("utf-8", "replace")
-                pieces = [text[a:a + WORD_CHARS] for a in range(0, len(text), WORD_CHARS)]
+                pieces = [text] if len(word) <= WORD_CHARS else [text[a:a + WORD_CHARS] for a in range(0, len(text), WORD_CHARS)]
                 self.seen[word] = np.array([i for p in pieces for i in self.encoding.encode_ordinary(p)], np.uint16).tobytes()
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        """The ids of the words in turn, then the end."""
+    def lookup(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of these different words."""
         found = list(map(self.seen.get, words))
         if None in found:
-            new = list({w for w, ids in zip(words, found) if ids is None})
-            if len(self.seen) + 2 * len(new) > self.words:
-                self.seen = {}  # full: begin anew, with all words of this text
-                new = list(set(words))
+            new = [w for w, ids in zip(words, found) if ids is None]
+            if len(self.seen) + len(new) > self.words:
+                self.seen, new = {}, words  # full: begin anew, with all of these
             self._learn(new)
-            found = map(self.seen.__getitem__, words)
-        ids = np.frombuffer(b"".join(found), np.uint16)
+            found = list(map(self.seen.__getitem__, words))
+        return found
+
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        """The ids of the words in turn, then the end."""
+        different = list(dict.fromkeys(words))
+        found = dict(zip(different, self.lookup(different)))
+        ids = np.frombuffer(b"".join(map(found.__getitem__, words)), np.uint16)
         return np.append(ids, np.uint16(self.end))
 
 
+    def texts(self, words: list[bytes], codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """What ``encode`` gives for many texts of words given by their place in a list: all ids, how many each text has, the list's ids."""
+        found = self.lookup(words)
+        each = np.array([len(f) // 2 for f in found], np.int64)
+        of_words = np.frombuffer(b"".join(found), np.uint16)
+        many = each[codes]
+        at = np.arange(many.sum()) + np.repeat((np.cumsum(each) - each)[codes] - (np.cumsum(many) - many), many)
+        before = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(sizes)])]
+        return np.insert(of_words[at], before[1:], self.end), np.diff(before) + 1, (of_words, each)
+
+
 @cache
 def subwords(path: str) -> Subwords:
     """One for each worker process."""
@@ -180,71 +207,183 @@ def windows(ids: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.nda
     return inputs, targets.reshape(blocks, BLOCK), (np.arange(blocks * BLOCK) < n).reshape(blocks, BLOCK)
 
 
+def stream(texts: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets and their mask for many texts (n, BLOCK), and where each text begins.
+
+    The blocks of a text stand in turn after one block of begin marks, so that a
+    block and the one before it are a window of ``windows``, and what is
+    computed for a block is there for both windows it is in. A begin block has
+    no targets.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    blocks = 1 - (-sizes // BLOCK)
+    begins = np.cumsum(blocks) - blocks
+    ids = np.concatenate([np.zeros(0, np.uint16), *texts])
+    at = np.arange(len(ids)) + np.repeat((begins + 1) * BLOCK - (np.cumsum(sizes) - sizes), sizes)
+    rows = np.full(blocks.sum() * BLOCK + 1, OWN_IDS + CLASSES, np.int64)
+    rows[at + 1] = vocabulary.rows[ids]
+    rows[begins * BLOCK] = OWN_IDS + CLASSES  # where a text before ends with its block
+    targets, mask = np.zeros(len(rows) - 1, np.int64), np.zeros(len(rows) - 1, bool)
+    targets[at], mask[at] = vocabulary.classes[ids], True
+    return rows[:-1].reshape(-1, BLOCK), targets.reshape(-1, BLOCK), mask.reshape(-1, BLOCK), begins
+
+
+#: Windows that go through the model together, so that what is computed for them stays in a processor's cache.
+NEAR = 128
+
+
+class Pass:
+    """The model over windows whose rows begin ``hop`` rows apart: logits (windows * BLOCK, classes) of their second blocks.
+
+    With ``hop`` = BLOCK every block is read once and belongs to two windows.
+    What depends on a row alone is looked up: its query, key, value and part of
+    the hidden layer. Biases and sums go through the products as columns of
+    ones. Logits and attention scores are limited to 60, so their exponentials
+    are finite as they are; they are only cut off where a sum tells that one is
+    larger.
+    """
+
+    LIMIT = np.float32(np.exp(60))
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        self.width = width = w["query"].shape[0]
+        self.scale = np.float32(1 / np.sqrt(width))
+        self.embedding = embedding = w["embedding"]
+        one, none = np.ones((len(embedding), 1), np.float32), np.zeros((width, 1), np.float32)
+        self.ask = np.concatenate([w["hidden"][:width], w["query"] * self.scale], 1)
+        self.read = np.concatenate([w["key"], w["value"]], 1)
+        self.queries, self.keys = embedding @ self.ask[:, 2 * width:], embedding @ w["key"]
+        self.values = np.concatenate([embedding @ w["value"], one], 1)
+        self.own = np.concatenate([embedding @ self.ask[:, :2 * width] + w["hidden_bias"], one], 1)
+        self.mix_hidden = np.concatenate([w["hidden"][width:], none], 1)
+        self.out = np.concatenate([w["out"], w["bias"][None]])
+        self.back = _MASK + w["distance"][_BACK]
+        self.ones, self.minus = np.ones(self.out.shape[1], np.float32), np.full(width, -1, np.float32)
+        self.tall = np.ones(NEAR * BLOCK, np.float32)
+
+    @np.errstate(over="ignore", invalid="ignore")
+    def forward(self, rows: np.ndarray, n: int, hop: int) -> tuple[np.ndarray, tuple]:
+        width = self.width
+        own = rows[BLOCK:] if hop == BLOCK else rows.reshape(n, hop)[:, BLOCK:].ravel()
+        q = self.queries.take(own, axis=0, mode="clip").reshape(n, BLOCK, width)
+        k, v = (np.lib.stride_tricks.as_strided(x, (n, 2 * BLOCK, x.shape[1]), (hop * x.strides[0], *x.strides))
+                for x in (t.take(rows, axis=0, mode="clip") for t in (self.keys, self.values)))
+        for cut in (False, True):
+            a = q @ k.transpose(0, 2, 1)
+            a += self.back
+            if cut:
+                np.minimum(a, 60, out=a)
+            np.exp(a, out=a)
+            mix = (a @ v).reshape(-1, width + 1)
+            if mix[:, width].max() < self.LIMIT:
+                break
+        share = 1 / mix[:, width:]
+        mix = mix[:, :width] * share
+        active = self.own.take(own, axis=0, mode="clip")
+        active += mix @ self.mix_hidden
+        np.maximum(active, 0, out=active)
+        return active @ self.out, (own, q, k, v, a, share, mix, active)
+
+    @np.errstate(over="ignore")
+    def exponentials(self, logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Of the logits, in place of them if none is cut off; their sums; whether one was cut off."""
+        p = np.exp(logits)
+        total = p @ self.ones
+        if total.max() < self.LIMIT:
+            return p, total, False
+        np.minimum(logits, 60, out=logits)
+        p = np.exp(logits)
+        return p, p @ self.ones, True
+
+    def log_shares(self, rows: np.ndarray, targets: np.ndarray, n: int, hop: int) -> np.ndarray:
+        """Logarithm of every target's probability."""
+        logits, _ = self.forward(rows, n, hop)
+        goal = np.arange(0, logits.size, logits.shape[1]) + targets
+        p, total, cut = self.exponentials(logits)
+        return logits.ravel().take(goal) - np.log(np.maximum(total, np.float32(1e-37)))
+
+    def backward(self, rows, targets, share_of, n: int, hop: int) -> tuple[np.ndarray, tuple]:
+        """The loss of every target, and the gradient by piece; a target counts by its ``share_of``."""
+        width = self.width
+        logits, (own, q, k, v, a, share, mix, active) = self.forward(rows, n, hop)
+        goal = np.arange(0, logits.size, logits.shape[1]) + targets
+        p, total, cut = self.exponentials(logits)
+        loss = np.log(total) - logits.ravel().take(goal)
+        flat = p.ravel()
+        flat[goal] -= total
+        if cut:
+            p *= logits < 60
+        heavy = (share_of / total)[:, None]
+        g_out = p.T @ (active * heavy)
+        d = p @ self.out.T
+        d *= heavy
+        d *= active > 0
+        x, x_own = self.embedding.take(rows, axis=0, mode="clip"), self.embedding.take(own, axis=0, mode="clip")
+        d_own = np.empty((n * BLOCK, 3 * width), np.float32)  # of the hidden layer and of the query
+        d_own[:, :2 * width] = d[:, :-1]
+        d_mix = np.empty((n * BLOCK, width + 1), np.float32)
+        plain = d @ self.mix_hidden.T
+        plain *= share
+        d_mix[:, :width] = plain
+        np.matmul(plain * mix, self.minus, out=d_mix[:, width])
+        d_mix, plain = d_mix.reshape(n, BLOCK, -1), plain.reshape(n, BLOCK, -1)
+        d_s = d_mix @ v.transpose(0, 2, 1)
+        d_s *= a
+        d_kv = np.empty((n, 2 * BLOCK, 2 * width), np.float32)
+        np.matmul(d_s.transpose(0, 2, 1), q, out=d_kv[..., :width])
+        np.matmul(a.transpose(0, 2, 1), plain, out=d_kv[..., width:])
+        if hop == BLOCK:
+            halves = d_kv.reshape(n, 2, -1)
+            d_kv = np.zeros((n + 1, halves.shape[2]), np.float32)
+            d_kv[:-1] = halves[:, 0]
+            d_kv[1:] += halves[:, 1]
+        d_kv = d_kv.reshape(-1, 2 * width)
+        np.matmul(d_s, k, out=d_own.reshape(n, BLOCK, -1)[..., 2 * width:])
+        d_x = d_kv @ self.read.T
+        if hop == BLOCK:
+            d_x[BLOCK:] += d_own @ self.ask.T
+        else:
+            d_x.reshape(n, hop, width)[:, BLOCK:] += (d_own @ self.ask.T).reshape(n, BLOCK, width)
+        return loss, (g_out, x_own.T @ d_own, mix.T @ d, self.tall[:n * BLOCK] @ d, d_s.sum(0), x.T @ d_kv, d_x)
+
+
 def forward(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Class logits (windows * BLOCK, classes) of the second blocks, and what the backward pass needs.
+    """Class logits (windows * BLOCK, classes) of the second blocks of windows, and what the backward pass needs."""
+    logits, kept = Pass(w).forward(inputs.ravel(), len(inputs), 2 * BLOCK)
+    return np.minimum(logits, 60), kept
+
 
-    Logits and attention scores are limited to 60, so their exponentials are finite as they are.
+def gradients(w: dict[str, np.ndarray], inputs, targets, mask, hop: int = 2 * BLOCK) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss in nats over the masked targets, and the gradient of every weight.
+
+    The inputs are windows (n, 2 * BLOCK) or, with ``hop`` = BLOCK, the blocks of
+    ``stream``, whose targets and mask begin with the second block.
     """
-    n, width = len(inputs), w["query"].shape[0]
-    x = w["embedding"][inputs]
-    here = np.ascontiguousarray(x[:, BLOCK:]).reshape(-1, width)
-    q = (here @ (w["query"] * np.float32(1 / np.sqrt(width)))).reshape(n, BLOCK, width)
-    kv = (x.reshape(-1, width) @ np.concatenate([w["key"], w["value"]], 1)).reshape(n, 2 * BLOCK, 2 * width)
-    scores = q @ kv[..., :width].transpose(0, 2, 1)
-    scores += _MASK + w["distance"][_BACK]
-    np.minimum(scores, 60, out=scores)
-    np.exp(scores, out=scores)
-    total = scores.sum(axis=-1, keepdims=True)
-    mixed = np.concatenate([here, ((scores @ kv[..., width:]) / total).reshape(-1, width)], axis=1)
-    active = mixed @ w["hidden"]
-    active += w["hidden_bias"]
-    np.maximum(active, 0, out=active)
-    logits = active @ w["out"]
-    logits += w["bias"]
-    np.minimum(logits, 60, out=logits)
-    return logits, (x, q, kv, scores, total, mixed, active)
-
-
-def gradients(w: dict[str, np.ndarray], inputs, targets, mask) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss in nats over the masked targets, and the gradient of every weight."""
-    logits, (x, q, kv, scores, sums, mixed, active) = forward(w, inputs)
-    a = scores
-    a /= sums
-    width, n = q.shape[-1], len(inputs)
-    rows, goal, mask = np.arange(len(logits)), targets.ravel(), mask.ravel()
+    model, width, rows = Pass(w), w["query"].shape[0], inputs.ravel()
+    targets, mask = targets.ravel(), mask.ravel()
     count = np.float32(max(1, int(mask.sum())))
-    chosen = logits[rows, goal]
-    d = np.exp(logits)
-    total = d.sum(1)
-    loss = float((np.log(total) - chosen)[mask].sum() / count)
-    share = mask / count
-    d *= (share / total)[:, None]
-    d[rows, goal] -= share
-    if logits.max() >= 60:  # forward() has cut these off
-        d *= logits < 60
-    g = {"out": active.T @ d, "bias": d.sum(0)}
-    d = d @ w["out"].T
-    d *= active > 0
-    g["hidden"], g["hidden_bias"] = mixed.T @ d, d.sum(0)
-    d = d @ w["hidden"].T
-    d_mix = np.ascontiguousarray(d[:, width:]).reshape(n, BLOCK, width)
-    k, v = kv[..., :width], kv[..., width:]
-    d_v = a.transpose(0, 2, 1) @ d_mix
-    d_a = d_mix @ v.transpose(0, 2, 1)
-    d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True))
-    g["distance"] = np.bincount(_BACK.ravel(), d_s.sum(0).ravel(), 2 * BLOCK).astype(np.float32)
-    d_q = (d_s @ k).reshape(-1, width) * np.float32(1 / np.sqrt(width))
-    d_kv = np.concatenate([d_s.transpose(0, 2, 1) @ q, d_v], -1).reshape(-1, 2 * width)
-    here, flat = mixed[:, :width], x.reshape(-1, width)
-    g["query"] = here.T @ d_q
-    g["key"], g["value"] = np.split(flat.T @ d_kv, 2, axis=1)
-    d_x = (d_kv @ np.concatenate([w["key"], w["value"]], 1).T).reshape(n, 2 * BLOCK, width)
-    d_x[:, BLOCK:] += (d[:, :width] + d_q @ w["query"].T).reshape(n, BLOCK, width)
-    order = np.argsort(inputs.astype(np.uint16), axis=None, kind="stable")
-    ids = inputs.ravel()[order]
+    loss, sums, d_x, seen = 0.0, None, [], []
+    for at in range(0, len(targets) // BLOCK, NEAR):
+        n = min(NEAR, len(targets) // BLOCK - at)
+        some, part = slice(at * BLOCK, (at + n) * BLOCK), rows[at * hop:at * hop + (n - 1) * hop + 2 * BLOCK]
+        share_of = mask[some] / count
+        losses, pieces = model.backward(part, targets[some], share_of, n, hop)
+        loss += float(losses[mask[some]].sum() / count)
+        sums = pieces[:-1] if sums is None else [s + p for s, p in zip(sums, pieces)]
+        seen.append(part)
+        d_x.append(pieces[-1])
+    if sums is None:
+        return 0.0, {k: np.zeros_like(v) for k, v in w.items()}
+    out, ask, mix, hidden_bias, d_s, read = sums
+    g = {"out": out[:, :-1].T, "bias": out[:, -1], "hidden": np.concatenate([ask[:, :2 * width], mix[:, :-1]]), "hidden_bias": hidden_bias[:-1],
+         "distance": np.bincount(_BACK.ravel(), d_s.ravel(), 2 * BLOCK).astype(np.float32),
+         "query": ask[:, 2 * width:] * model.scale, "key": read[:, :width], "value": read[:, width:]}
+    seen, d_x = np.concatenate(seen), np.concatenate(d_x)
+    order = np.argsort(seen.astype(np.uint16), kind="stable")
+    ids = seen[order]
     cuts = np.flatnonzero(np.diff(ids, prepend=-1))
     g["embedding"] = np.zeros_like(w["embedding"])
-    g["embedding"][ids[cuts]] = np.add.reduceat(d_x.reshape(-1, width)[order], cuts)
+    g["embedding"][ids[cuts]] = np.add.reduceat(d_x.take(order, axis=0), cuts)
     return loss, g
 
 
@@ -390,15 +529,23 @@ def frequent_words(docs: DataFrame, most: int = HOT_WORDS) -> dict[bytes, int]:
     changes the cost, never a count.
     """
 
+    def added(held: list[pa.Table], most: int) -> pa.Table:
+        """Equal words as one; of very many only the most frequent."""
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+        return sums if len(sums) <= most else sums.take(np.argsort(-sums["n"].to_numpy(), kind="stable")[:most // 4])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held = [pa.table({"word": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})]
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(text_words(text))
-            if len(counts) > 8 * HOT_WORDS:
-                counts = Counter(dict(counts.most_common(2 * HOT_WORDS)))
-        some = counts.most_common(HOT_WORDS)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
+            codes, _, words = split_words(batch.column("text"))
+            held.append(pa.table({"word": words, "n": np.bincount(codes, minlength=len(words))}))
+            if sum(map(len, held[1:])) > 4 * HOT_WORDS:
+                held = [added(held, 8 * HOT_WORDS)]
+        counts = added(held, 8 * HOT_WORDS)
+        counts = counts.take(np.argsort(-counts["n"].to_numpy(), kind="stable")[:HOT_WORDS]).combine_chunks()
+        del held
+        pa.default_memory_pool().release_unused()
+        yield from counts.to_batches()
 
     rows = docs.where(~_fold(F.col("doc_id"))).select("text").mapInArrow(run, "word binary, n long")
     frequent = rows.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).toPandas()
@@ -410,6 +557,12 @@ _ARROW = pa.schema([("kind", pa.string()), ("word", pa.binary()), ("doc", pa.int
                     ("held_out", pa.bool_()), ("ids", pa.binary()), ("hot", pa.binary())])
 
 
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of the values, ``sizes`` of them an entry."""
+    ends = np.concatenate([[0], np.cumsum(sizes) * values.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
+
+
 def _rows(kind: str, size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([kind] * size, pa.string()) if f.name == "kind" else
@@ -431,33 +584,28 @@ def _encoded(docs: DataFrame, hot_words: dict[bytes, int], path: str) -> DataFra
         hot, ids_seen = np.zeros(len(frequent), np.int64), np.zeros(encoder.size, np.int64)
         trained, number = 0, TaskContext.get().partitionId() << 33
         for batch in batches:
-            numbers, sizes, ids_, hots = [], [], [], []
-            of_batch: tuple[list, list] = ([], [])
-            rare_words, rare_docs, rare_n = [], [], []
-            for out, text in zip(batch.column("held_out").to_pylist(), batch.column("text").to_pylist()):
-                words = text_words(text)
-                places = list(map(frequent.get, words))
-                known = np.array([k for k in places if k is not None], np.uint16)
-                rare = Counter([w for w, k in zip(words, places) if k is None])
-                rare_words += rare.keys()
-                rare_docs.append(len(rare))
-                part = np.fromiter(rare.values(), np.int64, len(rare))
-                rare_n.append(-part if out else part)
-                ids = encoder.encode(words)
-                if not out:
-                    trained += 1
-                    of_batch[0].append(known)
-                    of_batch[1].append(ids)
-                numbers.append(number)
-                sizes.append(len(words))
-                ids_.append(ids.tobytes())
-                hots.append(known.tobytes())
-                number += 1
-            if of_batch[0]:
-                hot += np.bincount(np.concatenate(of_batch[0]), minlength=len(hot))
-                ids_seen += np.bincount(np.concatenate(of_batch[1]), minlength=len(ids_seen))
-            yield _rows("rare", len(rare_words), word=rare_words, doc=np.repeat(numbers, rare_docs), n=np.concatenate(rare_n))
-            yield _rows("doc", len(numbers), doc=numbers, n=sizes, ids=ids_, hot=hots,
+            out = batch.column("held_out").to_numpy(zero_copy_only=False)
+            codes, sizes, different = split_words(batch.column("text"))
+            listed = different.to_numpy(zero_copy_only=False).tolist()
+            numbers = number + np.arange(len(out))
+            number += len(out)
+            text = np.repeat(np.arange(len(out)), sizes)
+            place = np.array([frequent.get(w, -1) for w in listed], np.int64)
+            known = place[codes]
+            of_text = np.bincount(text[known >= 0], minlength=len(out))
+            pairs, rare_n = np.unique(text[known < 0] * max(1, len(listed)) + codes[known < 0], return_counts=True)
+            rare_text, rare_code = np.divmod(pairs, max(1, len(listed)))
+            ids, id_sizes, word_ids = encoder.texts(listed, codes, sizes)
+            # A word's training count in the batch counts for each of its ids.
+            counts = np.bincount(codes[~out[text]], minlength=len(listed))
+            np.add.at(hot, place[place >= 0], counts[place >= 0])
+            np.add.at(ids_seen, word_ids[0], np.repeat(counts, word_ids[1]))
+            ids_seen[encoder.end] += (~out).sum()
+            trained += int((~out).sum())
+            yield _rows("rare", len(pairs), word=different.take(pa.array(rare_code)), doc=numbers[rare_text],
+                        n=np.where(out[rare_text], -rare_n, rare_n))
+            yield _rows("doc", len(out), doc=numbers, n=sizes, ids=_binary(ids, id_sizes),
+                        hot=_binary(known[known >= 0].astype(np.uint16), of_text),
                         doc_id=batch.column("doc_id"), held_out=batch.column("held_out"))
         used, seen = np.flatnonzero(hot), np.flatnonzero(ids_seen)
         yield _rows("hot", len(used), doc=used, n=hot[used])
@@ -491,8 +639,8 @@ def begun(encoded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> tuple
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profile = np.zeros(len(counts) * COLUMNS, np.int32)
         for batch in batches:
-            for raw in batch.column("ids").to_pylist():
-                np.add.at(profile, neighbours(np.frombuffer(raw, np.uint16), rank), 1)
+            texts = [np.frombuffer(raw, np.uint16) for raw in batch.column("ids").to_pylist()]
+            np.add.at(profile, np.concatenate([neighbours(t, rank) for t in texts]), np.int32(1))
         cells = np.flatnonzero(profile)
         for at in range(0, len(cells), 1 << 16):
             some = cells[at:at + (1 << 16)]
@@ -535,24 +683,33 @@ def trained(texts: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, first = shared.value
         adam = Adam(first)
-        held: list[tuple] = []
+        held: list[np.ndarray] = []
+        rest: tuple = ()  # blocks that were too few for a step, after one that only stands before them
         held_n = steps = learned = 0
 
         def learn(least: int) -> None:
-            """Steps over what is held, as long as it is that many windows."""
-            nonlocal held, held_n, steps, learned
-            parts, at = [np.concatenate(p) for p in zip(*held)], 0
-            while held_n - at >= least:
+            """Steps over the windows held, as long as they are that many."""
+            nonlocal held, rest, held_n, steps, learned
+            parts = stream(held, known)[:3]
+            if rest:
+                parts = tuple(map(np.concatenate, zip(rest, parts)))
+            inputs, targets, mask = parts
+            full, at = np.flatnonzero(mask[:, 0]), 0  # the others are begin blocks
+            while len(full) - at >= least:
+                some = full[at:at + STEP_WINDOWS]
+                first, last = some[0], some[-1] + 1
                 adam.rate = RATE / np.sqrt(1 + (done + steps) / 50)
-                some = [p[at:at + STEP_WINDOWS] for p in parts]
-                adam.step(gradients(adam.w, *some)[1])
-                at, steps, learned = at + len(some[0]), steps + 1, learned + len(some[0])
-            held, held_n = [tuple(p[at:] for p in parts)], held_n - at
+                adam.step(gradients(adam.w, inputs[first - 1:last], targets[first:last], mask[first:last], BLOCK)[1])
+                at, steps, learned = at + len(some), steps + 1, learned + len(some)
+            held, held_n, rest = [], len(full) - at, ()
+            if held_n:
+                rest = tuple(p[full[at] - 1:].copy() for p in parts)
+                rest[2][0] = False
 
         for batch in batches:
             for raw in batch.column("ids").to_pylist():
-                held.append(windows(np.frombuffer(raw, np.uint16), known))
-                held_n += len(held[-1][0])
+                held.append(np.frombuffer(raw, np.uint16))
+                held_n += -(-len(held[-1]) // BLOCK)
                 if held_n >= 8 * STEP_WINDOWS or len(held) > held_texts:
                     learn(STEP_WINDOWS)
         if held_n:
@@ -597,21 +754,19 @@ def _averaged(rows: Iterable[tuple[int, bytes]], like: dict[str, np.ndarray]) ->
     return out
 
 
-def batch_scores(fitted: Fitted, texts: list[np.ndarray], limit: int = 256) -> np.ndarray:
+def batch_scores(fitted: Fitted, texts: list[np.ndarray], limit: int = NEAR) -> np.ndarray:
     """log10 probabilities of many texts; their windows go through the model together, ``limit`` at a time."""
-    parts = [windows(ids, fitted.vocabulary) for ids in texts]
-    inputs, targets, mask = (np.concatenate(p) for p in zip(*parts))
-    per = np.empty(len(inputs))
-    for at in range(0, len(inputs), limit):
-        logits, _ = forward(fitted.weights, inputs[at:at + limit])
-        logp = logits[np.arange(len(logits)), targets[at:at + limit].ravel()]
-        np.exp(logits, out=logits)
-        logp -= np.log(np.maximum(logits.sum(axis=1), np.float32(1e-37)))
-        per[at:at + limit] = (logp.reshape(-1, BLOCK) * mask[at:at + limit]).sum(axis=1, dtype=np.float64)
-    n = np.array([len(p[0]) for p in parts])
-    starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-    shares = np.array([fitted.within[ids].sum() for ids in texts])
-    return np.add.reduceat(per, starts) / np.log(10) + shares
+    inputs, targets, mask, begins = stream(texts, fitted.vocabulary)
+    model, rows, goal = Pass(fitted.weights), inputs.ravel(), targets.ravel()
+    per = np.zeros(len(goal))
+    for at in range(1, len(inputs), limit):
+        n = min(limit, len(inputs) - at)
+        some = slice(at * BLOCK, (at + n) * BLOCK)
+        per[some] = model.log_shares(rows[(at - 1) * BLOCK:(at + n) * BLOCK], goal[some], n, BLOCK)
+    per *= mask.ravel()
+    shares = fitted.within[np.concatenate(texts)]
+    ends = np.cumsum([len(t) for t in texts])
+    return np.add.reduceat(per, begins * BLOCK) / np.log(10) + np.add.reduceat(shares, np.append(0, ends[:-1]))
 
 
 SCORED = "doc long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_sum double, score double"

@@ -8,6 +8,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from demandloom.llm import lm
@@ -158,3 +159,36 @@ def test_first_weights_follow_the_counts(encoder):
     plain = {k: v if k == "bias" else np.zeros_like(v) for k, v in w.items()}
     data = lm.fit_windows(texts, vocabulary)
     assert lm.gradients(w, *data)[0] < lm.gradients(plain, *data)[0] - 0.5
+
+
+def test_a_stream_reads_every_block_once():
+    """Texts as one stream of blocks, each read once, have the loss and the gradients of their windows, also where logits are cut off."""
+    rng = np.random.default_rng(1)
+    texts = [(rng.zipf(1.3, n).clip(1, 3000) - 1).astype(np.uint16) for n in (1, 5, 16, 17, 32, 700, 16, 33, 4000)]
+    vocabulary = lm.vocabulary_of(texts, 3000)
+    inputs, targets, mask, begins = lm.stream(texts, vocabulary)
+    assert len(inputs) == sum(-(-len(t) // lm.BLOCK) + 1 for t in texts) and not mask[begins].any()
+    plain = lm.fit_windows(texts, vocabulary)
+    for weights, cut in ((lm.new_weights(), False), ({k: v * np.float32(1000 if k == "out" else 1) for k, v in lm.new_weights().items()}, True)):
+        assert (lm.forward(weights, plain[0])[0].max() >= 60) == cut
+        loss, g = lm.gradients(weights, inputs, targets[1:], mask[1:], lm.BLOCK)
+        want, g_want = lm.gradients(weights, *plain)
+        assert math.isclose(loss, want, rel_tol=1e-5)
+        assert all(g[k].shape == weights[k].shape and np.allclose(g[k], g_want[k], atol=1e-4 * np.abs(g_want[k]).max()) for k in g)
+        step = {k: np.float32(1e-3) * d for k, d in g.items()}
+        down = lm.gradients({k: weights[k] - step[k] for k in g}, *plain)[0]
+        assert cut or math.isclose(want - down, 1e-3 * sum(float((d * d).sum()) for d in g.values()), rel_tol=0.05)
+
+
+def test_texts_together_have_the_words_and_ids_of_each(encoder):
+    texts = ["", " a", None, "a ", " \t\n", "a\x1cb c\x0bd e f\u0085g", " x y z　", "É ç 日本語 💡, naïve! ", "a" * 400 + " " + "c" * 401 + " " + "é" * 900,
+             "it's 3.14 a.b,c ... A-Z ÀB don't ..., a1, 1a. -x-"] * 2
+    want = [lm.text_words(t) for t in texts]
+    codes, sizes, words = lm.split_words(pa.array(texts, pa.string()))
+    listed = words.to_pylist()
+    assert len(set(listed)) == len(listed) and sizes.tolist() == [len(w) for w in want]
+    assert [listed[c] for c in codes] == [w for ws in want for w in ws]
+    ids, each, _ = encoder.texts(listed, codes, sizes)
+    alone = [[i for x in ws for i in encoder.encode([x])[:-1]] + [encoder.end] for ws in want]
+    assert each.tolist() == [len(a) for a in alone] and ids.tolist() == [i for a in alone for i in a]
+    assert all(len(x) == 0 for x in lm.split_words(pa.array([], pa.string())))
