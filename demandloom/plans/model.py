@@ -14,14 +14,16 @@ from demandloom import config
 from demandloom.functions import dates, text
 from demandloom.operators.cleaning import rename_and_cast
 from demandloom.operators.joins import (
-    BROADCAST_BYTES,
     HOT_ROWS,
     Dimension,
-    hot_keys,
-    key_counts,
+    broadcast_bytes,
+    hot_lists,
     left_join_dimension,
+    left_join_nested,
     measure,
+    passing,
     require_unique_keys,
+    stored,
 )
 
 # What the lookups and reports need to know about a line, apart from its month.
@@ -61,7 +63,8 @@ class Model:
     """Order lines with their dimensions.
 
     A dimension is measured when first joined, once per model; its size picks
-    the join strategy. Repeated keys are refused by :meth:`require_unique_keys`.
+    the join strategy (``broadcast_limit`` bytes, by default what the driver's
+    heap has room for). Repeated keys are refused by :meth:`require_unique_keys`.
     The report date is ``as_of``, or the latest order date, looked up once, so
     that all reports of a model share it; make a new model for new data. With
     ``as_of``, later lines are left out, so a closed month can be made again.
@@ -74,7 +77,7 @@ class Model:
         sales_areas: DataFrame,
         customers: DataFrame,
         bare_customer_numbers: bool = False,
-        broadcast_limit: int = BROADCAST_BYTES,
+        broadcast_limit: int | None = None,
         hot_rows: int = HOT_ROWS,
         as_of: date | None = None,
     ):
@@ -90,7 +93,8 @@ class Model:
             lines = lines.where(F.col("data") <= F.lit(as_of))
         self.lines = lines
         self.dimensions = dimensions(chain, sales_areas, customers)
-        self.broadcast_limit, self.hot_rows = broadcast_limit, hot_rows
+        self.broadcast_limit = broadcast_bytes(lines.sparkSession) if broadcast_limit is None else broadcast_limit
+        self.hot_rows = hot_rows
         self._sizes: dict[str, int] = {}
         self._as_of = as_of
 
@@ -127,8 +131,7 @@ class Model:
         large = [n for n in names if not self.broadcasts(n)]
         if not large:
             return {}
-        counts = key_counts(lines, sorted({c for n in large for c in self.dimensions[n].on}))
-        return {n: hot_keys(counts, self.dimensions[n].on, self.hot_rows) for n in large}
+        return hot_lists(lines, {n: self.dimensions[n].on for n in large}, self.hot_rows)
 
     def _join(self, fact: DataFrame, name: str, hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
         hot = self._hot(fact, name) if hot is None else hot
@@ -147,11 +150,30 @@ class Model:
         return self._join(fact, "customer", hot)
 
     def enriched(self, rows: Column | None = None) -> DataFrame:
-        """The 14-column line view; ``rows`` filters the lines before the joins."""
+        """The 14-column line view; ``rows`` filters the lines before the joins.
+
+        If several lookups are too large to broadcast, the lines are stored
+        before and after they get their heads: they are computed once, to be
+        counted and joined, and one shuffle of them at a time is on disk.
+        """
         lines = self.lines if rows is None else self.lines.where(rows)
         self.sizes(*self.dimensions)
-        hot = self._hot(lines, *self.dimensions)
-        return self.with_customer(self.with_site(self.with_head(lines, hot), hot), hot).select(*config.ENRICHED_COLUMNS)
+        large = [n for n in self.dimensions if not self.broadcasts(n)]
+        if len(large) < 2:
+            hot = self._hot(lines, *large)
+            return self.with_customer(self.with_site(self.with_head(lines, hot), hot), hot).select(*config.ENRICHED_COLUMNS)
+        needed = {*config.ENRICHED_COLUMNS, *config.LINE_KEY, *(c for d in self.dimensions.values() for c in d.on)}
+        kept = [c for c in lines.columns if c in needed]
+        with passing(lines.select(*kept), "lines") as copy:
+            together = {n: self.dimensions[n] for n in ("sales_area", "customer")}
+            both = set(together) <= set(large)
+            hot = self._hot(copy, *[n for n in large if not (both and n == "sales_area")])
+            headed = stored(self.with_head(copy, hot).select(*kept, "item_principal_cadeia"), "headed")
+        if not both:
+            return self.with_customer(self.with_site(headed, hot), hot).select(*config.ENRICHED_COLUMNS)
+        by = config.LINE_KEY if set(config.LINE_KEY) <= set(kept) else ()
+        placed = left_join_nested(headed, "emissor_da_ordem", together, self.hot_rows, hot["customer"], by)
+        return placed.select(*config.ENRICHED_COLUMNS)
 
     def report_lines(self, rows: Column | None = None) -> DataFrame:
         """Lines with chain head and site only, for reports that name no customer data."""

@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -85,6 +87,21 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each query run inside go when it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path on whatever file system it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -189,6 +189,44 @@ def test_large_lookups_read_only_what_is_asked_for(spark, build):
     assert "_salt" in plan and "unused" not in plan
 
 
+def test_lookups_are_broadcast_only_if_the_driver_has_room(spark, build, monkeypatch):
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert joins.broadcast_bytes(spark) <= heap // 64  # 750 MB of heap failed with 100 and 250 MB of lookups
+    model = build([order("1", "2026-06-05", 1)])
+    assert model.broadcasts(*model.dimensions)
+    monkeypatch.setattr(joins, "HEAP_SHARE", heap)
+    model = build([order("1", "2026-06-05", 1)])
+    assert not any(model.broadcasts(n) for n in model.dimensions)
+    plan = model.enriched()._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+
+
+def test_two_large_lookups_in_one_shuffle(spark, build):
+    """Nested lookups give what the joins one by one give, with repeated and NULL keys on both sides."""
+    customers = [order(str(i), "2026-06-05", 1, customer=c, market=m, segment=s) for i, (c, m, s) in enumerate(
+        [("7", "01", "0200"), ("7", "02", "0200"), ("8", "01", "0200"), ("6", "01", None), ("5", "01", "0200"),
+         (None, "01", "0200"), ("9", "01", "0200"), ("7", None, "0500")])]
+    small, large = build(customers), build(customers, broadcast_limit=-1, hot_rows=2)
+    for model in (small, large):
+        for name, extra in (("sales_area", ("7", "0200", "01", "04", "0209")), ("sales_area", (None, "0200", "01", "04", "X")),
+                            ("customer", ("7", "Dealer 7b", "RJ", "BR")), ("customer", (None, "nobody", "RJ", "BR"))):
+            d = model.dimensions[name]
+            more = spark.createDataFrame([extra], d.table.schema)
+            model.dimensions[name] = joins.Dimension(d.table.unionByName(more), d.keys, d.on)
+    want, got = (sorted(map(str, m.enriched().collect())) for m in (small, large))
+    assert got == want and len(want) == 8 + 3 + 1 + 1
+
+
+def test_hot_lists_count_the_keys_of_full_buckets_only(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", "x")] * 5 + [("b", "x")] * 2 + [(None, "y")] * 5 + [("c", None)], "k string, l string")
+    for buckets in (1, joins.KEY_BUCKETS):  # one bucket: all keys are in a full one
+        monkeypatch.setattr(joins, "KEY_BUCKETS", buckets)
+        found = joins.hot_lists(rows, {"k": ["k"], "l": ["l"], "both": ["l", "k"]}, 5)
+        listed = {n: sorted(map(str, (tuple(r) for r in f.collect()))) for n, f in found.items()}
+        assert listed == {"k": ["('a', 2)", "(None, 2)"], "l": ["('x', 3)", "('y', 2)"], "both": ["('x', 'a', 2)", "('y', None, 2)"]}
+    assert joins.hot_lists(rows, {"k": ["k"], "l": ["l"]}, 8) == {"k": None, "l": None}
+
+
 def test_as_of(build):
     model = build([order("1", "2026-05-05", 1), order("2", "2026-06-20", 2)], as_of=date(2026, 5, 31))
     assert model.window().as_of == date(2026, 5, 31)
