@@ -216,11 +216,12 @@ def a4_a5_share_rows(spark, sf_dir):
 def d9_distribution_all_segments(spark, sf_dir):
     """The older layout: sites of both segments beside markets of all segments (J5)."""
     model = sample.model(spark, sf_dir)
+    window = model.window()
     sites = {s.code: [*sample.SITES, None] for s in sample.SEGMENTS}
+    # The longest of its windows, so that only its lines are counted for hot keys.
+    lines = model.report_lines(window.resized(config.MARKET_SHARE_MONTHS).contains(F.col("data")))
     return reports.distribution(
-        model.report_lines(), sample.SEGMENTS, model.window(), sites=sites, markets=sample.MARKETS,
-        codes=sample.CODES, all_markets=True,
-    )
+        lines, sample.SEGMENTS, window, sites=sites, markets=sample.MARKETS, codes=sample.CODES, all_markets=True)
 
 
 @query
