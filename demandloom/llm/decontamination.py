@@ -9,9 +9,10 @@ themselves decide. The benchmark is the stated query set; it is worked on in
 blocks of ``QUERIES`` passages, each with its own space, all in one pass over
 the documents.
 
-What is counted (document frequencies) and searched covers every passage. The
-space is fitted on a bounded sample of passages (``FIT_PASSAGES``) besides all
-benchmark passages; the sample shapes the axes and decides nothing alone.
+What is counted (document frequencies), fitted and searched covers every
+passage of the corpus and the benchmark. For the fit each task adds up what its
+passages give to A^T A over the words of each space, the tasks' sums are added
+on Spark, and the iterations work with the result.
 Small blocks keep the work low: a document passage meets only those spaces
 whose few words make up enough of it.
 """
@@ -34,7 +35,10 @@ BLOCK = 8
 BUCKETS = 1 << 16
 QUERIES = 32
 RANK = 64
-FIT_PASSAGES = 1 << 16
+#: Different words of the spaces that are fitted in one pass over the corpus (64 MB of sums a task at most).
+FIT_WORDS = 1 << 12
+#: Words whose passages are weighed together.
+SOME_WORDS = 200_000
 #: Benchmark words that are sent to every task at once (some 60 spaces); a larger benchmark takes several passes.
 ITEM_WORDS = 16_000
 
@@ -212,24 +216,99 @@ def weigh(texts: list[np.ndarray], idf: np.ndarray) -> Weighed:
     return Weighed(passage, word, bucket, weight, norm, counts, first)
 
 
-def _product(part: Weighed, vocabulary: np.ndarray, axes: np.ndarray) -> np.ndarray:
-    """A^T (A axes) for the matrix A of the passages over the vocabulary, rows of length one over all their words."""
-    hit, columns = known(part.word, vocabulary)
-    starts = np.flatnonzero(np.diff(part.passage[hit], prepend=-1))
-    values = (part.weight[hit] / part.norm[part.passage[hit]]).astype(np.float32)
-    rows = Sparse(starts, columns, values)
-    return rows.transposed_times(rows.times(axes), len(vocabulary))
+def _some(texts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The texts in order, some ``SOME_WORDS`` words at a time (a longer text alone)."""
+    some, held = [], 0
+    for ids in texts:
+        some.append(ids)
+        held += len(ids)
+        if held >= SOME_WORDS:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
+def _packed(row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Places of a symmetric matrix kept as rows up to the diagonal; column <= row."""
+    return row * (row + 1) // 2 + column
+
 
+def add_products(part: Weighed, vocabulary: np.ndarray, listed: np.ndarray, sums: np.ndarray) -> None:
+    """Add A^T A to the packed sums, for the matrix A of the passages over the vocabulary, rows of length one over all their words."""
+    hit = np.flatnonzero(listed[part.bucket])
+    own, column = known(part.word[hit], vocabulary)
+    hit, column = hit[own], column.astype(np.int64)
+    passage = part.passage[hit]
+    values = part.weight[hit] / part.norm[passage]
+    # The words of a passage stand together in rising order; each is paired with itself and those before it.
+    at = np.arange(len(hit))
+    for back in range(2 * BLOCK):
+        at = at[at >= back]
+        at = at[passage[at] == passage[at - back]]
+        if not len(at):
+            break
+        np.add.at(sums, _packed(column[at], column[at - back]), values[at] * values[at - back])
 
-def latent_axes(sample: DataFrame, name: str, idf: np.ndarray, blocks: list[tuple[np.ndarray, list[np.ndarray]]],
+
+def corpus_products(marked: DataFrame, name: str, idf: np.ndarray, vocabularies: list[np.ndarray]) -> list[np.ndarray]:
+    """A^T A over each vocabulary, for the matrix A of all passages of the corpus.
+
+    Tasks are a few for each core, so that what they send does not grow with
+    the corpus, and their sums are added by matrix row on Spark.
+    """
+    spark = marked.sparkSession
+    out = [np.zeros((len(v), len(v)), np.float64) for v in vocabularies]
+    tasks = min(marked.rdd.getNumPartitions(), 4 * spark.sparkContext.defaultParallelism)
+    at = 0
+    while at < len(vocabularies):
+        union, end = vocabularies[at], at + 1
+        while end < len(vocabularies) and len(more := np.union1d(union, vocabularies[end])) <= FIT_WORDS:
+            union, end = more, end + 1
+        listed = np.zeros(BUCKETS, bool)
+        listed[union & np.uint32(BUCKETS - 1)] = True
+        places = [np.searchsorted(union, v) for v in vocabularies[at:end]]
+        shared = spark.sparkContext.broadcast((union, listed, places, idf))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            words, listed_, own, weights_ = shared.value
+            sums = np.zeros(len(words) * (len(words) + 1) // 2)
+            for batch in batches:
+                for some in _some([np.frombuffer(r, np.uint32) for r in batch.column(name).to_pylist()]):
+                    add_products(weigh(some, weights_), words, listed_, sums)
+            for k, place in enumerate(own):
+                full = sums[_packed(np.maximum.outer(place, place), np.minimum.outer(place, place))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k] * len(place), pa.int64()), pa.array(range(len(place)), pa.int64()),
+                     pa.array([row.tobytes() for row in full], pa.binary())], ["block", "line", "sums"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[tuple[int, int], np.ndarray] = {}
+            for batch in batches:
+                for k, line, raw in zip(*(batch.column(c).to_pylist() for c in ("block", "line", "sums"))):
+                    row = np.frombuffer(raw, np.float64)
+                    total[k, line] = total[k, line] + row if (k, line) in total else row
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in total], pa.int64()), pa.array([x for _, x in total], pa.int64()),
+                 pa.array([t.tobytes() for t in total.values()], pa.binary())], ["block", "line", "sums"])
+
+        schema = "block long, line long, sums binary"
+        parts = marked.select(name).coalesce(tasks).mapInArrow(run, schema)
+        for row in parts.repartition(8, "block", "line").mapInArrow(add, schema).toLocalIterator():
+            out[at + row["block"]][row["line"]] = np.frombuffer(row["sums"], np.float64)
+        shared.unpersist()
+        at = end
+    return out
+
+
+def latent_axes(marked: DataFrame, name: str, idf: np.ndarray, blocks: list[tuple[np.ndarray, list[np.ndarray]]],
                 rank: int = RANK, rounds: int = 2) -> list[np.ndarray]:
-    """Right singular vectors (vocabulary x rank) for each block (vocabulary, queries), of its queries and the sample.
+    """Right singular vectors (vocabulary x rank) for each block (vocabulary, queries), of its queries and the corpus.
 
-    Randomised subspace iteration: each round every partition of the sample
-    sends one product of the size vocabulary x rank for each block, so the
-    driver adds up as many as the sample has partitions (a fixed number). The
-    sample's part is scaled to a tenth of the queries': the directions of the
-    queries must be in the space, whatever the corpus is full of.
+    Randomised subspace iteration with the corpus' A^T A over the block's
+    vocabulary, which Spark adds up over all passages. The corpus' part is
+    scaled to a tenth of the queries': the directions of the queries must be in
+    the space, whatever the corpus is full of.
     """
     owns = [sparse_passages(queries, vocabulary, idf) for vocabulary, queries in blocks]
     rng = np.random.default_rng(7)
@@ -237,27 +316,13 @@ def latent_axes(sample: DataFrame, name: str, idf: np.ndarray, blocks: list[tupl
     for (vocabulary, _), own in zip(blocks, owns):
         width = min(rank, len(vocabulary), len(own.starts) + 32)
         axes.append(np.linalg.qr(rng.standard_normal((len(vocabulary), width)).astype(np.float32))[0])
-    vocabularies = [vocabulary for vocabulary, _ in blocks]
-    for _ in range(rounds):
-        shared = sample.sparkSession.sparkContext.broadcast((vocabularies, axes, idf))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, spaces, weights_ = shared.value
-            total = [np.zeros_like(a) for a in spaces]
-            for batch in batches:
-                part = weigh([np.frombuffer(r, np.uint32) for r in batch.column(name).to_pylist()], weights_)
-                for k, (vocabulary, own) in enumerate(zip(words, spaces)):
-                    total[k] += _product(part, vocabulary, own)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int64()), pa.array([t.tobytes() for t in total], pa.binary())],
-                                             ["block", "product"])
-
-        corpus = [np.zeros_like(a) for a in axes]
-        for row in sample.select(name).mapInArrow(run, "block long, product binary").toLocalIterator():
-            corpus[row["block"]] += np.frombuffer(row["product"], np.float32).reshape(corpus[row["block"]].shape)
-        for k, own in enumerate(owns):
-            mine = own.transposed_times(own.times(axes[k]), len(vocabularies[k]))
-            scale = 0.1 * np.linalg.norm(mine) / max(float(np.linalg.norm(corpus[k])), 1e-9)
-            axes[k] = np.linalg.qr(mine + np.float32(scale) * corpus[k])[0].astype(np.float32)
+    products = corpus_products(marked, name, idf, [vocabulary for vocabulary, _ in blocks])
+    for k, own in enumerate(owns):
+        for _ in range(rounds):
+            corpus = (products[k] @ axes[k]).astype(np.float32)
+            mine = own.transposed_times(own.times(axes[k]), len(blocks[k][0]))
+            scale = 0.1 * np.linalg.norm(mine) / max(float(np.linalg.norm(corpus)), 1e-9)
+            axes[k] = np.linalg.qr(mine + np.float32(scale) * corpus)[0].astype(np.float32)
     return axes
 
 
@@ -315,15 +380,7 @@ def search(texts: list[np.ndarray], index: "Index", rules: Rules) -> list[dict[i
     together, some 200,000 words at a time (a longer text alone), so that the
     work is in few large array steps.
     """
-    out: list[dict[int, tuple[float, float, float]]] = []
-    some, held = [], 0
-    for ids in texts:
-        some.append(ids)
-        held += len(ids)
-        if held >= 200_000:
-            out += _search(some, index, rules)
-            some, held = [], 0
-    return out + _search(some, index, rules)
+    return [found for some in _some(texts) for found in _search(some, index, rules)]
 
 
 def _near(passage: np.ndarray, adds: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -410,17 +467,13 @@ def indexes(marked: DataFrame, name: str, benchmark: DataFrame, item_words: int
     """The search indexes of a benchmark over a staged corpus with word checksums."""
     frequencies, blocks = document_frequencies(marked, name)
     idf = weights(frequencies, blocks)
-    share = max(1, blocks // FIT_PASSAGES)
-    # By row, so that copies of a text are sampled like other rows and the sample has FIT_PASSAGES blocks, whatever repeats.
-    chosen = F.pmod(F.xxhash64(name, F.monotonically_increasing_id()), F.lit(share)) == 0
-    sample = stage(marked.select(name, chosen.alias("_chosen")).where("_chosen").select(name).repartition(8), "fit")
     for items, names in _parts(benchmark, item_words):
         owned = [(item, np.array(words[a:b], np.uint32)) for item, words in sorted(items.items())
                  for a, b in passages(len(words))]
         parts = [owned[at:at + QUERIES] for at in range(0, len(owned), QUERIES)]
         blocks_ = [(np.unique(np.concatenate([q for _, q in part])), [q for _, q in part]) for part in parts]
         spaces = []
-        for part, (words_, queries), axes in zip(parts, blocks_, latent_axes(sample, name, idf, blocks_)):
+        for part, (words_, queries), axes in zip(parts, blocks_, latent_axes(marked, name, idf, blocks_)):
             latent = sparse_passages(queries, words_, idf).times(axes)
             size = np.linalg.norm(latent, axis=1, keepdims=True)
             spaces.append(Space(words_, axes, latent / np.maximum(size, 1e-9), np.array([i for i, _ in part])))
