@@ -22,7 +22,7 @@ from demandloom.operators.chains import chain_closure
 from demandloom.plans import reports, sample
 from demandloom.plans.model import analytics_lines
 from demandloom.plans.pipeline import run_reports
-from demandloom.session import configure, scratch_database, scratch_path
+from demandloom.session import configure, freeing_shuffles, scratch_database, scratch_path
 from demandloom.sinks import files, rules, swap, tables
 from demandloom.sinks.cubes import IncrementalCube
 from demandloom.sinks.tables import quote_column
@@ -1034,9 +1034,10 @@ def k15_single_excel(spark, sf_dir):
 
 def _ingest(spark, sf_dir, mode: LoadMode, waves: list[DataFrame], label: str) -> DataFrame:
     database, folder = scratch_database(spark, label), scratch_path(spark, label)
-    ingest = OrderIngest(spark, folder, f"{database}.raw_sales_order", scratch_path(spark, "checkpoint"), mode)
+    ingest = OrderIngest(spark, folder, f"{database}.raw_sales_order", scratch_path(spark, "checkpoint"), mode, pattern="*.txt.gz")
     for wave in waves:
-        cleaning.render_pipe_lines(wave).write.mode("append").text(folder)
+        with freeing_shuffles(spark):
+            cleaning.render_pipe_lines(wave).write.mode("append").text(folder, compression="gzip")
         ingest.run()
     return _short(spark.table(ingest.table))
 

@@ -12,7 +12,7 @@ partitions they touch.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -28,9 +28,13 @@ from demandloom.operators.merging import (
     replace_period,
     split_null_keys,
 )
-from demandloom.session import remove_path, scratch_path
+from demandloom.session import freeing_shuffles, remove_path, scratch_path
 
 PERIOD = config.PERIOD
+# In how many steps a large merge is made and put in place; what is large, in bytes of the table and in rows.
+REWRITES = 4
+LARGE_BYTES = 1 << 25
+LARGE_ROWS = 1_000_000
 
 
 def with_period(df: DataFrame, day: str = "data") -> DataFrame:
@@ -62,15 +66,17 @@ def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+def staged(df: DataFrame, partition_by: Sequence[str] = (), *more: DataFrame) -> Iterator[DataFrame]:
     """``df`` written to the shared folder and read back: complete, and without lineage.
 
-    The copy is removed at the end, but kept when the block fails, so that
+    ``more`` frames of the same columns are added one after the other. The copy is removed at the end, but kept when the block fails, so that
     rows already taken out of a target can be recovered.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
-    by_partition(df, partition_by).write.partitionBy(*partition_by).parquet(path)
+    with freeing_shuffles(spark):
+        for part in (df, *more):
+            by_partition(part, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path).select(*[F.col(quote_column(c)) for c in df.columns])
     except Exception as error:
@@ -110,7 +116,8 @@ def _put_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), form
 
     rules = stored_rules(df.sparkSession, table)
     writer = by_partition(df, partition_by).write.mode("overwrite").format(format)
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    with freeing_shuffles(df.sparkSession):
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
     if rules:  # a replaced table begins without properties
         store_rules(df.sparkSession, table, rules)
 
@@ -134,15 +141,32 @@ def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def _even_groups(sizes: Mapping[Any, int], groups: int) -> list[list[Any]]:
+    """The names in at most so many groups of about the same size."""
+    out: list[list[Any]] = []
+    most, held = -(-sum(sizes.values()) // groups), 0
+    for name in sorted(sizes, key=lambda v: (v is None, v)):
+        if not out or held + sizes[name] / 2 > most * len(out):
+            out.append([])
+        out[-1].append(name)
+        held += sizes[name]
+    return out
+
+
 def _overwrite_partitions(
     spark: SparkSession, table: str, rows: DataFrame, touched: Sequence[Any], partition: str
 ) -> None:
-    """Put ``rows`` in place of the touched partitions; those left empty are dropped."""
-    filled = {r[0] for r in rows.select(partition).distinct().collect()}
-    columns = spark.table(table).columns
-    if filled:
-        with dynamic_overwrite(spark):
-            rows.select(*columns).write.mode("overwrite").insertInto(table)
+    """Put ``rows``, which are staged, in place of the touched partitions; those left empty are dropped.
+
+    Some partitions at a time, with about ``1 / REWRITES`` of the rows, so that
+    only their rows are in the shuffle and beside the old ones on disk.
+    """
+    with freeing_shuffles(spark), dynamic_overwrite(spark):
+        filled = {r[0]: r[1] for r in rows.groupBy(partition).count().collect()}
+        columns = spark.table(table).columns
+        for values in _even_groups(filled, REWRITES if sum(filled.values()) >= LARGE_ROWS else 1):
+            part = rows.where(F.col(partition).isin([v for v in values if v is not None]) | (F.col(partition).isNull() & F.lit(None in values)))
+            by_partition(part, [partition]).select(*columns).write.mode("overwrite").insertInto(table)
     for value in touched:
         if value not in filled:
             spark.sql(f"ALTER TABLE {quote(table)} DROP IF EXISTS PARTITION ({quote_column(partition)}={value!r})")
@@ -160,6 +184,7 @@ def upsert(
     quarantine_by: str | None = None,
     swap: bool = False,
     indexed: bool = False,
+    release: Callable[[], None] | None = None,
 ) -> None:
     """Update rows with a known key, insert the others.
 
@@ -177,11 +202,13 @@ def upsert(
     With ``swap`` the merged rows are written once, to a new folder, and put in
     place by the catalog (:mod:`demandloom.sinks.swap`). Rows that break the
     table's rules (:mod:`demandloom.sinks.rules`) are refused, or set aside with their reasons.
+    With ``release``, ``source`` is read from a finished copy and needs none;
+    it is called when that copy is needed no more.
     """
     from demandloom.sinks.rules import held, stored_rules
 
     rules = stored_rules(source.sparkSession, table)
-    with staged(source) as rows:
+    with nullcontext(source) if release else staged(source) as rows:
         arriving, broken = split_null_keys(rows, keys)
         if rules:
             arriving = latest_per_key(arriving, keys, newest) if newest else arriving
@@ -194,8 +221,11 @@ def upsert(
             append(quarantine, broken)
         elif not broken.isEmpty():
             raise ValueError(f"rows without a complete key {list(keys)}; name a quarantine table for them")
-        arriving = latest_per_key(arriving, keys, newest) if newest else arriving
-        _upsert(table, arriving, keys, keep_first, partition_by, fixed_partition, swap, indexed)
+        # Computed once: it is read for the places, the homes and the merge.
+        with staged(latest_per_key(arriving, keys, newest)) if newest else nullcontext(arriving) as arriving:
+            if newest and release:
+                release()
+            _upsert(table, arriving, keys, keep_first, partition_by, fixed_partition, swap, indexed)
 
 
 def _upsert(
@@ -231,14 +261,20 @@ def _upsert(
             stored = stored.where(F.col(partition_by).isin([_typed(target, partition_by, v) for v in possible]))
         homes = stored.join(arriving.select(*keys), list(keys), "left_semi")
         places = places.union(homes.select(partition_by))
-    touched = [r[0] for r in places.distinct().collect()]
+    with freeing_shuffles(spark):
+        touched = [r[0] for r in places.distinct().collect()]
     if not touched:
         return
-    merged = merge_rows(target.where(F.col(partition_by).isin(touched)), arriving, keys, keep_first)
+    old = target.where(F.col(partition_by).isin(touched))
     if swap:
-        swap_partitions(merged, table, touched, partition_by)
+        swap_partitions(merge_rows(old, arriving, keys, keep_first), table, touched, partition_by)
     else:
-        with staged(merged, [partition_by]) as rows:
+        # Equal keys are in one slice; a slice's shuffle goes before the next one's comes.
+        alike = all(old.schema[k].dataType == arriving.schema[k].dataType for k in keys)
+        n = REWRITES if alike and table_bytes(spark, table) >= LARGE_BYTES else 1
+        in_slice = [F.pmod(F.xxhash64(*keys), F.lit(n)) == i for i in range(n)]
+        merged = [merge_rows(old.where(c), arriving.where(c), keys, keep_first) for c in in_slice]
+        with staged(merged[0], (), *merged[1:]) as rows:
             _overwrite_partitions(spark, table, rows, touched, partition_by)
     if indexed:
         update_index(spark, table, keys, partition_by, touched)
@@ -265,9 +301,10 @@ def replace_periods(
     with staged(source.select(*target.columns)) as arriving:
         homes = target.select(*keys, partition_by).join(arriving.select(*keys).distinct(), list(keys), "left_semi")
         places = arriving.select(partition_by).union(homes.select(partition_by)).distinct()
-        touched = [r[0] for r in places.collect()]  # bounded by the number of partitions
+        with freeing_shuffles(spark):
+            touched = [r[0] for r in places.collect()]  # bounded by the number of partitions
         old = target.where(F.col(partition_by).isin(touched))
-        with staged(replace_period(old, arriving, F.col(partition_by), keys), [partition_by]) as rows:
+        with staged(replace_period(old, arriving, F.col(partition_by), keys)) as rows:
             _overwrite_partitions(spark, table, rows, touched, partition_by)
 
 
@@ -328,7 +365,7 @@ def delete_where(spark: SparkSession, table: str, predicate: Column, partition_v
     if partition_values is None:
         rewrite_table(spark, table, lambda df: delete_rows(df, predicate))
     else:
-        with staged(delete_rows(rows, predicate), [partition_by]) as kept:
+        with staged(delete_rows(rows, predicate)) as kept:
             _overwrite_partitions(spark, table, kept, partition_values, partition_by)
     return matched
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import enum
 import uuid
+from collections.abc import Callable
+from contextlib import ExitStack, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,9 +38,12 @@ def prepare_batch(lines: DataFrame, mode: LoadMode = LoadMode.INCREMENTAL, load_
     return tables.with_period(typed)
 
 
-def save_batch(batch: DataFrame, table: str, mode: LoadMode, fixed_dates: bool = False) -> None:
+def save_batch(batch: DataFrame, table: str, mode: LoadMode, fixed_dates: bool = False,
+               release: Callable[[], None] | None = None) -> None:
     """Store a prepared batch, newest row per key.
 
+    With ``release`` the batch is read from a finished copy; it is called when that is needed no more.
+
     Running it again with the same rows leaves the table as it is. Rows
     without a full key go to ``<table>_quarantine``, where a load replaces
     its own rows.
@@ -48,12 +53,17 @@ def save_batch(batch: DataFrame, table: str, mode: LoadMode, fixed_dates: bool =
         tables.upsert(
             table, batch, config.LINE_KEY, keep_first=_KEPT, partition_by=tables.PERIOD,
             quarantine=quarantine, newest=_NEWEST, fixed_partition=fixed_dates, quarantine_by="_load_id",
+            release=release,
         )
         return
-    with tables.staged(batch) as rows:
-        keyed, broken = split_null_keys(rows, config.LINE_KEY)
-        tables.replace_loads(quarantine, broken, "_load_id")
-        latest = latest_per_key(keyed, config.LINE_KEY, _NEWEST)
+    with ExitStack() as copies:
+        # The batch's copy goes once that of its newest rows is finished.
+        with nullcontext(batch) if release else tables.staged(batch) as rows:
+            keyed, broken = split_null_keys(rows, config.LINE_KEY)
+            tables.replace_loads(quarantine, broken, "_load_id")
+            latest = copies.enter_context(tables.staged(latest_per_key(keyed, config.LINE_KEY, _NEWEST)))
+        if release:
+            release()
         if mode is LoadMode.FULL_REFRESH:
             tables.replace_table(latest, table, [tables.PERIOD])
         else:
@@ -96,11 +106,14 @@ class OrderIngest:
     def _handle(self, lines: DataFrame, batch_id: int) -> None:
         load_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{self.checkpoint}#{batch_id}"))
         counted = Observation()
-        with tables.staged(classify_lines(lines).observe(
-                counted, F.count(F.lit(1)).alias("rows"), F.count("reject_reason").alias("rejected"))) as split:
-            save_rejects(split, self.table, load_id)
-            good = split.where("reject_reason IS NULL").drop("reject_reason")
-            save_batch(prepare_batch(good, self.mode, load_id), self.table, self.mode, self.fixed_dates)
+        with ExitStack() as copies:
+            # The copy of the lines goes once that of their typed rows is finished.
+            with tables.staged(classify_lines(lines).observe(
+                    counted, F.count(F.lit(1)).alias("rows"), F.count("reject_reason").alias("rejected"))) as split:
+                save_rejects(split, self.table, load_id)
+                good = split.where("reject_reason IS NULL").drop("reject_reason")
+                batch = copies.enter_context(tables.staged(prepare_batch(good, self.mode, load_id)))
+            save_batch(batch, self.table, self.mode, self.fixed_dates, copies.close)
         self._batches.append({"batch_id": batch_id, "input_rows": counted.get["rows"], "rejected_rows": counted.get["rejected"]})
 
     def start(self) -> StreamingQuery:

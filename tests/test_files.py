@@ -3,13 +3,14 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from demandloom import config
 from demandloom.operators import cleaning
-from demandloom.session import scratch_path
+from demandloom.session import scratch_path, shared_dir
 from demandloom.sinks import files, tables
 from demandloom.sources import catalog, routing, workbooks
 from demandloom.streaming.ingest import LoadMode, OrderIngest, prepare_batch, save_batch
@@ -274,3 +275,27 @@ def test_workbook_rows_sort_numbers_by_value(spark):
     files.write_file(df, path, "excel", order_by=["n"])
     files.write_file(df, path, "excel", "append", order_by=["t", "n"])
     assert [r.n for r in files.read_file(spark, path, "excel").collect()] == [None, "9", "10", "100", "10", "9", "100", None]
+
+
+@pytest.mark.parametrize("mode", list(LoadMode))
+def test_a_batch_is_put_in_place_from_one_copy(spark, ingest, tmp_path, monkeypatch, mode):
+    """When the rows of a load go into the table, the copies of its lines and of its typed rows are gone."""
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    copies = lambda: {p.name for p in folder.glob("staged-*")}
+    before, seen = copies(), []
+    put = tables._put_table
+
+    def watched(df, table, *options):
+        if not table.endswith(("_rejects", "_quarantine")):
+            seen.append(len(copies() - before))
+        put(df, table, *options)
+
+    monkeypatch.setattr(tables, "_put_table", watched)
+    layout = config.ORDER_FILE_LAYOUT
+    for item in ("10", "20"):
+        fields = {"numero_ov": "1", "item": item, "data": "05.06.2026", "quantidade": "1,000"}
+        (tmp_path / f"{item}.txt").write_text("|" + "|".join(fields.get(c, "x") for c in layout) + "|\n|short|\n")
+    job = ingest(mode)
+    job.run()
+    assert seen == [1] and spark.table(job.table).count() == 2
+    assert copies() == before

@@ -332,3 +332,25 @@ def test_history_grows_like_one_load(spark):
     grown = history.extend_history(early, late, ["k"], "t", ["v"])
     assert rows(grown) == rows(whole)
     assert rows(history.extend_history(grown, late, ["k"], "t", ["v"])) == rows(whole)
+
+
+def test_large_merges_go_in_slices(spark, database, monkeypatch):
+    """A merge made and put in place in several steps gives the table of one step: moved, undated, new and kept rows."""
+    schema = "k string, n string, data date, v int, f string"
+    day = lambda k: None if k % 7 == 0 else date(2026, 1 + k % 5, 1)
+    old = [(str(k), None if k % 11 == 0 else "a", day(k), k, "first") for k in range(60)]
+    new = [(str(k), "a", day(k + k % 2), -k, "later") for k in range(30, 90) if k % 11]
+    merges, found = [], []
+    merge = tables.merge_rows
+    monkeypatch.setattr(tables, "merge_rows", lambda *a: merges.append(1) or merge(*a))
+    for name, large in (("whole", 1 << 40), ("sliced", 0)):
+        monkeypatch.setattr(tables, "LARGE_BYTES", large, raising=False)
+        monkeypatch.setattr(tables, "LARGE_ROWS", large, raising=False)
+        table = f"{database}.{name}"
+        tables.replace_table(tables.with_period(spark.createDataFrame(old, schema)), table, [tables.PERIOD])
+        tables.upsert(table, tables.with_period(spark.createDataFrame(new, schema)), ["k", "n"], keep_first=("f",), partition_by=tables.PERIOD)
+        found.append(rows(spark.table(table)))
+    assert found[0] == found[1] and len(merges) == 1 + tables.REWRITES
+    assert tables._even_groups({1: 5, 2: 5, None: 5, 3: 5, 4: 100}, 4)[-1] == [None]
+    sizes = {k: 1 for k in range(80)}
+    assert sorted(sum(tables._even_groups(sizes, 4), [])) == list(range(80)) and len(tables._even_groups(sizes, 4)) == 4
